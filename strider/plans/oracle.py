@@ -5,7 +5,7 @@ from __future__ import annotations
 from strider.plans import queries as Q
 from strider.plans.views_sql import (
     CLEAN_MOTION_VIEW, LABEL_VIEW, LOCATION_VIEW, MOTION_VIEW, POI_VIEW,
-    activity_sql, duration_text_sql, percentage_sql, with_views,
+    activity_sql, duration_text_sql, percentage_sql, slot_sql, slot_text_sql, with_views,
 )
 from strider.functions.timecols import day_end_ms
 
@@ -73,3 +73,94 @@ SELECT event_id, date_in,
             ELSE date_in END AS date
   FROM (SELECT event_id, date_in, regexp_replace(date_in, '[^0-9]', '', 'g') AS d
           FROM (SELECT event_id, {_STD_INPUT} AS date_in FROM label_view) i) s"""
+
+ORACLE["parse_sensor_lines"] = with_views(LOCATION_VIEW) + """
+SELECT event_id, date, user_id, Time, Ignore1, Ignore2, Accuracy, Latitude, Longitude, Altitude
+  FROM location_view"""
+
+ORACLE["top_rows"] = with_views(LOCATION_VIEW) + f"""
+SELECT * FROM location_view ORDER BY Time, event_id LIMIT {Q.TOP_ROWS}"""
+
+ORACLE["label_motion_join"] = with_views(LABEL_VIEW, MOTION_VIEW, CLEAN_MOTION_VIEW) + """
+SELECT l.date, l.Time, l.CoarseLabel, l.event_id,
+       m.AccelerationX, m.AccelerationY, m.AccelerationZ,
+       m.MagnetometerX, m.MagnetometerY, m.MagnetometerZ,
+       m.LinearAccelerationX, m.LinearAccelerationY, m.LinearAccelerationZ,
+       m.event_id AS motion_event_id
+  FROM label_view l JOIN clean_motion m ON l.date = m.date AND l.Time = m.Time"""
+
+ORACLE["motion_magnitudes"] = with_views(LABEL_VIEW, MOTION_VIEW, CLEAN_MOTION_VIEW) + """
+SELECT l.date, l.Time, l.event_id, m.event_id AS motion_event_id, l.CoarseLabel,
+       sqrt(m.AccelerationX * m.AccelerationX + m.AccelerationY * m.AccelerationY + m.AccelerationZ * m.AccelerationZ) AS AccelerationMagnitude,
+       sqrt(m.MagnetometerX * m.MagnetometerX + m.MagnetometerY * m.MagnetometerY + m.MagnetometerZ * m.MagnetometerZ) AS MagnetometerMagnitude,
+       sqrt(m.LinearAccelerationX * m.LinearAccelerationX + m.LinearAccelerationY * m.LinearAccelerationY + m.LinearAccelerationZ * m.LinearAccelerationZ) AS LinearAccelerationMagnitude
+  FROM label_view l JOIN clean_motion m ON l.date = m.date AND l.Time = m.Time"""
+
+ORACLE["half_hour_features"] = with_views(LOCATION_VIEW) + f"""
+SELECT event_id, Time,
+       CAST(hour(epoch_ms(Time)) AS INTEGER) AS hour,
+       CAST(minute(epoch_ms(Time)) AS INTEGER) AS minute,
+       {slot_sql('Time')} AS half_hour_interval,
+       CAST(isodow(epoch_ms(Time)) AS INTEGER) AS day_of_week
+  FROM location_view"""
+
+ORACLE["ordinal_date"] = with_views(LABEL_VIEW) + """
+SELECT date,
+       strftime(d, '%B') || ' ' || CAST(day(d) AS VARCHAR) ||
+       CASE WHEN day(d) BETWEEN 11 AND 13 THEN 'th'
+            WHEN day(d) % 10 = 1 THEN 'st' WHEN day(d) % 10 = 2 THEN 'nd'
+            WHEN day(d) % 10 = 3 THEN 'rd' ELSE 'th' END ||
+       ', ' || CAST(year(d) AS VARCHAR) AS formatted_date
+  FROM (SELECT DISTINCT date, CAST(strptime(date, '%d%m%y') AS DATE) AS d
+          FROM label_view WHERE date IS NOT NULL) t"""
+
+_ANOM = ["AccelerationX", "AccelerationY", "AccelerationZ", "GyroscopeX", "GyroscopeY",
+         "GyroscopeZ", "GravityX", "GravityY", "GravityZ", "Pressure"]
+
+ORACLE["scaled_features"] = with_views(MOTION_VIEW, CLEAN_MOTION_VIEW) + "SELECT event_id, " + ", ".join(
+    f"round(CASE WHEN stddev_samp({c}) OVER () = 0 THEN 0.0 ELSE {c} / stddev_samp({c}) OVER () END, 6) AS {c}"
+    for c in _ANOM) + " FROM clean_motion"
+
+ORACLE["location_zscores"] = with_views(LOCATION_VIEW) + """
+SELECT event_id,
+       round((Latitude - avg(Latitude) OVER ()) / stddev_pop(Latitude) OVER (), 6) AS Latitude_z,
+       round((Longitude - avg(Longitude) OVER ()) / stddev_pop(Longitude) OVER (), 6) AS Longitude_z
+  FROM location_view"""
+
+_LAGS = ", ".join(
+    f"lag({v}, {j}) OVER w AS {v}_lag{j}" for j in range(1, Q.SEQUENCE_LENGTH + 1)
+    for v in ("Latitude", "Longitude"))
+
+ORACLE["location_sequences"] = with_views(LOCATION_VIEW) + f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT user_id, event_id, Time, Latitude, Longitude, {_LAGS},
+         row_number() OVER w AS rn
+    FROM location_view
+  WINDOW w AS (PARTITION BY user_id ORDER BY Time, event_id)) s
+ WHERE rn > {Q.SEQUENCE_LENGTH}"""
+
+ORACLE["chronological_split"] = with_views(LOCATION_VIEW) + f"""
+SELECT event_id,
+       CASE WHEN row_number() OVER (ORDER BY Time, event_id) <= floor({Q.TRAIN_FRACTION} * count(*) OVER ())
+            THEN 'train' ELSE 'test' END AS split
+  FROM location_view"""
+
+ORACLE["histogram_50"] = f"""
+WITH v AS (SELECT value AS x FROM events WHERE value IS NOT NULL AND NOT isnan(value)),
+mm AS (SELECT min(x) AS lo, max(x) AS hi FROM v),
+b AS (SELECT CAST(CASE WHEN hi - lo = 0 THEN 1
+                       ELSE least(floor((x - lo) / (hi - lo) * {Q.HISTOGRAM_BINS}) + 1, {Q.HISTOGRAM_BINS}) END AS INTEGER) AS bin
+        FROM v, mm),
+c AS (SELECT bin, count(*) AS n FROM b GROUP BY bin)
+SELECT CAST(g.bin AS INTEGER) AS bin,
+       round(lo + (g.bin - 1) * (hi - lo) / {Q.HISTOGRAM_BINS}, 6) AS bin_start,
+       round(lo + g.bin * (hi - lo) / {Q.HISTOGRAM_BINS}, 6) AS bin_end,
+       coalesce(c.n, 0) AS count
+  FROM range(1, {Q.HISTOGRAM_BINS} + 1) g(bin) CROSS JOIN mm LEFT JOIN c ON c.bin = g.bin"""
+
+ORACLE["contamination_cut"] = f"""
+WITH t AS (SELECT quantile_cont(value, {Q.CONTAMINATION}) AS thr FROM events)
+SELECT round(thr, 6) AS threshold,
+       (SELECT count(*) FROM events) AS n_rows,
+       (SELECT count(*) FROM events, t WHERE value < thr) AS n_below
+  FROM t"""

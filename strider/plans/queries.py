@@ -23,6 +23,11 @@ RANGE_START_MS = 1704866400000          # 2024-01-10 06:00:00 UTC
 SELECTED_DAY = "150124"                 # 15 Jan 2024, folder form
 EXPECTED_LABELS = 9
 EXPECTED_DAYS = 91
+TOP_ROWS = 5
+SEQUENCE_LENGTH = 10
+TRAIN_FRACTION = 0.8
+HISTOGRAM_BINS = 50
+CONTAMINATION = 0.05
 
 
 def register(name: str):
@@ -94,3 +99,98 @@ def q_standardize_dates(spark, base):
            .otherwise(F.concat(d, F.lit("7"))))
     inputs = labels.select("event_id", raw.alias("date_in"), raw.alias("date"))
     return clean.standardize_dates(inputs)
+
+
+# --- sources -----------------------------------------------------------------------------
+
+@register("parse_sensor_lines")
+def q_parse_sensor_lines(spark, base):
+    from strider.sources.sensor_files import parse_sensor_lines
+    return parse_sensor_lines(Tables(spark, base).lines, "Location")
+
+
+@register("top_rows")
+def q_top_rows(spark, base):
+    return Tables(spark, base).location.orderBy("Time", "event_id").limit(TOP_ROWS)
+
+
+# --- features -----------------------------------------------------------------------------
+
+@register("label_motion_join")
+def q_label_motion_join(spark, base):
+    from strider.operators.features import label_motion_join
+    t = Tables(spark, base)
+    return label_motion_join(t.labels, clean.clean_motion(t.motion))
+
+
+@register("motion_magnitudes")
+def q_motion_magnitudes(spark, base):
+    from strider.operators.features import MAGNITUDES, label_motion_join, with_magnitudes
+    t = Tables(spark, base)
+    joined = with_magnitudes(label_motion_join(t.labels, clean.clean_motion(t.motion)))
+    return joined.select("date", "Time", "event_id", "motion_event_id", "CoarseLabel", *MAGNITUDES)
+
+
+@register("half_hour_features")
+def q_half_hour_features(spark, base):
+    from strider.operators.features import half_hour_features
+    loc = Tables(spark, base).location.select("event_id", "Time")
+    return half_hour_features(loc)
+
+
+@register("ordinal_date")
+def q_ordinal_date(spark, base):
+    from strider.functions.dates import ordinal_date_text
+    days = stats.distinct_dates(Tables(spark, base).labels)
+    return days.select("date", ordinal_date_text(parse_day("date")).alias("formatted_date"))
+
+
+@register("scaled_features")
+def q_scaled_features(spark, base):
+    from strider.operators.features import scale_features
+    from strider.schemas import ANOMALY_FEATURES
+    motion = clean.clean_motion(Tables(spark, base).motion)
+    scaled = scale_features(motion, ANOMALY_FEATURES, keep=("event_id",))
+    return scaled.select("event_id", *[F.round(c, 6).alias(c) for c in ANOMALY_FEATURES])
+
+
+@register("location_zscores")
+def q_location_zscores(spark, base):
+    from strider.operators.features import zscores
+    z, _ = zscores(Tables(spark, base).location, keep=("event_id",))
+    return z.select("event_id", *[F.round(c, 6).alias(c) for c in ("Latitude_z", "Longitude_z")])
+
+
+@register("location_sequences")
+def q_location_sequences(spark, base):
+    from strider.operators.features import lag_sequences
+    loc = Tables(spark, base).location.select("user_id", "event_id", "Time", "Latitude", "Longitude")
+    return lag_sequences(loc, ["Latitude", "Longitude"], n=SEQUENCE_LENGTH)
+
+
+@register("chronological_split")
+def q_chronological_split(spark, base):
+    from strider.operators.features import chronological_split
+    loc = Tables(spark, base).location.select("event_id", "Time")
+    return chronological_split(loc, TRAIN_FRACTION).select("event_id", "split")
+
+
+# --- distributions ------------------------------------------------------------------------
+
+@register("histogram_50")
+def q_histogram_50(spark, base):
+    from strider.operators.quantiles import histogram
+    h = histogram(Tables(spark, base).raw("events"), "value", HISTOGRAM_BINS)
+    return h.select("bin", F.round("bin_start", 6).alias("bin_start"),
+                    F.round("bin_end", 6).alias("bin_end"), "count")
+
+
+@register("contamination_cut")
+def q_contamination_cut(spark, base):
+    from strider.operators.quantiles import exact_quantile
+    events = Tables(spark, base).raw("events")
+    threshold = exact_quantile(events, "value", CONTAMINATION)
+    return events.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.when(F.col("value") < F.lit(threshold), 1)).alias("n_below"),
+    ).select(F.round(F.lit(threshold), 6).alias("threshold"), "n_rows", "n_below")
