@@ -164,3 +164,81 @@ SELECT round(thr, 6) AS threshold,
        (SELECT count(*) FROM events) AS n_rows,
        (SELECT count(*) FROM events, t WHERE value < thr) AS n_below
   FROM t"""
+
+_ROUTE = """route AS (
+  SELECT Latitude AS lat, Longitude AS lng, slot AS half_hour_interval
+    FROM (SELECT *, row_number() OVER (PARTITION BY slot ORDER BY Time DESC, event_id DESC) AS rn
+            FROM (SELECT *, {slot} AS slot FROM location_view {where}) s) r
+   WHERE rn = 1)"""
+
+
+def _route(where: str = "") -> str:
+    return _ROUTE.format(slot=slot_sql("Time"), where=where)
+
+
+ORACLE["predicted_route"] = with_views(LOCATION_VIEW, _route()) + f"""
+SELECT lat, lng, half_hour_interval, {slot_text_sql('half_hour_interval')} AS time
+  FROM route WHERE lat < 50.9"""
+
+ORACLE["route_json"] = with_views(LOCATION_VIEW, _route()) + f"""
+SELECT half_hour_interval,
+       CAST(to_json(struct_pack(lat := lat, lng := lng, half_hour_interval := half_hour_interval,
+                                time := {slot_text_sql('half_hour_interval')})) AS VARCHAR) AS location_json
+  FROM route"""
+
+_REQ = ", ".join(f"({s})" for s in Q.LOOKUP_SLOTS)
+ORACLE["next_location_lookup"] = with_views(LOCATION_VIEW, _route()) + f"""
+SELECT coalesce(r.lat, CAST(50.8231 AS DOUBLE)) AS lat, coalesce(r.lng, CAST(-0.1383 AS DOUBLE)) AS lng,
+       req.half_hour_interval,
+       CASE WHEN r.lat IS NULL THEN 'N/A' ELSE {slot_text_sql('req.half_hour_interval')} END AS time
+  FROM (SELECT CAST(s AS INTEGER) AS half_hour_interval FROM (VALUES {_REQ}) v(s)) req
+  LEFT JOIN route r ON r.half_hour_interval = req.half_hour_interval"""
+
+ORACLE["half_hour_grid"] = with_views(LOCATION_VIEW, _route(f"WHERE date = '{Q.TODAY}'")) + f"""
+SELECT lat, lng, half_hour_interval, {slot_text_sql('half_hour_interval')} AS time FROM route
+UNION ALL
+SELECT CAST(50.8231 AS DOUBLE) + i * CAST(0.01 AS DOUBLE), CAST(-0.1383 AS DOUBLE) + i * CAST(0.01 AS DOUBLE),
+       CAST(i AS INTEGER), {slot_text_sql('i')}
+  FROM range(48) t(i) WHERE NOT EXISTS (SELECT 1 FROM route)"""
+
+_RAD = "CAST('0.017453292519943295' AS DOUBLE)"
+ORACLE["nearby_top_k"] = with_views(LOCATION_VIEW, POI_VIEW) + f"""
+, o AS (SELECT DISTINCT Latitude AS lat, Longitude AS lng FROM location_view),
+pr AS (
+  SELECT o.lat AS origin_lat, o.lng AS origin_lng, p.poi_id, p.name,
+         round(CAST(12742000.0 AS DOUBLE) * asin(sqrt(
+               sin((p.lat - o.lat) * {_RAD} / 2) * sin((p.lat - o.lat) * {_RAD} / 2)
+             + cos(o.lat * {_RAD}) * cos(p.lat * {_RAD})
+               * (sin((p.lng - o.lng) * {_RAD} / 2) * sin((p.lng - o.lng) * {_RAD} / 2)))), 2) AS distance_m
+    FROM o, poi_view p)
+SELECT origin_lat, origin_lng, CAST(rank AS INTEGER) AS rank, poi_id, name, distance_m
+  FROM (SELECT *, row_number() OVER (PARTITION BY origin_lat, origin_lng ORDER BY distance_m, poi_id) AS rank
+          FROM pr WHERE distance_m <= 1500) r
+ WHERE rank <= 10"""
+
+ORACLE["classification_metrics"] = with_views(LABEL_VIEW) + """
+, p AS (SELECT CAST(CoarseLabel AS DOUBLE) AS l,
+               CAST((CoarseLabel + CASE WHEN event_id % 4 = 0 THEN 1 ELSE 0 END) % 9 AS DOUBLE) AS p
+          FROM label_view),
+cm AS (SELECT l, p, count(*) AS n FROM p GROUP BY l, p),
+bl AS (SELECT l, sum(n) AS n_l, sum(CASE WHEN l = p THEN n ELSE 0 END) AS tp FROM cm GROUP BY l),
+bp AS (SELECT p AS l, sum(n) AS n_p FROM cm GROUP BY p),
+per AS (SELECT bl.l, bl.n_l, bl.tp, bp.n_p FROM bl LEFT JOIN bp ON bl.l = bp.l)
+SELECT round(sum(tp) / sum(n_l), 6) AS accuracy,
+       round(sum(CASE WHEN n_p > 0 THEN tp / n_p ELSE 0.0 END * n_l) / sum(n_l), 6) AS weighted_precision,
+       round(sum(tp / n_l * n_l) / sum(n_l), 6) AS weighted_recall
+  FROM per"""
+
+ORACLE["vote_fold"] = """
+WITH a AS (
+  SELECT event_id,
+         [CAST(user_id % 9 AS DOUBLE), CAST(CAST(props->>'$.k' AS INTEGER) % 9 AS DOUBLE),
+          CAST(event_id % 9 AS DOUBLE), CAST(user_id % 9 AS DOUBLE), CAST(event_id % 3 AS DOUBLE)] AS v
+    FROM events),
+u AS (SELECT event_id, unnest(v) AS x FROM a),
+c AS (SELECT event_id, x, count(*) AS n FROM u GROUP BY event_id, x),
+b AS (SELECT event_id, x FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY n DESC, x ASC) AS rn
+                                 FROM c) r WHERE rn = 1)
+SELECT a.event_id, b.x AS final_prediction,
+       ((((CAST(0.0 AS DOUBLE) + v[1]) + v[2]) + v[3]) + v[4]) + v[5] AS prediction_sum
+  FROM a JOIN b ON a.event_id = b.event_id"""

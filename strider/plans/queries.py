@@ -28,6 +28,8 @@ SEQUENCE_LENGTH = 10
 TRAIN_FRACTION = 0.8
 HISTOGRAM_BINS = 50
 CONTAMINATION = 0.05
+LOOKUP_SLOTS = (0, 17, 99)
+TODAY = "031226"                        # a day with no predictions → default grid
 
 
 def register(name: str):
@@ -194,3 +196,108 @@ def q_contamination_cut(spark, base):
         F.count(F.lit(1)).alias("n_rows"),
         F.count(F.when(F.col("value") < F.lit(threshold), 1)).alias("n_below"),
     ).select(F.round(F.lit(threshold), 6).alias("threshold"), "n_rows", "n_below")
+
+
+# --- location ------------------------------------------------------------------------------
+
+def _route_input(t: Tables) -> DataFrame:
+    """Stand-in for the predictions table: every position with its clock slot."""
+    from strider.functions.timecols import half_hour_slot
+    return t.location.select(
+        "event_id", "Time", "date",
+        F.col("Latitude").alias("Predicted_Latitude"),
+        F.col("Longitude").alias("Predicted_Longitude"),
+        half_hour_slot("Time").alias("half_hour_interval"))
+
+
+@register("predicted_route")
+def q_predicted_route(spark, base):
+    from strider.operators.location import plausible, route_by_slot
+    return plausible(route_by_slot(_route_input(Tables(spark, base))))
+
+
+@register("route_json")
+def q_route_json(spark, base):
+    from strider.operators.location import route_by_slot, route_json
+    return route_json(route_by_slot(_route_input(Tables(spark, base))))
+
+
+@register("next_location_lookup")
+def q_next_location_lookup(spark, base):
+    from strider.operators.location import lookup_slots, route_by_slot
+    route = route_by_slot(_route_input(Tables(spark, base)))
+    slots = spark.createDataFrame([(s,) for s in LOOKUP_SLOTS], "half_hour_interval int")
+    return lookup_slots(route, slots)
+
+
+@register("half_hour_grid")
+def q_half_hour_grid(spark, base):
+    from strider.operators.location import route_by_slot, route_or_default
+    today = _route_input(Tables(spark, base)).where(F.col("date") == F.lit(TODAY))
+    return route_or_default(route_by_slot(today))
+
+
+@register("nearby_top_k")
+def q_nearby_top_k(spark, base):
+    from strider.operators.location import NEARBY_RADIUS_M, NEARBY_TOP_K, nearby
+    t = Tables(spark, base)
+    origins = t.location.select(F.col("Latitude").alias("lat"), F.col("Longitude").alias("lng")).distinct()
+    near = nearby(origins, t.pois, NEARBY_RADIUS_M, NEARBY_TOP_K)
+    return near.select("origin_lat", "origin_lng", "rank", "poi_id", "name", "distance_m")
+
+
+# --- activity recognition ------------------------------------------------------------------
+
+@register("classification_metrics")
+def q_classification_metrics(spark, base):
+    from strider.operators.activity import classification_metrics
+    labels = Tables(spark, base).labels
+    pred = F.pmod(F.col("CoarseLabel") + (F.pmod(F.col("event_id"), F.lit(4)) == 0).cast("int"), F.lit(9))
+    m = classification_metrics(labels.withColumn("prediction", pred), "CoarseLabel", "prediction")
+    return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
+
+
+@register("vote_fold")
+def q_vote_fold(spark, base):
+    from strider.functions.vectors import array_sum, majority_vote
+    events = Tables(spark, base).raw("events")
+    c = F.col("user_id") % 9
+    k = F.get_json_object("props", "$.k").cast("int")
+    e = F.col("event_id")
+    votes = F.array(*[x.cast("double") for x in (c, k % 9, e % 9, c, e % 3)])
+    return events.select("event_id", votes.alias("votes")).select(
+        "event_id", majority_vote("votes").alias("final_prediction"),
+        array_sum("votes").alias("prediction_sum"))
+
+
+def _joined_magnitudes(t: Tables) -> DataFrame:
+    from strider.operators.features import label_motion_join, with_magnitudes
+    return with_magnitudes(label_motion_join(t.labels, clean.clean_motion(t.motion)))
+
+
+@register("tree_metrics")
+def q_tree_metrics(spark, base):
+    from strider.operators.activity import REPORT_DEPTH, tree_reports
+    from strider.schemas import MAGNITUDE_FEATURES
+    return tree_reports(_joined_magnitudes(Tables(spark, base)), MAGNITUDE_FEATURES,
+                        depths=(REPORT_DEPTH,), key_cols=("event_id", "motion_event_id"),
+                        with_tree=True)
+
+
+@register("tree_depth_sweep")
+def q_tree_depth_sweep(spark, base):
+    from strider.operators.activity import SWEEP_DEPTHS, tree_reports
+    from strider.schemas import AXIS_FEATURES
+    return tree_reports(_joined_magnitudes(Tables(spark, base)), AXIS_FEATURES,
+                        depths=SWEEP_DEPTHS, key_cols=("event_id", "motion_event_id"))
+
+
+@register("bagged_trees")
+def q_bagged_trees(spark, base):
+    from strider.operators.activity import bagged_trees
+    from strider.operators.features import label_motion_join
+    from strider.schemas import AXIS_FEATURES
+    t = Tables(spark, base)
+    joined = label_motion_join(t.labels, clean.clean_motion(t.motion))
+    return bagged_trees(joined, AXIS_FEATURES, key_cols=("event_id", "motion_event_id"),
+                        keep=("date", "Time", "event_id"))
