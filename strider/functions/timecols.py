@@ -17,7 +17,10 @@ SLOT_MINUTES = 30
 SLOTS_PER_DAY = 48
 DAY_MS = 86_400_000
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def _col(c: Column | str) -> Column:
@@ -26,17 +29,17 @@ def _col(c: Column | str) -> Column:
 
 def epoch_ms(ts_ntz: Column | str) -> Column:
     """TIMESTAMP_NTZ (UTC wall clock) → epoch milliseconds (truncating micros)."""
-    return F.timestamp_diff("MILLISECOND", _EPOCH_NTZ, _col(ts_ntz))
+    return F.timestamp_diff("MILLISECOND", _epoch_ntz(), _col(ts_ntz))
 
 
 def epoch_ms_whole_seconds(ts_ntz: Column | str) -> Column:
     """TIMESTAMP_NTZ → epoch milliseconds at whole-second precision."""
-    return F.timestamp_diff("SECOND", _EPOCH_NTZ, _col(ts_ntz)) * 1000
+    return F.timestamp_diff("SECOND", _epoch_ntz(), _col(ts_ntz)) * 1000
 
 
 def ms_to_utc(ms: Column | str) -> Column:
     """Epoch milliseconds → TIMESTAMP_NTZ holding the UTC wall clock."""
-    return F.timestamp_add("MILLISECOND", _col(ms), _EPOCH_NTZ)
+    return F.timestamp_add("MILLISECOND", _col(ms), _epoch_ntz())
 
 
 def half_hour_slot(ms: Column | str) -> Column:

@@ -114,3 +114,49 @@ def nearby(origins: DataFrame, places: DataFrame, radius_m: float = NEARBY_RADIU
     w = Window.partitionBy(*[f"origin_{c}" for c in origins.columns]).orderBy("distance_m", place_key)
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
+
+
+def next_location(locations: DataFrame, n: int = 10, fraction: float = 0.8,
+                  partition_cols: tuple[str, ...] = ("user_id",),
+                  order_cols: tuple[str, ...] = ("Time", "event_id"),
+                  model: str = "linear", block_rows: int | None = 1 << 20) -> DataFrame:
+    """Predict the next (Latitude, Longitude) from the ``n`` previous positions.
+
+    Positions are z-scored (mean and population std over all rows), each row gets its
+    ``n`` predecessors per key as features, the first ``fraction`` of sequences in time
+    order train one regressor per coordinate (squared loss), and the remaining ones are
+    predicted, unscaled and tagged with the half-hour slot of the predicted row.
+    ``model`` is ``linear`` (normal-equation least squares, one distributed pass) or
+    ``gbt`` (gradient-boosted trees).
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor, LinearRegression
+
+    from strider.functions.timecols import half_hour_slot
+    from strider.operators.features import chronological_split, lag_sequences, unscale, zscores
+    from strider.session import materialize
+
+    keys = list(dict.fromkeys([*partition_cols, *order_cols]))
+    z, fit = zscores(locations, ("Latitude", "Longitude"), keep=keys)
+    values = ["Latitude_z", "Longitude_z"]
+    seqs = lag_sequences(z, values, n, partition_cols, order_cols, block_rows=block_rows)
+    seqs = materialize(chronological_split(materialize(seqs), fraction, order_cols))
+    lag_cols = [f"{v}_lag{j}" for j in range(n, 0, -1) for v in values]
+    data = VectorAssembler(inputCols=lag_cols, outputCol="features").transform(seqs)
+    train = data.where(F.col("split") == "train")
+    test = data.where(F.col("split") == "test")
+    out = test
+    for target, pred in (("Latitude_z", "_lat_z"), ("Longitude_z", "_lng_z")):
+        if model == "gbt":
+            est = GBTRegressor(featuresCol="features", labelCol=target, predictionCol=pred, seed=42)
+        else:
+            est = LinearRegression(featuresCol="features", labelCol=target, predictionCol=pred,
+                                   solver="normal")
+        out = est.fit(train).transform(out)
+    return out.select(
+        *keys,
+        unscale(F.col("_lat_z"), fit, "Latitude").alias("Predicted_Latitude"),
+        unscale(F.col("_lng_z"), fit, "Longitude").alias("Predicted_Longitude"),
+        unscale(F.col("Latitude_z"), fit, "Latitude").alias("Latitude"),
+        unscale(F.col("Longitude_z"), fit, "Longitude").alias("Longitude"),
+        half_hour_slot(order_cols[0]).alias("half_hour_interval"))

@@ -301,3 +301,39 @@ def q_bagged_trees(spark, base):
     joined = label_motion_join(t.labels, clean.clean_motion(t.motion))
     return bagged_trees(joined, AXIS_FEATURES, key_cols=("event_id", "motion_event_id"),
                         keep=("date", "Time", "event_id"))
+
+
+# --- anomaly detection -----------------------------------------------------------------------
+
+def _scored_motion(spark, base) -> DataFrame:
+    from strider.operators.anomaly import isolation_forest
+    from strider.schemas import ANOMALY_FEATURES
+    motion = clean.clean_motion(Tables(spark, base).motion)
+    return isolation_forest(motion, ANOMALY_FEATURES, key_cols=("event_id",),
+                            keep=("event_id", "date", "Time", *ANOMALY_FEATURES))
+
+
+@register("isolation_forest")
+def q_isolation_forest(spark, base):
+    return _scored_motion(spark, base).select("event_id", "date", "Time", "score", "prediction")
+
+
+@register("anomaly_by_feature")
+def q_anomaly_by_feature(spark, base):
+    from strider.operators.anomaly import anomaly_by_feature
+    return anomaly_by_feature(_scored_motion(spark, base))
+
+
+@register("kmeans_outliers")
+def q_kmeans_outliers(spark, base):
+    from strider.operators.anomaly import kmeans_outliers
+    return kmeans_outliers(clean.clean_motion(Tables(spark, base).motion))
+
+
+# --- location prediction ---------------------------------------------------------------------
+
+@register("next_location")
+def q_next_location(spark, base):
+    from strider.operators.location import next_location
+    loc = Tables(spark, base).location.select("user_id", "event_id", "Time", "Latitude", "Longitude")
+    return next_location(loc, SEQUENCE_LENGTH, TRAIN_FRACTION)

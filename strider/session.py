@@ -77,3 +77,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         raise RuntimeError(
             "no checkpoint folder: set spark.checkpoint.dir to a shared folder")
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once for several later passes.
+
+    Uses a reliable checkpoint when the session names a checkpoint folder (survives
+    executor loss and cuts lineage), else a memory-and-disk persist.
+    """
+    from pyspark import StorageLevel
+    if ensure_checkpoint_dir(df.sparkSession) is not None:
+        return df.checkpoint(eager=True)
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    return out
