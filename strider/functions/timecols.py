@@ -27,14 +27,28 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _epoch_seconds(ts_ntz: Column | str) -> Column:
+    # NTZ − NTZ is a day-time interval: no session time zone is involved.
+    return (_col(ts_ntz) - _epoch_ntz()).cast("decimal(18,6)")
+
+
 def epoch_ms(ts_ntz: Column | str) -> Column:
-    """TIMESTAMP_NTZ (UTC wall clock) → epoch milliseconds (truncating micros)."""
-    return F.timestamp_diff("MILLISECOND", _epoch_ntz(), _col(ts_ntz))
+    """TIMESTAMP_NTZ (UTC wall clock) → epoch milliseconds (floor of the micros)."""
+    return F.floor(_epoch_seconds(ts_ntz) * 1000).cast("long")
 
 
 def epoch_ms_whole_seconds(ts_ntz: Column | str) -> Column:
     """TIMESTAMP_NTZ → epoch milliseconds at whole-second precision."""
-    return F.timestamp_diff("SECOND", _epoch_ntz(), _col(ts_ntz)) * 1000
+    return (F.floor(_epoch_seconds(ts_ntz)) * 1000).cast("long")
+
+
+def day_folder(ts_ntz: Column | str) -> Column:
+    """TIMESTAMP_NTZ → day folder name ``DDMMYY`` (from the date parts, zone-free)."""
+    d = _col(ts_ntz).cast("date")
+
+    def two(x: Column) -> Column:
+        return F.lpad(x.cast("string"), 2, "0")
+    return F.concat(two(F.dayofmonth(d)), two(F.month(d)), two(F.pmod(F.year(d), F.lit(100))))
 
 
 def ms_to_utc(ms: Column | str) -> Column:

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
-
 from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strider.functions.vectors import array_sum, majority_vote
@@ -60,26 +58,27 @@ def poisson_weight(key_cols: list[str] | tuple[str, ...], seed: int, max_count:
 
 def classification_metrics(predictions: DataFrame, label_col: str = "CoarseLabel",
                            prediction_col: str = "prediction") -> DataFrame:
-    """Accuracy, weighted precision and weighted recall in one pass.
+    """Accuracy, weighted precision and weighted recall from one pass over ``predictions``.
 
-    The confusion counts come from one grouped count (map-side partial aggregation);
-    everything after works on at most labels × labels rows.  Weights are label
-    frequencies; a label never predicted has precision 0.
+    One grouped count gives the confusion cells (map-side partial aggregation, at most
+    labels × labels rows); label and prediction totals are window sums over those
+    cells, so the input is read once.  Weights are label frequencies; a label never
+    predicted correctly contributes 0.
     """
     lab = F.col(label_col).cast("double")
     pred = F.col(prediction_col).cast("double")
     cm = predictions.groupBy(lab.alias("l"), pred.alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    by_label = cm.groupBy("l").agg(F.sum("n").alias("n_l"),
-                                   F.sum(F.when(F.col("l") == F.col("p"), F.col("n")).otherwise(0)).alias("tp"))
-    by_pred = cm.groupBy(F.col("p").alias("l")).agg(F.sum("n").alias("n_p"))
-    per = by_label.join(by_pred, "l", "left")
-    total = F.sum("n_l")
-    return per.agg(
-        (F.sum("tp") / total).alias("accuracy"),
-        (F.sum(F.when(F.col("n_p") > 0, F.col("tp") / F.col("n_p")).otherwise(0.0) * F.col("n_l")) / total)
-        .alias("weighted_precision"),
-        (F.sum(F.col("tp") / F.col("n_l") * F.col("n_l")) / total).alias("weighted_recall"),
-    )
+    cells = (cm.withColumn("n_l", F.sum("n").over(Window.partitionBy("l")))
+               .withColumn("n_p", F.sum("n").over(Window.partitionBy("p")))
+               .withColumn("total", F.sum("n").over(Window.partitionBy(F.lit(0)))))
+    diag = F.col("l") == F.col("p")
+    tp = F.when(diag, F.col("n")).otherwise(F.lit(0))
+    total = F.max("total")
+    return cells.agg(
+        (F.sum(tp) / total).alias("accuracy"),
+        (F.sum(F.when(diag, F.col("n") / F.col("n_p") * F.col("n_l"))) / total).alias("weighted_precision"),
+        (F.sum(F.when(diag, F.col("n") / F.col("n_l") * F.col("n_l"))) / total).alias("weighted_recall"),
+    ).na.fill(0.0)
 
 
 def _assemble(df: DataFrame, features: list[str]) -> DataFrame:
@@ -105,27 +104,24 @@ def tree_reports(df: DataFrame, features: list[str], label_col: str = "CoarseLab
                  with_tree: bool = False) -> DataFrame:
     """Fit one tree per depth on a hash split; rows Depth, Accuracy, Precision, Recall (+ Tree).
 
-    Train and test are persisted (memory, spilling to disk) for the fits and
-    released afterwards; the metrics frames stay lazy and recompute from lineage.
+    The assembled data is persisted (memory, spilling to disk) while the trees are
+    fitted and evaluated, then released.  Each evaluation is one pass over the test
+    rows returning one metrics row, so the report is a handful of driver-side rows.
     """
-    data = _assemble(df.na.drop(), features)
+    data = _assemble(df.na.drop(), features).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = hash_split(data, key_cols, fraction, seed)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
     try:
         for depth in depths:
             model = fit_tree(train, label_col, depth)
-            m = classification_metrics(model.transform(test), label_col)
-            row = m.select(F.lit(depth).cast("int").alias("Depth"),
-                           F.col("accuracy").alias("Accuracy"),
-                           F.col("weighted_precision").alias("Precision"),
-                           F.col("weighted_recall").alias("Recall"))
-            if with_tree:
-                row = row.withColumn("Tree", F.lit(model.toDebugString))
-            rows.append(row)
+            m = classification_metrics(model.transform(test), label_col).first()
+            rows.append((int(depth), float(m["accuracy"]), float(m["weighted_precision"]),
+                         float(m["weighted_recall"]), model.toDebugString if with_tree else None))
     finally:
-        train.unpersist()
-    return reduce(DataFrame.unionByName, rows)
+        data.unpersist()
+    report = df.sparkSession.createDataFrame(
+        rows, "Depth int, Accuracy double, Precision double, Recall double, Tree string")
+    return report if with_tree else report.drop("Tree")
 
 
 def metrics_for_depth(metrics: DataFrame, depth: int) -> DataFrame:

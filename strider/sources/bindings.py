@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strider.functions.timecols import epoch_ms
+from strider.functions.timecols import day_folder, epoch_ms
 from strider.schemas import LOCATION_COLUMNS
 
 # Constants of the derived views.
@@ -30,7 +30,7 @@ def _base(events: DataFrame) -> DataFrame:
     """Keys and the helper terms e (event id), c (class), v (value), k (props.k)."""
     return events.select(
         F.col("event_id"),
-        F.date_format("ts", "ddMMyy").alias("date"),
+        day_folder("ts").alias("date"),
         epoch_ms("ts").alias("Time"),
         F.col("user_id"),
         (F.col("user_id") % 9).alias("_c"),

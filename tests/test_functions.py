@@ -80,3 +80,22 @@ def test_activity_text(spark):
 def test_magnitude(spark):
     got = col_values(spark, [(3.0, 4.0, 12.0)], "x double, y double, z double", magnitude("x", "y", "z"))
     assert got == [13.0]
+
+
+def test_time_columns_ignore_session_time_zone(spark):
+    from strider.functions.timecols import day_folder, epoch_ms, epoch_ms_whole_seconds
+    df = spark.createDataFrame([("2024-07-01 00:30:07.179575",), ("2024-03-10 02:30:00.001",),
+                                ("2024-11-03 01:30:00",)], "s string").select(
+        F.col("s").cast("timestamp_ntz").alias("ts"))
+    exprs = [epoch_ms("ts"), epoch_ms_whole_seconds("ts"), day_folder("ts"),
+             half_hour_slot(epoch_ms("ts")), iso_weekday(epoch_ms("ts"))]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        la = [tuple(r) for r in df.select(*exprs).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    utc = [tuple(r) for r in df.select(*exprs).collect()]
+    assert la == utc
+    assert utc[0] == (1719793807179, 1719793807000, "010724", 1, 1)
+    assert utc[1][0] == 1710037800001 and utc[1][2] == "100324"
