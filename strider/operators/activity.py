@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -15,6 +16,9 @@ SPLIT_SEED = 1234
 TRAIN_FRACTION = 0.8
 # Depths of the reference sweep and of the reported tree.
 SWEEP_DEPTHS = (1, 5, 10)
+# Independent fits are submitted from this many driver threads at once (Spark runs
+# their jobs side by side, as CrossValidator's ``parallelism`` does).
+FIT_PARALLELISM = 4
 REPORT_DEPTH = 10
 NUM_TREES = 5
 _HASH_SPACE = 1 << 30
@@ -101,7 +105,7 @@ def fit_tree(train: DataFrame, label_col: str, max_depth: int | None = None,
 def tree_reports(df: DataFrame, features: list[str], label_col: str = "CoarseLabel",
                  depths: tuple[int, ...] = (REPORT_DEPTH,), key_cols: tuple[str, ...] = ("date", "Time"),
                  fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED,
-                 with_tree: bool = False) -> DataFrame:
+                 with_tree: bool = False, parallelism: int = FIT_PARALLELISM) -> DataFrame:
     """Fit one tree per depth on a hash split; rows Depth, Accuracy, Precision, Recall (+ Tree).
 
     The assembled data is persisted (memory, spilling to disk) while the trees are
@@ -110,13 +114,15 @@ def tree_reports(df: DataFrame, features: list[str], label_col: str = "CoarseLab
     """
     data = _assemble(df.na.drop(), features).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = hash_split(data, key_cols, fraction, seed)
-    rows = []
+
+    def report(depth: int) -> tuple:
+        model = fit_tree(train, label_col, depth)
+        m = classification_metrics(model.transform(test), label_col).first()
+        return (int(depth), float(m["accuracy"]), float(m["weighted_precision"]),
+                float(m["weighted_recall"]), model.toDebugString if with_tree else None)
     try:
-        for depth in depths:
-            model = fit_tree(train, label_col, depth)
-            m = classification_metrics(model.transform(test), label_col).first()
-            rows.append((int(depth), float(m["accuracy"]), float(m["weighted_precision"]),
-                         float(m["weighted_recall"]), model.toDebugString if with_tree else None))
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(depths)))) as pool:
+            rows = list(pool.map(report, depths))
     finally:
         data.unpersist()
     report = df.sparkSession.createDataFrame(
@@ -132,7 +138,8 @@ def metrics_for_depth(metrics: DataFrame, depth: int) -> DataFrame:
 def bagged_trees(df: DataFrame, features: list[str], label_col: str = "CoarseLabel",
                  num_trees: int = NUM_TREES, max_depth: int | None = None,
                  key_cols: tuple[str, ...] = ("date", "Time"), fraction: float = TRAIN_FRACTION,
-                 seed: int = SPLIT_SEED, keep: tuple[str, ...] = ("date", "Time")) -> DataFrame:
+                 seed: int = SPLIT_SEED, keep: tuple[str, ...] = ("date", "Time"),
+                 parallelism: int = FIT_PARALLELISM) -> DataFrame:
     """Bootstrap-aggregated decision trees; one output row per test row.
 
     Tree ``i`` trains on a bootstrap sample drawn with seed ``i``, expressed as Poisson
@@ -143,11 +150,13 @@ def bagged_trees(df: DataFrame, features: list[str], label_col: str = "CoarseLab
     data = _assemble(df.na.drop(), features)
     train, test = hash_split(data, key_cols, fraction, seed)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    models = []
+
+    def fit(i: int):
+        sample = train.withColumn("_w", poisson_weight(key_cols, i)).where(F.col("_w") > 0)
+        return fit_tree(sample, label_col, max_depth, f"prediction_{i}", "_w")
     try:
-        for i in range(num_trees):
-            sample = train.withColumn("_w", poisson_weight(key_cols, i)).where(F.col("_w") > 0)
-            models.append(fit_tree(sample, label_col, max_depth, f"prediction_{i}", "_w"))
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, num_trees))) as pool:
+            models = list(pool.map(fit, range(num_trees)))
     finally:
         train.unpersist()
     out = test

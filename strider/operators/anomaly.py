@@ -24,8 +24,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,11 +87,11 @@ def build_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[
     return [(i, *row) for i, row in enumerate(nodes)]
 
 
-def _tree_builder(max_depth: int, seed: int):
+def _tree_builder(max_depth: int, seed: int, cols: list[str]):
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_rank", kind="mergesort")
         tree_id = int(pdf["tree_id"].iloc[0])
-        x = np.stack(pdf["_x"].to_numpy()).astype(float)
+        x = pdf[cols].to_numpy(dtype=float)
         rows = build_tree(x, np.random.default_rng([seed, tree_id]), max_depth)
         out = pd.DataFrame(rows, columns=["node", "feature", "threshold", "left", "right", "path"])
         out.insert(0, "tree_id", tree_id)
@@ -121,7 +120,7 @@ def _pack_forest(nodes: list) -> dict:
     }
 
 
-def _scorer(forest_bc, psi: int, max_depth: int, out_cols: list[str]):
+def _scorer(forest_bc, psi: int, max_depth: int, out_cols: list[str], x_cols: list[str]):
     c_psi = float(average_path_length([psi])[0]) or 1.0
 
     def score(batches):
@@ -131,7 +130,7 @@ def _scorer(forest_bc, psi: int, max_depth: int, out_cols: list[str]):
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            x = np.stack(pdf["_x"].to_numpy()).astype(float)
+            x = pdf[x_cols].to_numpy(dtype=float)
             rows = np.arange(len(x))[:, None]
             node = np.broadcast_to(roots, (len(x), len(roots))).copy()
             for _ in range(max_depth):
@@ -160,38 +159,43 @@ def isolation_forest(df: DataFrame, features: list[str] | tuple[str, ...] = tupl
     ``score_sample`` (−2^(−E[h]/c(psi))) and ``prediction`` (−1 anomaly, 1 normal)."""
     features = list(features)
     keep = list(dict.fromkeys([*keep, *key_cols]))
+    x_cols = [f"_x{i}" for i in range(len(features))]
     data = df.select(*keep, *[c for c in features if c not in keep]).na.drop(subset=features)
-    vec = VectorAssembler(inputCols=features, outputCol="_v").transform(data)
-    if scale:
-        vec = StandardScaler(inputCol="_v", outputCol="_s", withStd=True, withMean=False).fit(vec).transform(vec)
-        vec = vec.withColumn("_x", vector_to_array("_s")).drop("_v", "_s")
-    else:
-        vec = vec.withColumn("_x", vector_to_array("_v")).drop("_v")
-    spark = df.sparkSession
-    n = vec.count()
+    fit = data.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_samp(f).alias(f) for f in features]).first()
+    n = int(fit["n"])
     if n == 0:
         return data.select(*data.columns, *[F.lit(None).cast("double").alias(c) for c in ("score_sample", "score")],
                            F.lit(None).cast("int").alias("prediction"))
+
+    def scaled(f: str) -> F.Column:
+        std = fit[f]
+        if not scale:
+            return F.col(f).cast("double")
+        return F.lit(0.0) if not std else F.col(f) / F.lit(float(std))
+    vec = data.select(*data.columns, *[scaled(f).alias(x) for f, x in zip(features, x_cols)])
+    spark = df.sparkSession
     psi = min(max_samples, n)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     p = min(1.0, oversample * psi / n)
     q = min(1.0, num_trees * p)
     keys = [F.col(c) for c in key_cols]
-    pool = vec.where(_uniform(keys, F.lit(seed)) < q).select(*key_cols, "_x")
-    trees = F.filter(F.sequence(F.lit(0), F.lit(num_trees - 1)),
-                     lambda t: _uniform(keys, t * 7919 + seed + 1) < p / q)
-    drawn = (pool.withColumn("tree_id", F.explode(trees))
+    pool = vec.where(_uniform(keys, F.lit(seed)) < q).select(*key_cols, *x_cols)
+    # The pool holds at most about trees * oversample * psi rows whatever n is, so the
+    # fan-out to all trees is bounded by trees² * oversample * psi rows.
+    drawn = (pool.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(num_trees - 1))))
              .withColumn("tree_id", F.col("tree_id").cast("int"))
+             .where(_uniform(keys, F.col("tree_id") * 7919 + seed + 1) < p / q)
              .withColumn("_rank", F.xxhash64(*keys, F.col("tree_id"), F.lit(seed + 2))))
     per_tree = Window.partitionBy("tree_id").orderBy("_rank", *key_cols)
     sample = (drawn.withColumn("_k", F.row_number().over(per_tree)).where(F.col("_k") <= psi)
-              .select("tree_id", "_rank", "_x"))
-    nodes = sample.groupBy("tree_id").applyInPandas(_tree_builder(max_depth, seed), NODE_SCHEMA).collect()
+              .select("tree_id", "_rank", *x_cols))
+    nodes = (sample.groupBy("tree_id")
+             .applyInPandas(_tree_builder(max_depth, seed, x_cols), NODE_SCHEMA).collect())
     forest = spark.sparkContext.broadcast(_pack_forest([tuple(r) for r in nodes]))
-    out_cols = [c for c in vec.columns if c != "_x"]
+    out_cols = list(data.columns)
     out_schema = T.StructType([vec.schema[c] for c in out_cols] +
                               [T.StructField("score_sample", T.DoubleType())])
-    scored = vec.mapInPandas(_scorer(forest, psi, max_depth, out_cols), out_schema)
+    scored = vec.mapInPandas(_scorer(forest, psi, max_depth, out_cols, x_cols), out_schema)
     if exact_threshold:
         scored = materialize(scored)
         offset = F.lit(exact_quantile(scored, "score_sample", contamination))

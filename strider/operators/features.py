@@ -44,44 +44,67 @@ def with_magnitudes(df: DataFrame, drop_incomplete: bool = True) -> DataFrame:
     return out.na.drop() if drop_incomplete else out
 
 
+def moments_fit(df: DataFrame, features: list[str] | tuple[str, ...], population: bool = False) -> dict:
+    """Fit: row count, mean and standard deviation per feature, as one aggregate row.
+
+    One distributed pass with partial aggregation; only this single row reaches the
+    driver (like an ML estimator's ``fit``), and the transform uses its values as
+    literals.
+    """
+    std = F.stddev_pop if population else F.stddev_samp
+    row = df.agg(F.count(F.lit(1)).alias("count"),
+                 *[std(f).alias(f"std_{f}") for f in features],
+                 *[F.avg(f).alias(f"mean_{f}") for f in features]).first()
+    return row.asDict()
+
+
 def scale_features(df: DataFrame, features: list[str] | tuple[str, ...] = tuple(ANOMALY_FEATURES),
-                   keep: list[str] | tuple[str, ...] = (), with_mean: bool = False,
-                   as_columns: bool = True) -> DataFrame:
+                   keep: list[str] | tuple[str, ...] = (), with_mean: bool = False) -> DataFrame:
     """Divide each feature by its sample standard deviation (no centring by default).
 
-    Fit and transform use Spark ML (``VectorAssembler`` skipping rows with missing
-    values, ``StandardScaler``); the fit is one distributed summary pass.  With
-    ``as_columns`` the scaled vector is returned as one column per feature.
+    Rows with a null or NaN feature are skipped (as the vector assembler does).  A
+    feature with zero deviation scales to 0.  Same result as Spark ML's
+    ``StandardScaler(withStd=True, withMean=False)`` but as plain column arithmetic,
+    so the projection stays inside whole-stage code generation.
     """
+    features = list(features)
+    data = df.select(*keep, *[c for c in features if c not in keep]).na.drop(subset=features)
+    fit = moments_fit(data, features)
+
+    def scaled(f: str) -> Column:
+        std = fit[f"std_{f}"]
+        if not std:
+            return F.lit(0.0).alias(f)
+        x = F.col(f) - F.lit(fit[f"mean_{f}"]) if with_mean else F.col(f)
+        return (x / F.lit(std)).alias(f)
+    return data.select(*keep, *[scaled(f) for f in features if f not in keep])
+
+
+def scale_features_ml(df: DataFrame, features: list[str] | tuple[str, ...] = tuple(ANOMALY_FEATURES),
+                      keep: list[str] | tuple[str, ...] = (), with_mean: bool = False) -> DataFrame:
+    """``scale_features`` through Spark ML (``VectorAssembler`` + ``StandardScaler``)."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
     vec = assembler.transform(df.select(*keep, *features))
     scaler = StandardScaler(inputCol="_features", outputCol="scaled_features",
                             withStd=True, withMean=with_mean)
     scaled = scaler.fit(vec).transform(vec)
-    if not as_columns:
-        return scaled.select(*keep, *features, "scaled_features")
     arr = vector_to_array("scaled_features")
     return scaled.select(*keep, *[arr[i].alias(name) for i, name in enumerate(features)])
 
 
 def zscores(df: DataFrame, cols: list[str] | tuple[str, ...] = ("Latitude", "Longitude"),
-            keep: list[str] | tuple[str, ...] = ()) -> tuple[DataFrame, Column]:
-    """(x - mean) / population std per column.
-
-    The fit is one aggregate row used as a scalar subquery of the same plan (no cross
-    join, no collect).  Returns the scaled frame and the fit struct column
-    (``mean_<c>``, ``std_<c>``) for the inverse transform.
-    """
-    fit = df.agg(F.struct(*[F.avg(c).alias(f"mean_{c}") for c in cols],
-                          *[F.stddev_pop(c).alias(f"std_{c}") for c in cols]).alias("fit")).scalar()
-    scaled = df.select(*keep, *[((F.col(c) - fit[f"mean_{c}"]) / fit[f"std_{c}"]).alias(f"{c}_z")
+            keep: list[str] | tuple[str, ...] = ()) -> tuple[DataFrame, dict]:
+    """(x - mean) / population std per column; returns the frame and the fit values
+    (``mean_<c>``, ``std_<c>``) for the inverse transform."""
+    fit = moments_fit(df, cols, population=True)
+    scaled = df.select(*keep, *[((F.col(c) - F.lit(fit[f"mean_{c}"])) / F.lit(fit[f"std_{c}"])).alias(f"{c}_z")
                                 for c in cols])
     return scaled, fit
 
 
-def unscale(z: Column, fit: Column, col: str) -> Column:
+def unscale(z: Column, fit: dict, col: str) -> Column:
     """Inverse of ``zscores`` for one column."""
-    return z * fit[f"std_{col}"] + fit[f"mean_{col}"]
+    return z * F.lit(fit[f"std_{col}"]) + F.lit(fit[f"mean_{col}"])
 
 
 def half_hour_features(df: DataFrame, time_col: str = "Time") -> DataFrame:
