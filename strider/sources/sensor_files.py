@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strider.schemas import KIND_ORDER, SCHEMAS
+from strider.schemas import KIND_ORDER, SCHEMAS, with_date
 
 _PARENT_DIR = r"/([^/]+)/[^/]+$"
 
@@ -69,6 +69,14 @@ def read_sensor_text(spark: SparkSession, base: str, kind: str, mode: str = "str
            .option("recursiveFileLookup", "true")
            .option("pathGlobFilter", f"*{kind}*.txt")
            .load(base))
+    return typed_sensor_lines(raw, kind, mode)
+
+
+def typed_sensor_lines(raw: DataFrame, kind: str, mode: str = "strict") -> DataFrame:
+    """Text-source rows (``value`` + ``_metadata``) of ``kind`` files → typed rows + ``date``.
+
+    Shared by the batch reader and the streaming ingest.
+    """
     lines = (raw.where(kind_from_name() == kind)
              .select("value", date_from_path().alias("date")))
     return parse_sensor_lines(lines, kind, mode=mode)
@@ -85,3 +93,12 @@ def read_sensor_csv(spark: SparkSession, base: str, kind: str,
     df = (spark.read.schema(SCHEMAS[kind]).option("header", "true")
           .option("mode", "PERMISSIVE").csv(pattern))
     return df.withColumn("date", date_from_path())
+
+
+def read_sensor_table(spark: SparkSession, path: str, kind: str, fmt: str = "parquet") -> DataFrame:
+    """A day-partitioned sensor table written by the sinks, with its declared schema.
+
+    The explicit schema keeps ``date`` a string (partition inference would turn
+    ``010317`` into the number 10317) and lets filters on ``date`` prune folders.
+    """
+    return spark.read.format(fmt).schema(with_date(SCHEMAS[kind])).load(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, partition_by: tuple[str, ...] | list[str] = ("date",),
@@ -39,6 +40,38 @@ def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int,
     writer.saveAsTable(table)
 
 
+def replace_results(results: DataFrame | None, path: str, fmt: str = "parquet") -> bool:
+    """Overwrite a result table, unless the new result is missing or empty.
+
+    An empty statistics result (for example a time range without rows) leaves the
+    previous result in place.  The emptiness test reads at most one row.  Returns
+    whether the table was written.
+    """
+    if results is None or results.isEmpty():
+        return False
+    results.write.mode("overwrite").format(fmt).save(path)
+    return True
+
+
+def report_lines(report: DataFrame, title: str = "Decision Tree Classifier Results") -> DataFrame:
+    """Report rows (Depth, Accuracy, Precision, Recall[, Tree]) → text lines.
+
+    Metrics are printed with 4 decimals, followed by the tree structure when present.
+    """
+    fmt = F.concat_ws("\n", F.lit(title), F.lit("-" * 31),
+                      F.format_string("Accuracy: %.4f", "Accuracy"),
+                      F.format_string("Precision: %.4f", "Precision"),
+                      F.format_string("Recall: %.4f", "Recall"),
+                      *([F.lit(""), F.lit("Decision Tree Structure:"), F.col("Tree")]
+                        if "Tree" in report.columns else []))
+    return report.select(fmt.alias("value"))
+
+
+def write_report_text(report: DataFrame, path: str) -> None:
+    """Model report as a text file (one small file; the report has one row per depth)."""
+    report_lines(report).coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """Model report rows (metrics, tree text) as JSON lines in one file."""
     report.coalesce(1).write.mode("overwrite").json(path)

@@ -94,3 +94,25 @@ def test_prediction_and_anomaly_writers(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "anom")).count() == 1
     sinks.write_report(df.select(F.lit(0.5).alias("Accuracy")).limit(1), str(tmp_path / "report"))
     assert spark.read.json(str(tmp_path / "report")).first().Accuracy == 0.5
+
+
+def test_replace_results_keeps_old_on_empty(spark, tmp_path):
+    path = str(tmp_path / "stats")
+    first = spark.createDataFrame([("Still", 1.0)], "Activity string, Percentage double")
+    assert sinks.replace_results(first, path)
+    assert not sinks.replace_results(first.where("Percentage > 5"), path)
+    assert not sinks.replace_results(None, path)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_report_text_and_locations(spark, tmp_path):
+    rep = spark.createDataFrame([(10, 0.61236, 0.5, 0.61236, "If (feature 0 <= 1.0)")],
+                                "Depth int, Accuracy double, Precision double, Recall double, Tree string")
+    text = sinks.report_lines(rep).first().value.split("\n")
+    assert text[2:5] == ["Accuracy: 0.6124", "Precision: 0.5000", "Recall: 0.6124"]
+    assert text[-1] == "If (feature 0 <= 1.0)"
+    sinks.write_report_text(rep, str(tmp_path / "report_txt"))
+    assert spark.read.text(str(tmp_path / "report_txt")).count() == len(text)
+    locs = spark.createDataFrame([(50.8, -0.1, 3)], "Predicted_Latitude double, Predicted_Longitude double, half_hour_interval int")
+    sinks.write_predicted_locations(locs, str(tmp_path / "pred_loc"))
+    assert spark.read.parquet(str(tmp_path / "pred_loc")).count() == 1
