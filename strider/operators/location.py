@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -94,9 +96,10 @@ def nearby(origins: DataFrame, places: DataFrame, radius_m: float = NEARBY_RADIU
     o_lat, o_lng = origin_cols
     p_lat, p_lng = place_cols
     cell_lat = radius_m / (EARTH_RADIUS_M * DEG_TO_RAD) * 1.0001
-    top = places.select(F.max(F.abs(F.col(p_lat)))).scalar()
-    widest = F.least(top + F.lit(cell_lat), F.lit(89.0))
-    cell_lng = F.lit(cell_lat * 1.01) / F.cos(widest * F.lit(DEG_TO_RAD))
+    # Cell width from the highest place latitude: one aggregate value, used as a literal.
+    top = places.agg(F.max(F.abs(F.col(p_lat)))).first()[0]
+    widest = min((top or 0.0) + cell_lat, 89.0)
+    cell_lng = cell_lat * 1.01 / math.cos(widest * DEG_TO_RAD)
     p = places.select(*places.columns,
                       F.floor(F.col(p_lat) / cell_lat).alias("_cy"),
                       F.floor(F.col(p_lng) / cell_lng).alias("_cx"))

@@ -84,20 +84,23 @@ def kth_row(df: DataFrame, order_cols: list[str], k: int, **kw) -> tuple | None:
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram over [min, max]; the last bin is closed; empty bins shown.
 
-    ``min`` and ``max`` are scalar subqueries of the same plan (no cross join).  The bin
-    grid (``bins`` rows) is generated, not collected.
+    ``min`` and ``max`` come from one aggregate row (a bounded fit, applied as
+    literals); the counts are one grouped count with map-side partial aggregation, and
+    the bin grid (``bins`` rows) is generated, not collected.
     """
     x = F.col(col).cast("double")
     values = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    lo = values.select(F.min("x")).scalar()
-    hi = values.select(F.max("x")).scalar()
+    lo, hi = values.agg(F.min("x"), F.max("x")).first()
+    grid = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    if lo is None:
+        return grid.select("bin", F.lit(None).cast("double").alias("bin_start"),
+                           F.lit(None).cast("double").alias("bin_end"), F.lit(0).cast("long").alias("count"))
     span = hi - lo
-    b = F.when(span == 0, F.lit(1)).otherwise(
-        F.least(F.floor((F.col("x") - lo) / span * bins) + 1, F.lit(bins))).cast("int")
+    b = (F.lit(1) if span == 0 else
+         F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(span) * bins) + 1, F.lit(bins))).cast("int")
     counts = values.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     return (grid.join(counts, "bin", "left")
             .select("bin",
-                    (lo + (F.col("bin") - 1) * span / bins).alias("bin_start"),
-                    (lo + F.col("bin") * span / bins).alias("bin_end"),
+                    (F.lit(lo) + (F.col("bin") - 1) * F.lit(span) / bins).alias("bin_start"),
+                    (F.lit(lo) + F.col("bin") * F.lit(span) / bins).alias("bin_end"),
                     F.coalesce("count", F.lit(0)).cast("long").alias("count")))
