@@ -31,6 +31,10 @@ def kind_from_name(name: Column | str = "_metadata.file_name") -> Column:
     return F.when(name.endswith(".txt"), expr)
 
 
+# Characters treated as blanks around and between fields.
+BLANKS = " \t\r\n\f\u000b"
+
+
 def parse_sensor_lines(lines: DataFrame, kind: str, value_col: str = "value",
                        mode: str = "strict") -> DataFrame:
     """Split whitespace-separated lines into the typed columns of ``kind``.
@@ -39,24 +43,23 @@ def parse_sensor_lines(lines: DataFrame, kind: str, value_col: str = "value",
     blank lines are skipped, ``NaN`` text becomes NaN and unparsable fields null.
     Short rows are padded with nulls; a row with more fields than the kind has fails
     the job (``mode="strict"``) or keeps the leading fields (``"permissive"``).  Other
-    columns of ``lines`` are carried along.
+    columns of ``lines`` are carried along.  The line is split once (one regular
+    expression); the field-count check sits in the same projection.
     """
+    if mode not in ("strict", "permissive"):
+        raise ValueError(f"mode must be 'strict' or 'permissive', not {mode!r}")
     schema = SCHEMAS[kind]
     n = len(schema.fields)
-    text = F.trim(F.regexp_replace(F.col(value_col), r"\s+", " "))
-    fields = F.split(text, " ")
+    text = F.btrim(F.col(value_col), F.lit(BLANKS))
     carried = [c for c in lines.columns if c != value_col]
-    parsed = lines.where(F.length(text) > 0).select(*carried, fields.alias("_f"))
-    typed = [F.get(F.col("_f"), i).try_cast(f.dataType).alias(f.name)
-             for i, f in enumerate(schema.fields)]
+    split = (lines.where(F.length(text) > 0)
+             .select(*carried, F.split(text, r"\s+").alias("_f")))
+    typed = [F.get(F.col("_f"), i).try_cast(f.dataType) for i, f in enumerate(schema.fields)]
     if mode == "strict":
-        check = F.when(F.size("_f") > n, F.raise_error(
-            F.concat(F.lit(f"{kind} row with more than {n} fields: "),
-                     F.array_join(F.col("_f"), " "))))
-        parsed = parsed.where(check.isNull())
-    elif mode != "permissive":
-        raise ValueError(f"mode must be 'strict' or 'permissive', not {mode!r}")
-    return parsed.select(*carried, *typed)
+        too_long = F.raise_error(F.concat(F.lit(f"{kind} row with more than {n} fields: "),
+                                          F.array_join(F.col("_f"), " ")))
+        typed[0] = F.when(F.size("_f") > n, too_long).otherwise(typed[0])
+    return split.select(*carried, *[c.alias(f.name) for c, f in zip(typed, schema.fields)])
 
 
 def read_sensor_text(spark: SparkSession, base: str, kind: str, mode: str = "strict") -> DataFrame:
