@@ -54,3 +54,24 @@ def test_no_cross_products_anywhere(spark):
     for key in PLAN_ONLY:
         plan = plan_of(entry.queries()[key](spark, SF))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, key
+
+
+def test_filters_reach_storage_on_written_tables(spark, tmp_path):
+    """On a day-partitioned label table, day lookups prune folders and time ranges
+    become Parquet row-group filters."""
+    from strider.operators import stats
+    from strider.sources import sinks
+    from strider.sources.bindings import Tables
+    from strider.sources.sensor_files import read_sensor_table
+    from strider.schemas import LABEL_COLUMNS
+    path = str(tmp_path / "Label")
+    sinks.write_table(Tables(spark, SF).labels.select(*LABEL_COLUMNS, "date"), path, mode="overwrite")
+    table = read_sensor_table(spark, path, "Label")
+    ranged = plan_of(stats.range_activity_stats(table, 1704866400000))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(Time,1704866400000\)", ranged)
+    assert re.search(r"ReadSchema: struct<Time:bigint,CoarseLabel:int>", ranged)
+    daily = stats.daily_activity_stats(table.where("date = '150124'"))
+    plan = plan_of(daily)
+    assert re.search(r"PartitionFilters: \[[^\]]*\(date#\d+ = 150124\)", plan)
+    direct = stats.daily_activity_stats(Tables(spark, SF).labels.where("date = '150124'"))
+    assert daily.count() > 0 and daily.exceptAll(direct).count() == 0
