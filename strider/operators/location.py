@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -148,14 +149,20 @@ def next_location(locations: DataFrame, n: int = 10, fraction: float = 0.8,
     data = VectorAssembler(inputCols=lag_cols, outputCol="features").transform(seqs)
     train = data.where(F.col("split") == "train")
     test = data.where(F.col("split") == "test")
-    out = test
-    for target, pred in (("Latitude_z", "_lat_z"), ("Longitude_z", "_lng_z")):
+
+    def fit_one(target_pred: tuple[str, str]):
+        target, pred = target_pred
         if model == "gbt":
             est = GBTRegressor(featuresCol="features", labelCol=target, predictionCol=pred, seed=42)
         else:
             est = LinearRegression(featuresCol="features", labelCol=target, predictionCol=pred,
                                    solver="normal")
-        out = est.fit(train).transform(out)
+        return est.fit(train)
+    with ThreadPoolExecutor(max_workers=2) as pool:       # the two coordinates fit side by side
+        models = list(pool.map(fit_one, (("Latitude_z", "_lat_z"), ("Longitude_z", "_lng_z"))))
+    out = test
+    for fitted in models:
+        out = fitted.transform(out)
     return out.select(
         *keys,
         unscale(F.col("_lat_z"), fit, "Latitude").alias("Predicted_Latitude"),

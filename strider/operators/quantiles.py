@@ -11,6 +11,7 @@ holds a single distinct value.
 
 from __future__ import annotations
 
+import bisect
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -20,48 +21,75 @@ DEFAULT_BINS = 4096
 DEFAULT_MAX_BAND = 200_000
 
 
-def kth_smallest(df: DataFrame, col: str, k: int, bins: int = DEFAULT_BINS,
-                 max_band: int = DEFAULT_MAX_BAND):
-    """k-th smallest (0-based) non-null value of numeric ``col``; None if out of range."""
+def _numeric(df: DataFrame, col: str) -> DataFrame:
     x = F.col(col)
-    data = df.select(col).where(x.isNotNull() & ~F.isnan(x.cast("double")))
+    return df.select(col).where(x.isNotNull() & ~F.isnan(x.cast("double")))
+
+
+def order_statistics(df: DataFrame, col: str, ks, bins: int = DEFAULT_BINS,
+                     max_band: int = DEFAULT_MAX_BAND) -> tuple[int, dict]:
+    """Exact k-th smallest values (0-based) of numeric ``col`` for every k in ``ks``.
+
+    ``ks`` is a list of ranks or a function of the value count returning one.
+
+    Returns ``(n, {k: (value, n_less)})`` where ``n`` counts non-null values and
+    ``n_less`` is how many values are strictly smaller than ``value``.  The first
+    aggregate (min, max, count) is shared by all ranks, and a band small enough to
+    fetch is fetched once for all ranks that fall in it.
+    """
+    x = F.col(col)
+    data = _numeric(df, col)
     first = data.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    if first is None or first["n"] == 0 or k < 0 or k >= first["n"]:
-        return None
-    lo, hi, n_band, below = first["lo"], first["hi"], first["n"], 0
-    band: Column = F.lit(True)
-    while True:
+    n = int(first["n"])
+    wanted = sorted({k for k in (ks(n) if callable(ks) else ks) if 0 <= k < n})
+    out: dict = {}
+    # Each pending band: (predicate, lo, hi, size, below, ranks inside it)
+    pending = [(F.lit(True), first["lo"], first["hi"], n, 0, wanted)] if wanted else []
+    while pending:
+        band, lo, hi, size, below, ranks = pending.pop()
         if lo == hi:
-            return lo
-        if n_band <= max_band:
+            out.update({k: (lo, below) for k in ranks})
+            continue
+        if size <= max_band:
             values = sorted(r[0] for r in data.where(band).collect())
-            return values[k - below]
+            for k in ranks:
+                v = values[k - below]
+                out[k] = (v, below + bisect.bisect_left(values, v))
+            continue
         span = float(hi) - float(lo)
         bucket = F.least(F.floor((x.cast("double") - F.lit(float(lo))) / F.lit(span) * bins),
                          F.lit(bins - 1)).cast("int")
         hist = (data.where(band).groupBy(bucket.alias("b"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"))
                 .orderBy("b").collect())
+        start = below
         for row in hist:
-            if below + row["n"] > k:
-                band = band & (bucket == row["b"])
-                lo, hi, n_band = row["lo"], row["hi"], row["n"]
-                break
-            below += row["n"]
+            inside = [k for k in ranks if start <= k < start + row["n"]]
+            if inside:
+                pending.append((band & (bucket == row["b"]), row["lo"], row["hi"], row["n"], start, inside))
+            start += row["n"]
+    return n, out
+
+
+def kth_smallest(df: DataFrame, col: str, k: int, bins: int = DEFAULT_BINS,
+                 max_band: int = DEFAULT_MAX_BAND):
+    """k-th smallest (0-based) non-null value of numeric ``col``; None if out of range."""
+    _, stats = order_statistics(df, col, [k], bins, max_band)
+    return stats[k][0] if k in stats else None
 
 
 def exact_quantile(df: DataFrame, col: str, p: float, **kw) -> float | None:
     """Quantile with linear interpolation between order statistics (``quantile_cont``)."""
-    n = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))).count()
+    def ranks(n: int) -> list[int]:
+        h = (n - 1) * p
+        return [math.floor(h), math.ceil(h)]
+    n, stats = order_statistics(df, col, ranks, **kw)
     if n == 0:
         return None
     h = (n - 1) * p
     lo_i, hi_i = math.floor(h), math.ceil(h)
-    v_lo = float(kth_smallest(df, col, lo_i, **kw))
-    if hi_i == lo_i:
-        return v_lo
-    v_hi = float(kth_smallest(df, col, hi_i, **kw))
-    return v_lo + (h - lo_i) * (v_hi - v_lo)
+    v_lo, v_hi = float(stats[lo_i][0]), float(stats[hi_i][0])
+    return v_lo if hi_i == lo_i else v_lo + (h - lo_i) * (v_hi - v_lo)
 
 
 def kth_row(df: DataFrame, order_cols: list[str], k: int, **kw) -> tuple | None:
@@ -69,15 +97,14 @@ def kth_row(df: DataFrame, order_cols: list[str], k: int, **kw) -> tuple | None:
     prefix: Column = F.lit(True)
     key = []
     rank = k
-    for i, c in enumerate(order_cols):
-        rows = df.where(prefix)
-        value = kth_smallest(rows, c, rank, **kw)
-        if value is None:
+    for c in order_cols:
+        _, stats = order_statistics(df.where(prefix), c, [rank], **kw)
+        if rank not in stats:
             return None
+        value, n_less = stats[rank]
         key.append(value)
-        if i + 1 < len(order_cols):
-            rank -= rows.where(F.col(c) < F.lit(value)).count()
-            prefix = prefix & (F.col(c) == F.lit(value))
+        rank -= n_less
+        prefix = prefix & (F.col(c) == F.lit(value))
     return tuple(key)
 
 

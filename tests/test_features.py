@@ -67,3 +67,20 @@ def test_zscores_and_half_hour(spark):
     assert sorted(r.Latitude_z for r in z.collect()) == [-1.0, 1.0]
     hh = half_hour_features(spark.createDataFrame([(1488328200000,)], "Time long")).first()
     assert (hh.hour, hh.minute, hh.half_hour_interval, hh.day_of_week) == (0, 30, 1, 3)
+
+
+def test_order_statistics_with_ties_and_small_bands(spark):
+    from strider.operators.quantiles import order_statistics
+    rnd = random.Random(9)
+    rows = [(e, rnd.choice([1, 2, 2, 3, 7, 7, 7, 11]) * 1000 + rnd.randint(0, 3)) for e in range(2000)]
+    df = spark.createDataFrame(rows, "event_id long, Time long")
+    times = sorted(t for _, t in rows)
+    ks = [0, 1, 999, 1000, 1500, 1999]
+    n, stats = order_statistics(df, "Time", ks, bins=4, max_band=30)
+    assert n == 2000
+    for k in ks:
+        value, n_less = stats[k]
+        assert value == times[k] and n_less == times.index(value)
+    order = sorted(rows, key=lambda r: (r[1], r[0]))
+    for k in (0, 733, 1999):
+        assert kth_row(df, ["Time", "event_id"], k, bins=4, max_band=30) == (order[k][1], order[k][0])
