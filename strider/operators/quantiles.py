@@ -126,7 +126,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     b = (F.lit(1) if span == 0 else
          F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(span) * bins) + 1, F.lit(bins))).cast("int")
     counts = values.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    return (grid.join(counts, "bin", "left")
+    return (grid.join(F.broadcast(counts), "bin", "left")    # at most `bins` rows
             .select("bin",
                     (F.lit(lo) + (F.col("bin") - 1) * F.lit(span) / bins).alias("bin_start"),
                     (F.lit(lo) + F.col("bin") * F.lit(span) / bins).alias("bin_end"),
