@@ -83,3 +83,19 @@ def test_isolation_forest_flags_outliers(spark):
     assert len(summary) == 6
     outl = kmeans_outliers(df, ["a", "b", "c"]).where(F.col("is_outlier")).count()
     assert 0 < outl <= 1000
+
+
+def test_model_outputs_do_not_depend_on_partitioning(spark):
+    """Recomputed partitions (e.g. after an executor loss) must give the same rows."""
+    rng = np.random.default_rng(2)
+    pts = rng.normal(size=(1500, 3))
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)],
+                               "event_id long, a double, b double, c double")
+    a = isolation_forest(df.repartition(3), ["a", "b", "c"], num_trees=20).select("event_id", "score", "prediction")
+    b = isolation_forest(df.repartition(11), ["a", "b", "c"], num_trees=20).select("event_id", "score", "prediction")
+    assert a.exceptAll(b).count() == 0
+    w = [r.w for r in df.repartition(5).select("event_id", poisson_weight(["event_id"], 1).alias("w"))
+         .orderBy("event_id").collect()]
+    w2 = [r.w for r in df.select("event_id", poisson_weight(["event_id"], 1).alias("w"))
+          .orderBy("event_id").collect()]
+    assert w == w2
