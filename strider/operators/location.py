@@ -73,9 +73,11 @@ def lookup_slots(route: DataFrame, slots: DataFrame, slot_col: str = "half_hour_
                  default_lat: float = DEFAULT_LAT, default_lng: float = DEFAULT_LNG) -> DataFrame:
     """Location of each requested slot; a miss gives the fallback position and time ``N/A``.
 
-    ``route`` holds at most one row per slot (48 rows), so broadcasting it is bounded.
+    Only the 48 valid slots of ``route`` are kept (one row each after ``route_by_slot``),
+    so the broadcast side has a fixed bound whatever the input.
     """
-    found = F.broadcast(route.select(F.col("half_hour_interval").alias(slot_col), "lat", "lng", "time"))
+    valid = route.where(F.col("half_hour_interval").between(0, SLOTS_PER_DAY - 1))
+    found = F.broadcast(valid.select(F.col("half_hour_interval").alias(slot_col), "lat", "lng", "time"))
     return (slots.select(F.col(slot_col).cast("int").alias(slot_col)).join(found, slot_col, "left")
             .select(F.coalesce("lat", F.lit(default_lat)).alias("lat"),
                     F.coalesce("lng", F.lit(default_lng)).alias("lng"),
