@@ -1,7 +1,6 @@
 import random
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from strider.operators.features import chronological_split, lag_sequences
 from strider.operators.quantiles import exact_quantile, histogram, kth_row, kth_smallest

@@ -43,3 +43,28 @@ def test_route_latest_wins_and_fallbacks(spark):
     assert abs(grid[47].lat - (50.8231 + 47 * 0.01)) < 1e-12
     assert default_grid(spark).count() == 48
     assert route_json(route).first().location_json == '{"lat":5.0,"lng":5.0,"half_hour_interval":0,"time":"12:00 AM"}'
+
+
+def test_next_location_invariants(spark):
+    from pyspark.sql import functions as F
+
+    from strider.operators.location import next_location
+    rnd = random.Random(4)
+    rows, e = [], 0
+    for user in range(6):
+        lat, lng = 50.8 + user / 100, -0.1
+        for step in range(120):                          # steady drift plus noise per user
+            lat += 0.001 + rnd.gauss(0, 0.0001)
+            lng += 0.0005 + rnd.gauss(0, 0.0001)
+            rows.append((user, e, 1_700_000_000_000 + step * 60_000, lat, lng))
+            e += 1
+    df = spark.createDataFrame(rows, "user_id long, event_id long, Time long, Latitude double, Longitude double")
+    out = next_location(df, n=10, fraction=0.8)
+    n_seq = 6 * (120 - 10)
+    assert out.count() == n_seq - int(0.8 * n_seq)
+    pdf = out.toPandas()
+    assert pdf.half_hour_interval.between(0, 47).all()
+    model_err = ((pdf.Predicted_Latitude - pdf.Latitude) ** 2).mean()
+    # "stay at the previous point" errs by the drift (0.001 per step) squared
+    assert model_err < 0.5 * (0.001 ** 2)
+    assert out.where(F.col("Predicted_Latitude").isNull()).count() == 0
