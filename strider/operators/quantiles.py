@@ -1,12 +1,13 @@
 """Exact order statistics without sorting or gathering the whole column.
 
-``kth_smallest`` narrows a value band with equal-width histograms: each pass is one
+``order_statistics`` narrows a value band with equal-width histograms: each pass is one
 distributed ``groupBy(bucket).count()`` over the rows still in the band (map-side
 partial counts, at most ``bins`` groups come back), so a pass over N rows leaves about
 N / bins of them.  When the band holds at most ``max_band`` rows those values are
 fetched and sorted.  The result is exact, the driver only ever sees ``bins`` counts or
 ``max_band`` values, and a column with one dominant value ends as soon as the band
-holds a single distinct value.
+holds a single distinct value.  Each pass splits a band at least in two (its minimum
+and maximum fall in different buckets), so the narrowing always ends.
 """
 
 from __future__ import annotations
