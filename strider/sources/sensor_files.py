@@ -62,15 +62,18 @@ def parse_sensor_lines(lines: DataFrame, kind: str, value_col: str = "value",
     return split.select(*carried, *[c.alias(f.name) for c, f in zip(typed, schema.fields)])
 
 
-def read_sensor_text(spark: SparkSession, base: str, kind: str, mode: str = "strict") -> DataFrame:
+def read_sensor_text(spark: SparkSession, base: str, kind: str, mode: str = "strict",
+                     stem: str | None = None) -> DataFrame:
     """All ``.txt`` files of ``kind`` under ``base`` (any depth) as one typed table + ``date``.
 
     A glob on the kind prunes the listing; the first-match rule on the file name then
-    keeps only files whose kind is exactly ``kind``.  Empty files add no rows.
+    keeps only files whose kind is exactly ``kind``.  Empty files add no rows.  With
+    ``stem`` (e.g. ``Hips_Location``) only files of that name are read, one table per
+    body position as the loader keeps them.
     """
     raw = (spark.read.format("text")
            .option("recursiveFileLookup", "true")
-           .option("pathGlobFilter", f"*{kind}*.txt")
+           .option("pathGlobFilter", f"{stem}.txt" if stem else f"*{kind}*.txt")
            .load(base))
     return typed_sensor_lines(raw, kind, mode)
 

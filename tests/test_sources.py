@@ -28,6 +28,10 @@ def test_text_parse_golden(spark, tmp_path):
     assert rows[1].Longitude == 3.0 and rows[1].Altitude == 4.0
     assert {r.date for r in rows} == {"010317"}
     assert read_sensor_text(spark, str(base), "Label").count() == 0
+    _write(str(base / "020317" / "Bag_Location.txt"), "5 0 0 1 2 3 4\n")
+    assert read_sensor_text(spark, str(base), "Location").count() == 3
+    hips = read_sensor_text(spark, str(base), "Location", stem="Hips_Location")
+    assert sorted(r.Time for r in hips.collect()) == [1488360000000, 1488360000010]
 
 
 def test_try_cast_and_padding(spark):
