@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -121,19 +123,30 @@ def half_hour_features(df: DataFrame, time_col: str = "Time") -> DataFrame:
 def lag_sequences(df: DataFrame, value_cols: list[str], n: int = 10,
                   partition_cols: list[str] | tuple[str, ...] = ("user_id",),
                   order_cols: list[str] | tuple[str, ...] = ("Time", "event_id"),
-                  bucket_width: int = 3_600_000, block_rows: int | None = 1 << 20) -> DataFrame:
+                  block_rows: int | None = 1 << 20, rows_per_partition: int = 1 << 22) -> DataFrame:
     """Each row with its ``n`` predecessors (per partition key, in ``order_cols`` order).
 
     Adds ``<v>_lag1`` … ``<v>_lag<n>`` (lag 1 = previous row) and keeps only rows that
     have a full history, i.e. the first ``n`` rows of every key give none.
 
     A plain ``Window.partitionBy(key)`` sorts a whole key in one task, which fails when
-    one key holds a large share of the rows.  With ``block_rows`` the ordinal of each
-    row inside its key is computed from per-(key, time bucket) counts, rows are cut
-    into blocks of ``block_rows`` consecutive ordinals, and the last ``n`` rows of each
-    block are also copied into the next block as history.  Every window then spans at
-    most ``block_rows + n`` rows.  ``block_rows=None`` uses the single window.
+    one key (or one time span of it) holds a large share of the rows.  Instead:
+
+    1. range-partition on the full order ``(key, order_cols)`` — unique per row, so the
+       sampled range boundaries split any hot key into balanced partitions — sort
+       within partitions and cut the lineage with a reliable checkpoint (partition
+       contents stay fixed if work is recomputed);
+    2. number rows inside each partition and add the partition's start, taken from the
+       per-partition counts (one row per partition), giving a contiguous global index;
+    3. cut the index into blocks of ``block_rows`` rows, copy the last ``n`` rows of
+       each block into the next one as history, and take the lags in a window per
+       block (at most ``block_rows + n`` rows); a lag is kept only when the row ``n``
+       back has the same key.
+
+    ``block_rows=None`` uses the single window per key instead.
     """
+    from strider.session import materialize
+
     p = list(partition_cols)
     o = list(order_cols)
     lags = {f"{v}_lag{j}": (v, j) for j in range(1, n + 1) for v in value_cols}
@@ -144,26 +157,29 @@ def lag_sequences(df: DataFrame, value_cols: list[str], n: int = 10,
                 .where(F.col("_rn") > n).drop("_rn"))
     if block_rows < n:
         raise ValueError("block_rows must be at least n")
-    bucket = F.floor(F.col(o[0]) / F.lit(bucket_width)).cast("long")
-    staged = df.withColumn("_bucket", bucket)
-    in_bucket = Window.partitionBy(*p, "_bucket").orderBy(*o)
-    # Bucket sizes come from map-side partial counts over the input (a small shuffle);
-    # taking them from the numbered rows would shuffle every row a second time.
-    staged = staged.withColumn("_rn", F.row_number().over(in_bucket) - 1)
-    counts = staged.groupBy(*p, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*p).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    indexed = (staged.join(offsets, [*p, "_bucket"], "inner")
-               .withColumn("_idx", F.col("_off") + F.col("_rn"))
-               .drop("_off", "_rn", "_bucket"))
+    keys = p + o
+    parts = max(1, -(-df.count() // rows_per_partition))
+    ranged = materialize(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys))
+    pid = F.spark_partition_id()
+    placed = ranged.select("*", pid.alias("_pid"),
+                           (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias("_pos"))
+    sizes = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per range partition: a single-partition window and a broadcast are bounded.
+    starts = sizes.select("_pid", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
+    indexed = (placed.join(F.broadcast(starts), "_pid")
+               .withColumn("_idx", F.col("_start") + F.col("_pos"))
+               .drop("_pid", "_pos", "_start"))
     own = F.floor(F.col("_idx") / F.lit(block_rows)).cast("long")
     halo = F.pmod(F.col("_idx"), F.lit(block_rows)) >= block_rows - n
     copies = indexed.withColumn("_own", own).withColumn(
         "_blk", F.explode(F.when(halo, F.array(own, own + 1)).otherwise(F.array(own))))
-    w = Window.partitionBy(*p, "_blk").orderBy("_idx")
+    w = Window.partitionBy("_blk").orderBy("_idx")
+    same_key = reduce(lambda a, b: a & b, [F.lag(c, n).over(w).eqNullSafe(F.col(c)) for c in p])
     out = copies.withColumns({name: F.lag(v, j).over(w) for name, (v, j) in lags.items()})
-    return (out.where((F.col("_blk") == F.col("_own")) & (F.col("_idx") >= n))
-            .drop("_blk", "_own", "_idx"))
+    out = out.withColumn("_full", same_key)
+    return (out.where((F.col("_blk") == F.col("_own")) & F.col("_full"))
+            .drop("_blk", "_own", "_idx", "_full"))
 
 
 def chronological_split(df: DataFrame, fraction: float = 0.8,

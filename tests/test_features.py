@@ -9,8 +9,9 @@ from strider.operators.quantiles import exact_quantile, histogram, kth_row, kth_
 def test_sequences_golden(spark):
     df = spark.createDataFrame([(1, i, i, float(i)) for i in range(13)],
                                "user_id long, event_id long, Time long, x double")
-    for block in (None, 1 << 20, 10, 11):
-        out = sorted(lag_sequences(df, ["x"], n=10, block_rows=block).collect(), key=lambda r: r.Time)
+    for block, per_part in ((None, 1), (1 << 20, 1 << 22), (10, 4), (11, 5)):
+        out = sorted(lag_sequences(df, ["x"], n=10, block_rows=block, rows_per_partition=per_part).collect(),
+                     key=lambda r: r.Time)
         assert [r.Time for r in out] == [10, 11, 12]
         assert [out[0][f"x_lag{j}"] for j in range(10, 0, -1)] == [float(v) for v in range(10)]
         assert [out[2][f"x_lag{j}"] for j in range(10, 0, -1)] == [float(v) for v in range(2, 12)]
@@ -21,11 +22,12 @@ def test_blocked_sequences_equal_single_window_with_hot_key(spark):
     rows = []
     for e in range(3000):
         user = 0 if rnd.random() < 0.6 else rnd.randint(1, 20)      # user 0 is hot
-        rows.append((user, e, rnd.randint(0, 40) * 1000, rnd.random()))
+        t = 5000 if rnd.random() < 0.33 else rnd.randint(0, 40) * 1000   # one hot timestamp
+        rows.append((user, e, t, rnd.random()))
     df = spark.createDataFrame(rows, "user_id long, event_id long, Time long, x double")
     ref = lag_sequences(df, ["x"], n=4, block_rows=None)
-    for block, bucket in ((7, 5000), (50, 1000), (1000, 3_600_000)):
-        got = lag_sequences(df, ["x"], n=4, block_rows=block, bucket_width=bucket)
+    for block, per_part in ((7, 100), (50, 333), (1000, 1 << 22)):
+        got = lag_sequences(df, ["x"], n=4, block_rows=block, rows_per_partition=per_part)
         assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
 
 
