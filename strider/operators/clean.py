@@ -41,6 +41,25 @@ def clean_tables(tables: dict[str, DataFrame], motion_tables=MOTION_TABLES,
             for name, df in tables.items()}
 
 
+def clean_catalog_tables(spark, names: list[str] | tuple[str, ...], suffix: str = "_clean",
+                         motion_tables=MOTION_TABLES, null_check: str = "all",
+                         database: str | None = None) -> list[str]:
+    """Clean the named catalog tables into ``<name><suffix>`` tables; returns the new names.
+
+    The table list is explicit, so result tables are never cleaned by accident.  Each
+    table is one distributed read → filter → write; nothing passes through the driver.
+    """
+    written = []
+    for name in names:
+        qualified = f"{database}.{name}" if database else name
+        base = name.split(".")[-1]
+        cleaned = clean_tables({base: spark.table(qualified)}, motion_tables, null_check)[base]
+        target = f"{qualified}{suffix}"
+        cleaned.write.mode("overwrite").saveAsTable(target)
+        written.append(target)
+    return written
+
+
 def standardize_dates(df: DataFrame, date_col: str = "date") -> DataFrame:
     """Rewrite ``date`` to MM/DD/YYYY where it holds six digits; other values untouched."""
     if date_col not in df.columns:

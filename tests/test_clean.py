@@ -29,3 +29,16 @@ def test_standardize_table_and_checks(spark):
     assert clean.standardize_dates(df.drop("date")).columns == ["CoarseLabel"]
     checks = clean.expectation_checks([("labels", df, "CoarseLabel", 3), ("dates", df, "date", 3)])
     assert [(r.check, r.actual, r.passed) for r in checks.collect()] == [("labels", 3, True), ("dates", 2, False)]
+
+
+def test_clean_catalog_tables(spark):
+    loc = spark.createDataFrame([(1, 0.0, 5.0, "d"), (2, None, 6.0, "d")],
+                                "Time long, Ignore1 double, Latitude double, date string")
+    motion = spark.createDataFrame([(1, 1.0, 0.0, 20.0, "d"), (2, None, 0.0, 20.0, "d")], MOTION)
+    loc.write.mode("overwrite").saveAsTable("Hips_Location")
+    motion.write.mode("overwrite").saveAsTable("Hips_Motion")
+    written = clean.clean_catalog_tables(spark, ["Hips_Location", "Hips_Motion"])
+    assert written == ["Hips_Location_clean", "Hips_Motion_clean"]
+    assert spark.table("Hips_Location_clean").columns == ["Time", "Latitude", "date"]
+    assert spark.table("Hips_Motion_clean").columns == ["Time", "Pressure", "date"]
+    assert spark.table("Hips_Motion_clean").count() == 1
