@@ -99,3 +99,32 @@ def test_time_columns_ignore_session_time_zone(spark):
     assert la == utc
     assert utc[0] == (1719793807179, 1719793807000, "010724", 1, 1)
     assert utc[1][0] == 1710037800001 and utc[1][2] == "100324"
+
+
+def _half_up(x) -> "Decimal":
+    from decimal import ROUND_HALF_UP, Decimal
+    from decimal import getcontext
+    getcontext().prec = 50
+    return (Decimal(x.numerator) / Decimal(x.denominator)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+
+
+def test_rounding_matches_exact_arithmetic(spark):
+    import random
+    from fractions import Fraction
+    rnd = random.Random(12)
+    pairs = [(c, c + rnd.randint(0, 10**7)) for c in [rnd.randint(0, 10**7) for _ in range(3000)]]
+    pairs += [(1, 8), (1, 16), (5, 400), (1, 3), (2, 3)]
+    pairs = [(c, t) for c, t in pairs if t > 0]
+    df = spark.createDataFrame(pairs, "c long, t long")
+    got = [r[0] for r in df.select(percentage("c", "t")).collect()]
+    want = [float(_half_up(Fraction(c * 100, t))) for c, t in pairs]
+    assert got == want
+
+    ms = [rnd.randint(0, 10**11) for _ in range(3000)] + [59994, 59995, 3599994, 3599995, 90300, 90299]
+    df = spark.createDataFrame([(m,) for m in ms], "ms long")
+    got = [r[0] for r in df.select(duration_text("ms", "python")).collect()]
+
+    def text(m):
+        unit, name = (1000, "seconds") if m < 60000 else (60000, "minutes") if m < 3600000 else (3600000, "hours")
+        return f"{_half_up(Fraction(m, unit))} {name}"
+    assert got == [text(m) for m in ms]
