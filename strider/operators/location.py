@@ -85,6 +85,20 @@ def lookup_slots(route: DataFrame, slots: DataFrame, slot_col: str = "half_hour_
                     F.coalesce("time", F.lit(NO_TIME)).alias("time")))
 
 
+def lookup_now(route: DataFrame) -> DataFrame:
+    """Location of the current half-hour slot (UTC clock), with the usual fallback."""
+    from strider.functions.timecols import half_hour_slot
+    now_ms = F.unix_millis(F.current_timestamp())
+    slot = route.sparkSession.range(1).select(half_hour_slot(now_ms).alias("half_hour_interval"))
+    return lookup_slots(route, slot)
+
+
+def today_text(spark: SparkSession) -> DataFrame:
+    """One row: today's date as ``December 1st, 2026``."""
+    from strider.functions.dates import ordinal_date_text
+    return spark.range(1).select(ordinal_date_text(F.current_date()).alias("formatted_date"))
+
+
 def nearby(origins: DataFrame, places: DataFrame, radius_m: float = NEARBY_RADIUS_M,
            k: int | None = NEARBY_TOP_K, origin_cols: tuple[str, str] = ("lat", "lng"),
            place_cols: tuple[str, str] = ("lat", "lng"), place_key: str = "poi_id") -> DataFrame:

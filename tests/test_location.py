@@ -68,3 +68,16 @@ def test_next_location_invariants(spark):
     # "stay at the previous point" errs by the drift (0.001 per step) squared
     assert model_err < 0.5 * (0.001 ** 2)
     assert out.where(F.col("Predicted_Latitude").isNull()).count() == 0
+
+
+def test_now_lookup_and_today_text(spark):
+    import datetime as dt
+
+    from strider.operators.location import lookup_now, today_text
+    preds = spark.createDataFrame([(1.0, 2.0, s, 1, s) for s in range(48)],
+                                  "Predicted_Latitude double, Predicted_Longitude double, half_hour_interval int, Time long, event_id long")
+    row = lookup_now(route_by_slot(preds)).first()
+    now = dt.datetime.now(dt.timezone.utc)
+    assert row.lat == 1.0 and row.time != "N/A"
+    assert abs(row.half_hour_interval - (now.hour * 2 + now.minute // 30)) <= 1
+    assert today_text(spark).first().formatted_date.endswith(str(dt.date.today().year))
