@@ -99,3 +99,20 @@ def test_model_outputs_do_not_depend_on_partitioning(spark):
     w2 = [r.w for r in df.select("event_id", poisson_weight(["event_id"], 1).alias("w"))
           .orderBy("event_id").collect()]
     assert w == w2
+
+
+def test_one_pass_metrics_equal_spark_evaluator(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    from strider.operators.activity import _assemble, fit_tree
+    from strider.schemas import MAGNITUDE_FEATURES
+    data = _assemble(_labelled(spark), MAGNITUDE_FEATURES)
+    train, test = hash_split(data, ["event_id"])
+    pred = fit_tree(train, "CoarseLabel", 4).transform(test).cache()
+    mine = classification_metrics(pred).first()
+    for metric, col in (("accuracy", "accuracy"), ("weightedPrecision", "weighted_precision"),
+                        ("weightedRecall", "weighted_recall")):
+        ev = MulticlassClassificationEvaluator(labelCol="CoarseLabel", predictionCol="prediction",
+                                               metricName=metric).evaluate(pred)
+        assert abs(ev - mine[col]) < 1e-12, metric
+    pred.unpersist()
