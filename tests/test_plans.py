@@ -75,3 +75,25 @@ def test_filters_reach_storage_on_written_tables(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*\(date#\d+ = 150124\)", plan)
     direct = stats.daily_activity_stats(Tables(spark, SF).labels.where("date = '150124'"))
     assert daily.count() > 0 and daily.exceptAll(direct).count() == 0
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    """Day-partitioned tables bucketed on Time join on (date, Time) with no exchange."""
+    from strider.operators.clean import clean_motion
+    from strider.operators.features import label_motion_join
+    from strider.sources import sinks
+    from strider.sources.bindings import Tables
+    t = Tables(spark, SF)
+    sinks.save_bucketed(t.labels, "bucketed_labels", ["Time"], 8)
+    sinks.save_bucketed(clean_motion(t.motion), "bucketed_motion", ["Time"], 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    try:
+        joined = label_motion_join(spark.table("bucketed_labels"), spark.table("bucketed_motion"))
+        plan = plan_of(joined)
+        rows = joined.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert rows == label_motion_join(t.labels, clean_motion(t.motion)).count()
