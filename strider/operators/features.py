@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strider.functions.timecols import half_hour_slot, iso_weekday, ms_to_utc
 from strider.functions.vectors import magnitude
-from strider.operators.quantiles import kth_row
+from strider.operators.quantiles import kth_row, order_statistics
 from strider.schemas import ANOMALY_FEATURES, AXIS_FEATURES
 
 JOIN_KEYS = ("date", "Time")
@@ -123,7 +123,8 @@ def half_hour_features(df: DataFrame, time_col: str = "Time") -> DataFrame:
 def lag_sequences(df: DataFrame, value_cols: list[str], n: int = 10,
                   partition_cols: list[str] | tuple[str, ...] = ("user_id",),
                   order_cols: list[str] | tuple[str, ...] = ("Time", "event_id"),
-                  block_rows: int | None = 1 << 20, rows_per_partition: int = 1 << 22) -> DataFrame:
+                  block_rows: int | None = 1 << 20, rows_per_partition: int | None = None,
+                  partition_bytes: int = 256 << 20) -> DataFrame:
     """Each row with its ``n`` predecessors (per partition key, in ``order_cols`` order).
 
     Adds ``<v>_lag1`` … ``<v>_lag<n>`` (lag 1 = previous row) and keeps only rows that
@@ -143,7 +144,9 @@ def lag_sequences(df: DataFrame, value_cols: list[str], n: int = 10,
        block (at most ``block_rows + n`` rows); a lag is kept only when the row ``n``
        back has the same key.
 
-    ``block_rows=None`` uses the single window per key instead.
+    The number of range partitions comes from Catalyst's size estimate of ``df``
+    (``partition_bytes`` each, no extra job) or, with ``rows_per_partition``, from a
+    row count.  ``block_rows=None`` uses the single window per key instead.
     """
     from strider.session import materialize
 
@@ -158,7 +161,11 @@ def lag_sequences(df: DataFrame, value_cols: list[str], n: int = 10,
     if block_rows < n:
         raise ValueError("block_rows must be at least n")
     keys = p + o
-    parts = max(1, -(-df.count() // rows_per_partition))
+    if rows_per_partition:
+        parts = max(1, -(-df.count() // rows_per_partition))
+    else:
+        estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        parts = int(min(max(1, -(-estimate // partition_bytes)), 1 << 20))
     ranged = materialize(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys))
     pid = F.spark_partition_id()
     placed = ranged.select("*", pid.alias("_pid"),
@@ -187,17 +194,20 @@ def chronological_split(df: DataFrame, fraction: float = 0.8,
                         flag_col: str = "split") -> DataFrame:
     """Mark the first ``floor(fraction * n)`` rows in ``order_cols`` order ``train``, the rest ``test``.
 
-    The cut row is found by exact distributed selection (``kth_row``), then the split
-    is a plain comparison with it — no global window sorting all rows in one task.
+    The cut row is found by exact distributed selection (the row count comes from the
+    selection's first aggregate), then the split is a plain comparison with it — no
+    global window sorting all rows in one task.
     """
-    n = df.count()
-    k = int(fraction * n)
     o = list(order_cols)
+    n, first = order_statistics(df, o[0], lambda total: [int(fraction * total)])
+    k = int(fraction * n)
     if k >= n:
         return df.withColumn(flag_col, F.lit("train"))
     if k <= 0:
         return df.withColumn(flag_col, F.lit("test"))
-    cut = kth_row(df, o, k)
+    value, n_less = first[k]
+    rest = kth_row(df.where(F.col(o[0]) == F.lit(value)), o[1:], k - n_less) if len(o) > 1 else ()
+    cut = (value, *rest)
     before: Column = F.lit(False)
     for i in reversed(range(len(o))):
         same = F.lit(True)
