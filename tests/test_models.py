@@ -116,3 +116,16 @@ def test_one_pass_metrics_equal_spark_evaluator(spark):
                                                metricName=metric).evaluate(pred)
         assert abs(ev - mine[col]) < 1e-12, metric
     pred.unpersist()
+
+
+def test_isolation_forest_approximate_cut(spark):
+    rng = np.random.default_rng(5)
+    pts = rng.normal(size=(3000, 2))
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)], "event_id long, a double, b double")
+    exact = isolation_forest(df, ["a", "b"], num_trees=30).select("event_id", "score_sample", "prediction")
+    approx = isolation_forest(df, ["a", "b"], num_trees=30, exact_threshold=False).select("event_id", "score_sample", "prediction")
+    e, a = exact.toPandas().sort_values("event_id"), approx.toPandas().sort_values("event_id")
+    assert np.allclose(e.score_sample.to_numpy(), a.score_sample.to_numpy())   # same forest
+    assert abs((a.prediction == -1).mean() - 0.05) < 0.002
+    offset = np.percentile(e.score_sample.to_numpy(), 5)          # the offset of the reference's library
+    assert ((e.score_sample - offset) < 0).sum() == (e.prediction == -1).sum()
