@@ -161,10 +161,15 @@ def lag_sequences(df: DataFrame, value_cols: list[str], n: int = 10,
     if block_rows < n:
         raise ValueError("block_rows must be at least n")
     keys = p + o
-    if rows_per_partition:
-        parts = max(1, -(-df.count() // rows_per_partition))
+    estimate = None
+    if not rows_per_partition:
+        try:
+            estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        except Exception:  # noqa: BLE001 - no JVM plan handle: size from a row count instead
+            estimate = None
+    if estimate is None:
+        parts = max(1, -(-df.count() // (rows_per_partition or (1 << 22))))
     else:
-        estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         parts = int(min(max(1, -(-estimate // partition_bytes)), 1 << 20))
     ranged = materialize(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys))
     pid = F.spark_partition_id()
