@@ -45,3 +45,27 @@ def ingest_sensor_stream(spark: SparkSession, base: str, kind: str, table_path:
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start(table_path)
+
+
+def ingest_csv_stream(spark: SparkSession, base: str, kind: str, table_path: str,
+                      file_name: str | None = None, checkpoint_location: str | None = None,
+                      available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """Start a stream: header CSV files of ``kind`` (or one named file per day folder,
+    e.g. ``Hips_Location.csv``) → typed rows + ``date`` → Parquet partitioned by ``date``."""
+    from pyspark.sql import functions as F
+
+    from strider.schemas import SCHEMAS
+    from strider.sources.sensor_files import date_from_path
+    pattern = f"{base.rstrip('/')}/*/{file_name or f'*{kind}*.csv'}"
+    rows = (spark.readStream.schema(SCHEMAS[kind]).option("header", "true").csv(pattern)
+            .withColumn("date", date_from_path(F.col("_metadata.file_path"))))
+    name = (file_name or kind).replace(".", "_")
+    writer = (rows.writeStream.format("parquet")
+              .option("checkpointLocation", checkpoint_location or default_checkpoint(spark, f"ingest_csv_{name}"))
+              .partitionBy("date")
+              .outputMode("append"))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start(table_path)
