@@ -30,7 +30,8 @@ def route_by_slot(predictions: DataFrame, lat_col: str = "Predicted_Latitude",
     """One location per slot: the latest prediction wins (``order_cols``), slot text added.
 
     A grouped ``max_by`` with partial aggregation: at most 48 groups, so a slot holding
-    most rows still aggregates map-side.
+    most rows still reduces map-side to one row per task.  The struct-valued buffer makes
+    Spark use a sort-based aggregate (each map task sorts its own rows by slot).
     """
     present = [c for c in order_cols if c in predictions.columns]
     point = F.struct(F.col(lat_col).alias("lat"), F.col(lng_col).alias("lng"))
