@@ -85,3 +85,16 @@ def test_order_statistics_with_ties_and_small_bands(spark):
     order = sorted(rows, key=lambda r: (r[1], r[0]))
     for k in (0, 733, 1999):
         assert kth_row(df, ["Time", "event_id"], k, bins=4, max_band=30) == (order[k][1], order[k][0])
+
+
+def test_scaling_equals_spark_ml_standard_scaler(spark):
+    from strider.operators.clean import clean_motion
+    from strider.operators.features import scale_features, scale_features_ml
+    from strider.schemas import ANOMALY_FEATURES
+    from strider.sources.bindings import Tables
+    motion = clean_motion(Tables(spark, "/root/testdata/sf0.001").motion)
+    mine = scale_features(motion, ANOMALY_FEATURES, keep=("event_id",)).toPandas().sort_values("event_id")
+    ml = scale_features_ml(motion, ANOMALY_FEATURES, keep=("event_id",)).toPandas().sort_values("event_id")
+    assert len(mine) == len(ml) > 0
+    for c in ANOMALY_FEATURES:
+        assert np.allclose(mine[c].to_numpy(), ml[c].to_numpy(), rtol=1e-12, atol=1e-12), c
