@@ -226,7 +226,8 @@ def q_route_json(spark, base):
 def q_next_location_lookup(spark, base):
     from strider.operators.location import lookup_slots, route_by_slot
     route = route_by_slot(_route_input(Tables(spark, base)))
-    slots = spark.createDataFrame([(s,) for s in LOOKUP_SLOTS], "half_hour_interval int")
+    slots = spark.range(1).select(
+        F.explode(F.array(*[F.lit(s).cast("int") for s in LOOKUP_SLOTS])).alias("half_hour_interval"))
     return lookup_slots(route, slots)
 
 
