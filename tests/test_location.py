@@ -81,3 +81,19 @@ def test_now_lookup_and_today_text(spark):
     assert row.lat == 1.0 and row.time != "N/A"
     assert abs(row.half_hour_interval - (now.hour * 2 + now.minute // 30)) <= 1
     assert today_text(spark).first().formatted_date.endswith(str(dt.date.today().year))
+
+
+def test_nearby_dense_cluster_and_ties(spark):
+    rnd = random.Random(13)
+    places = [(i, f"p{i}", 50.85, -0.15) for i in range(60)]                    # 60 places on one spot
+    places += [(100 + i, f"q{i}", 50.85 + rnd.gauss(0, 0.003), -0.15 + rnd.gauss(0, 0.003)) for i in range(400)]
+    origins = [(50.85 + rnd.gauss(0, 0.004), -0.15 + rnd.gauss(0, 0.004)) for _ in range(30)] + [(50.85, -0.15)]
+    p = spark.createDataFrame(places, "poi_id long, name string, lat double, lng double")
+    o = spark.createDataFrame(origins, "lat double, lng double")
+    got = {}
+    for r in nearby(o, p, 1500.0, 10).collect():
+        got.setdefault((r.origin_lat, r.origin_lng), []).append((r.rank, r.poi_id, r.distance_m))
+    for lat, lng in origins:
+        cands = sorted((round(_hav(lat, lng, pl[2], pl[3]), 2), pl[0]) for pl in places)
+        want = [(i + 1, pid, d) for i, (d, pid) in enumerate([c for c in cands if c[0] <= 1500][:10])]
+        assert sorted(got[(lat, lng)]) == want
