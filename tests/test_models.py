@@ -129,3 +129,11 @@ def test_isolation_forest_approximate_cut(spark):
     assert abs((a.prediction == -1).mean() - 0.05) < 0.002
     offset = np.percentile(e.score_sample.to_numpy(), 5)          # the offset of the reference's library
     assert ((e.score_sample - offset) < 0).sum() == (e.prediction == -1).sum()
+
+
+def test_tree_beats_majority_class(spark):
+    from strider.schemas import MAGNITUDE_FEATURES
+    df = _labelled(spark)
+    majority = df.groupBy("CoarseLabel").count().agg(F.max("count")).first()[0] / df.count()
+    rep = tree_reports(df, MAGNITUDE_FEATURES, depths=(5,), key_cols=("event_id",)).first()
+    assert rep.Accuracy > majority

@@ -47,3 +47,12 @@ def test_composition_plan_is_one_scan_without_join(spark):
     assert "Join" not in plan
     assert plan.count("FileScan") == 1
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_percentages_sum_to_100_on_test_tables(spark):
+    import __spark_entry__ as entry
+    rows = entry.queries()["dataset_activity_stats"](spark, "/root/testdata/sf0.01").collect()
+    assert abs(sum(r.Percentage for r in rows) - 100.0) <= 0.005 * len(rows) + 1e-9
+    daily = entry.queries()["daily_activity_stats"](spark, "/root/testdata/sf0.01").toPandas()
+    sums = daily.groupby("date").Percentage.sum()
+    assert ((sums - 100.0).abs() <= 0.005 * 9 + 1e-9).all()
