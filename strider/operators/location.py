@@ -29,14 +29,26 @@ def route_by_slot(predictions: DataFrame, lat_col: str = "Predicted_Latitude",
                   order_cols: tuple[str, ...] = ("Time", "event_id")) -> DataFrame:
     """One location per slot: the latest prediction wins (``order_cols``), slot text added.
 
-    A grouped ``max_by`` with partial aggregation: at most 48 groups, so a slot holding
-    most rows still reduces map-side to one row per task.  The struct-valued buffer makes
-    Spark use a sort-based aggregate (each map task sorts its own rows by slot).
+    The latest value of the first ordering column per slot is a hash aggregate with
+    map-side partial maxima (at most 48 groups, so a slot holding most rows is still one
+    row per task); joining that bounded table back (broadcast, no shuffle of the input)
+    keeps only rows at their slot's latest time, and the remaining ordering columns
+    break ties among those few rows.
     """
     present = [c for c in order_cols if c in predictions.columns]
-    point = F.struct(F.col(lat_col).alias("lat"), F.col(lng_col).alias("lng"))
-    pick = (F.max_by(point, F.struct(*present)) if present else F.max(point)).alias("p")
-    return (predictions.groupBy(F.col(slot_col).alias("half_hour_interval")).agg(pick)
+    base = predictions.select(F.col(slot_col).alias("half_hour_interval"),
+                              F.col(lat_col).alias("lat"), F.col(lng_col).alias("lng"), *present)
+    point = F.struct("lat", "lng")
+    if present:
+        first = present[0]
+        latest = base.groupBy("half_hour_interval").agg(F.max(first).alias("_latest"))
+        base = (base.join(F.broadcast(latest), "half_hour_interval")
+                .where(F.col(first) == F.col("_latest")).drop("_latest"))
+        rest = present[1:]
+        pick = F.max_by(point, F.struct(*rest)) if rest else F.max(point)
+    else:
+        pick = F.max(point)
+    return (base.groupBy("half_hour_interval").agg(pick.alias("p"))
             .select(F.col("p.lat").alias("lat"), F.col("p.lng").alias("lng"), "half_hour_interval",
                     slot_text("half_hour_interval").alias("time"))
             .orderBy("half_hour_interval"))
