@@ -156,7 +156,11 @@ def isolation_forest(df: DataFrame, features: list[str] | tuple[str, ...] = tupl
                      seed: int = 42, scale: bool = True, exact_threshold: bool = True,
                      oversample: float = 4.0) -> DataFrame:
     """Score every row; adds ``score`` (offset by the contamination cut, < 0 is anomalous),
-    ``score_sample`` (−2^(−E[h]/c(psi))) and ``prediction`` (−1 anomaly, 1 normal)."""
+    ``score_sample`` (−2^(−E[h]/c(psi))) and ``prediction`` (−1 anomaly, 1 normal).
+
+    ``key_cols`` must identify rows uniquely: samples are drawn from their hash, which
+    makes the forest independent of partitioning and row order.
+    """
     features = list(features)
     keep = list(dict.fromkeys([*keep, *key_cols]))
     x_cols = [f"_x{i}" for i in range(len(features))]
