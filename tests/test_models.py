@@ -137,3 +137,35 @@ def test_tree_beats_majority_class(spark):
     majority = df.groupBy("CoarseLabel").count().agg(F.max("count")).first()[0] / df.count()
     rep = tree_reports(df, MAGNITUDE_FEATURES, depths=(5,), key_cols=("event_id",)).first()
     assert rep.Accuracy > majority
+
+
+def test_vectorised_scoring_equals_naive_traversal():
+    import pandas as pd
+
+    from strider.operators.anomaly import _pack_forest, _scorer
+    rng = np.random.default_rng(8)
+    trees = []
+    for t in range(7):
+        sample = rng.normal(size=(64, 3))
+        trees += [(t, *row) for row in build_tree(sample, np.random.default_rng([1, t]), 6)]
+    forest = _pack_forest(trees)
+
+    class Value:                     # stands in for a broadcast variable
+        value = forest
+    x = rng.normal(size=(300, 3)) * 2
+    pdf = pd.DataFrame({"event_id": range(300), **{f"_x{i}": x[:, i] for i in range(3)}})
+    scored = next(_scorer(Value, 64, 6, ["event_id"], ["_x0", "_x1", "_x2"])(iter([pdf])))
+
+    by_tree = {}
+    for t, node, feat, thr, left, right, path in trees:
+        by_tree.setdefault(t, {})[node] = (feat, thr, left, right, path)
+    c = average_path_length([64])[0]
+    for i in range(300):
+        depths = []
+        for nodes in by_tree.values():
+            n = 0
+            while nodes[n][2] >= 0:
+                feat, thr, left, right, _ = nodes[n]
+                n = left if x[i, feat] <= thr else right
+            depths.append(nodes[n][4])
+        assert abs(scored.score_sample.iloc[i] - (-2.0 ** (-np.mean(depths) / c))) < 1e-12
