@@ -169,3 +169,22 @@ def test_vectorised_scoring_equals_naive_traversal():
                 n = left if x[i, feat] <= thr else right
             depths.append(nodes[n][4])
         assert abs(scored.score_sample.iloc[i] - (-2.0 ** (-np.mean(depths) / c))) < 1e-12
+
+
+def test_leaf_paths_are_depth_plus_expected_remainder():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(256, 4))
+    x[:40] = 0.5                                             # duplicated points end in deep leaves
+    nodes = {r[0]: r[1:] for r in build_tree(x, np.random.default_rng(11), 8)}
+    arrivals: dict[int, list[int]] = {}
+    for i in range(len(x)):
+        n, depth = 0, 0
+        while nodes[n][2] >= 0:
+            feat, thr, left, right, _ = nodes[n]
+            n = left if x[i, feat] <= thr else right
+            depth += 1
+        arrivals.setdefault(n, []).append(depth)
+    assert sum(len(v) for v in arrivals.values()) == 256
+    for leaf, depths in arrivals.items():
+        assert len(set(depths)) == 1 and depths[0] <= 8
+        assert abs(nodes[leaf][4] - (depths[0] + average_path_length([len(depths)])[0])) < 1e-12
