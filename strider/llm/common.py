@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +17,8 @@ from strider.session import ensure_checkpoint_dir
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A key is heavy when it holds at least one row in so many; at most that many keys are heavy.
 HEAVY_SHARE = 1000
+#: Bytes of text a Python task handles between two output batches.
+BATCH_BYTES = 4 << 20
 
 
 def text_of(col: str | Column = "text") -> Column:
@@ -47,6 +53,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(column: pa.Array, limit: int = BATCH_BYTES) -> Iterator[tuple[int, list[str]]]:
+    """(offset, texts) slices of a text column of about ``limit`` bytes each."""
+    sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(column):
+        done = sizes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, done + limit, side="right")))
+        yield at, column.slice(at, end - at).to_pylist()
+        at = end
+
+
 def attach(left: DataFrame, right: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
     """Left join of ``right`` (one row per key, ``size`` = left rows of that key) onto ``left``.
 

@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strider.llm import exact_dedup
+from strider.llm import exact_dedup, packing, simhash_dedup, token_counts
 from strider.sources.bindings import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
+# Production parameters.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+TOKEN_LIMIT = 512
+SEQUENCE_TOKENS = 1024
+SHINGLE_WORDS, RADIUS_BITS = 4, 4
+
 
 def register(name: str, sql: str | None = None):
     def wrap(fn: Query) -> Query:
@@ -33,3 +41,20 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM t JOIN g USING (norm)""")
 def op4_exact_dedup(spark, base):
     return exact_dedup.duplicates(read_table(spark, base, "documents"))
+
+
+@register("op5_token_counts")
+def op5_token_counts(spark, base):
+    table = token_counts.prefix_counts(read_table(spark, base, "documents"), VOCABULARY)
+    return table.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"),
+                        token_counts.fitting_prefix("steps", TOKEN_LIMIT).alias("fit_chars"))
+
+
+@register("op8_packing")
+def op8_packing(spark, base):
+    return packing.pack(read_table(spark, base, "documents"), VOCABULARY, capacity=SEQUENCE_TOKENS)
+
+
+@register("op9_simhash_dedup")
+def op9_simhash_dedup(spark, base):
+    return simhash_dedup.near_duplicates(read_table(spark, base, "documents"), SHINGLE_WORDS, RADIUS_BITS)
