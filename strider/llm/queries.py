@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strider.llm import exact_dedup, packing, simhash_dedup, token_counts
+from strider.llm import exact_dedup, packing, pii, simhash_dedup, token_counts
 from strider.sources.bindings import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,8 @@ def op8_packing(spark, base):
 @register("op9_simhash_dedup")
 def op9_simhash_dedup(spark, base):
     return simhash_dedup.near_duplicates(read_table(spark, base, "documents"), SHINGLE_WORDS, RADIUS_BITS)
+
+
+@register("op2_pii")
+def op2_pii(spark, base):
+    return pii.find(read_table(spark, base, "documents"))
