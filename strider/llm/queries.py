@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strider.llm import exact_dedup, packing, pii, simhash_dedup, token_counts
+from strider.llm import (decontaminate, exact_dedup, packing, pii, preferences, quality_crf,
+                         simhash_dedup, token_counts)
 from strider.sources.bindings import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,7 @@ ORACLE: dict[str, str] = {}
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 512
 SEQUENCE_TOKENS = 1024
+GOOD_SCORE = 0.3
 SHINGLE_WORDS, RADIUS_BITS = 4, 4
 
 
@@ -63,3 +65,42 @@ def op9_simhash_dedup(spark, base):
 @register("op2_pii")
 def op2_pii(spark, base):
     return pii.find(read_table(spark, base, "documents"))
+
+
+@register("op7_quality_crf")
+def op7_quality_crf(spark, base):
+    docs = read_table(spark, base, "documents")
+    return quality_crf.score(docs, quality_crf.fit(docs, read_table(spark, base, "labels")), GOOD_SCORE)
+
+
+@register("op6_decontaminate")
+def op6_decontaminate(spark, base):
+    return decontaminate.contaminated(read_table(spark, base, "documents"), read_table(spark, base, "benchmark"))
+
+
+@register("op1_preferences", """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos,
+         '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10) AS line
+  FROM conversations),
+l AS (SELECT conv_id, count(*) AS n, max(pos) FILTER (role = 'assistant') AS last,
+             max_by(text, pos) FILTER (role = 'assistant') AS own FROM t GROUP BY conv_id),
+k AS (SELECT l.conv_id, l.last, coalesce(d.own, '') AS reply,
+             coalesce(l.last + CASE WHEN l.own = coalesce(d.own, '') THEN 1 ELSE 0 END, l.n) AS cut,
+             l.own IS NOT NULL AND l.own = coalesce(d.own, '') AS same
+      FROM l LEFT JOIN l d ON d.conv_id = xor(l.conv_id, 1) AND d.own IS NOT NULL),
+p AS (SELECT t.*, k.cut, k.reply, k.same,
+             sum(CASE WHEN pos >= cut THEN length(line) ELSE 0 END)
+               OVER (PARTITION BY t.conv_id ORDER BY pos) - length(text) - 1 AS start
+      FROM t JOIN k ON t.conv_id IS NOT DISTINCT FROM k.conv_id)
+SELECT conv_id AS pair_id, any_value(cut)::BIGINT AS prompt_turns,
+       coalesce(string_agg(line, '' ORDER BY pos) FILTER (pos < cut), '') AS prompt,
+       coalesce(string_agg(line, '' ORDER BY pos) FILTER (pos >= cut), '') AS chosen,
+       CASE WHEN any_value(same) THEN '' ELSE '<|assistant|>' || chr(10) || any_value(reply) || chr(10) END AS rejected,
+       coalesce(string_agg(start::BIGINT || ':' || (start + length(text) + 1)::BIGINT, ',' ORDER BY pos)
+                FILTER (pos >= cut AND role = 'assistant'), '') AS chosen_mask,
+       CASE WHEN any_value(same) THEN '' ELSE '14:' || (15 + length(any_value(reply))) END AS rejected_mask
+FROM p GROUP BY conv_id""")
+def op1_preferences(spark, base):
+    return preferences.preferences(preferences.swapped_replies(read_table(spark, base, "conversations")))
