@@ -20,14 +20,14 @@ MESSAGE = "block long, owner int, n int, k int, payload binary"
 ANSWER = "block long, owner int, n int, bitmap binary"
 
 
-def owner_bounds(owners: int) -> np.ndarray:
-    """First fingerprint of every owner's range."""
-    return np.array([(i << 64) // owners for i in range(owners)], dtype=np.uint64)
+def owner_bounds(owners: int, bits: int = 64) -> np.ndarray:
+    """First fingerprint of every owner's range, for fingerprints of so many bits."""
+    return np.array([(i << bits) // owners for i in range(owners)], dtype=np.uint64)
 
 
-def messages(block: int, values: np.ndarray, owners: int) -> Iterator[tuple]:
+def messages(block: int, values: np.ndarray, owners: int, bits: int = 64) -> Iterator[tuple]:
     """Message rows of one block; ``values``: its sorted distinct uint64 fingerprints."""
-    bounds = owner_bounds(owners)
+    bounds = owner_bounds(owners, bits)
     cuts = np.append(np.searchsorted(values, bounds), len(values))
     for owner in np.flatnonzero(np.diff(cuts)):
         part = values[cuts[owner]:cuts[owner + 1]]
@@ -35,10 +35,10 @@ def messages(block: int, values: np.ndarray, owners: int) -> Iterator[tuple]:
         yield block, int(owner), len(part), k, payload
 
 
-def answered(sent: DataFrame, owners: int) -> DataFrame:
+def answered(sent: DataFrame, owners: int, bits: int = 64) -> DataFrame:
     """The owners' answers to the messages ``sent``."""
     def compare(key, group: pd.DataFrame) -> pd.DataFrame:
-        base = int(owner_bounds(owners)[int(key[0])])
+        base = int(owner_bounds(owners, bits)[int(key[0])])
         lists = [decode(n, k, p, base) for n, k, p in zip(group["n"], group["k"], group["payload"])]
         _, where, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
         shared = np.split((count > 1)[where], np.cumsum([len(x) for x in lists])[:-1])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strider.llm import (decontaminate, exact_dedup, packing, pii, preferences, quality_crf,
-                         simhash_dedup, token_counts)
+                         simhash_dedup, substring_dedup, token_counts)
 from strider.sources.bindings import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 512
 SEQUENCE_TOKENS = 1024
 GOOD_SCORE = 0.3
+REPEAT_WORDS = 35
 SHINGLE_WORDS, RADIUS_BITS = 4, 4
 
 
@@ -104,3 +105,8 @@ SELECT conv_id AS pair_id, any_value(cut)::BIGINT AS prompt_turns,
 FROM p GROUP BY conv_id""")
 def op1_preferences(spark, base):
     return preferences.preferences(preferences.swapped_replies(read_table(spark, base, "conversations")))
+
+
+@register("op3_substring_dedup")
+def op3_substring_dedup(spark, base):
+    return substring_dedup.repeated_words(read_table(spark, base, "documents"), REPEAT_WORDS)
