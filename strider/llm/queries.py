@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strider.llm import (decontaminate, exact_dedup, packing, pii, preferences, quality_crf,
-                         simhash_dedup, substring_dedup, token_counts)
+                         simhash_dedup, substring_dedup, suffix_dedup, token_counts)
 from strider.sources.bindings import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,7 +21,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 512
 SEQUENCE_TOKENS = 1024
 GOOD_SCORE = 0.3
-REPEAT_WORDS = 35
+REPEAT_WORDS, REPEAT_BYTES = 35, 50
 SHINGLE_WORDS, RADIUS_BITS = 4, 4
 
 
@@ -110,3 +110,8 @@ def op1_preferences(spark, base):
 @register("op3_substring_dedup")
 def op3_substring_dedup(spark, base):
     return substring_dedup.repeated_words(read_table(spark, base, "documents"), REPEAT_WORDS)
+
+
+@register("op10_suffix_dedup")
+def op10_suffix_dedup(spark, base):
+    return suffix_dedup.repeated_bytes(read_table(spark, base, "documents"), REPEAT_BYTES)
