@@ -14,12 +14,13 @@ import numpy as np
 
 def _named(keys: list[np.ndarray], at: np.ndarray, size: int) -> np.ndarray:
     """Order-preserving dense names (from 1) of the key tuples of the positions ``at``."""
-    name = keys[0]
+    name, room = keys[0], int(keys[0].max(initial=0)) + 1
     for key in keys[1:]:
         base = int(key.max(initial=0)) + 1
-        name = name * base + key
-        if len(keys) > 2:                    # keep products within 63 bits
+        if room * base >= 1 << 63:
             name = np.unique(name, return_inverse=True)[1]
+            room = len(name) + 1
+        name, room = name * base + key, room * base
     name = np.unique(name, return_inverse=True)[1] + 1
     out = np.zeros(size, np.int64)
     out[at] = name
@@ -38,7 +39,7 @@ def sorted_suffixes(data: np.ndarray, prefix: int) -> np.ndarray:
     rest = place[place % 3 == 0]
     name = _named([letter[sample] << 18 | letter[sample + 1] << 9 | letter[sample + 2]], sample, size)
     width = 3
-    while width < prefix:
+    while width < prefix and int(name.max(initial=0)) < len(sample):
         name = _named([name[sample], name[sample + width], name[sample + 2 * width]], sample, size)
         width *= 3
     base = int(name.max(initial=0)) + 1

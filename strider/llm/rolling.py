@@ -53,8 +53,9 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def covered(size: int, starts: np.ndarray, width: int) -> np.ndarray:
-    """Which of ``size`` places lie in a window of ``width`` that begins at one of ``starts``."""
-    change = np.zeros(size + width + 1, np.int64)
-    np.add.at(change, starts, 1)
-    np.add.at(change, starts + width, -1)
-    return np.cumsum(change[:size]) > 0
+    """Which of ``size`` places lie in a window of ``width`` that begins at one of the distinct
+    ``starts``."""
+    change = np.zeros(size + width + 1, np.int32)
+    change[starts] += 1
+    change[starts + width] -= 1
+    return np.cumsum(change[:size], dtype=np.int32) > 0

@@ -72,74 +72,78 @@ class Block:
         length = np.array([len(t) for t in self.texts], np.int64)
         self.starts = np.cumsum(length) - length
         self.data = b"".join(self.texts)
-        n = len(self.data)
-        windows = np.maximum(length - size + 1, 0)
-        self.places = ranges(self.starts, windows)
-        self.text = np.repeat(np.arange(len(length)), windows)
-        gram = min(GRAM, size)
-        if n >= size:
-            if gram == GRAM:
-                words = np.ndarray((n - 7,), "<u8", self.data, 0, (1,))
-                hashes = joined(words[:-8], words[8:])
-            else:
-                hashes = np.frombuffer(self.data, np.uint8)[:n - gram + 1].astype(np.uint64)
-            self.anchor = (sliding_min(hashes, size - gram + 1)[self.places] * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - ANCHOR_BITS)
-        else:
-            self.anchor = np.zeros(0, np.uint64)
+        self._segments(length)
         self.seeds, self.seed_of = np.unique(self.anchor, return_inverse=True)
 
-    def runs(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index of the first window, number of windows) of the runs of chosen windows that
-        follow each other in a text and have one anchor."""
-        at = np.flatnonzero(chosen)
-        if not len(at):
-            return at, at
-        new = np.concatenate([[True], (np.diff(at) != 1) | (np.diff(self.text[at]) != 0)
-                              | (self.anchor[at[1:]] != self.anchor[at[:-1]])])
-        first = np.flatnonzero(new)
-        return at[first], np.diff(np.append(first, len(at)))
-
-    def snippets(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-        """(first, count, snippet number of each run, distinct snippets, anchor of each snippet),
+    def _segments(self, length: np.ndarray) -> None:
+        """Runs of windows that follow each other in a text and have one anchor: ``first``
+        place, ``count``, ``text`` and ``anchor`` of each."""
+        n, size = len(self.data), self.size
+        gram = min(GRAM, size)
+        if n < size:
+            self.first = self.count = self.text = np.zeros(0, np.int64)
+            self.anchor = np.zeros(0, np.uint64)
+            return
+        if gram == GRAM:
+            words = np.ndarray((n - 7,), "<u8", self.data, 0, (1,))
+            hashes = joined(words[:-8], words[8:])
+        else:
+            hashes = np.frombuffer(self.data, np.uint8)[:n - gram + 1].astype(np.uint64)
+        least = sliding_min(hashes, size - gram + 1)
+        texts = np.flatnonzero(length >= size)
+        begin, end = self.starts[texts], (self.starts + length)[texts] - size + 1
+        edges = np.unique(np.concatenate([np.flatnonzero(least[1:] != least[:-1]) + 1, begin, end, [len(least)]]))
+        edges = edges[edges <= len(least)]
+        first, count = edges[:-1], np.diff(edges)
+        own = np.searchsorted(begin, first, side="right") - 1
+        inside = (own >= 0) & (first < end[own])
+        self.first, self.count, self.text = first[inside], count[inside], texts[own[inside]]
+        self.anchor = (least[self.first] * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - ANCHOR_BITS)
+
+    def snippets(self, chosen: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """(snippet number of each chosen run, distinct snippets, anchor of each snippet),
         snippets in order of anchor and bytes."""
-        first, count = self.runs(chosen)
-        begin = self.places[first].tolist()
-        end = (self.places[first] + count + self.size - 1).tolist()
-        keys = list(zip(self.anchor[first].tolist(), (self.data[a:b] for a, b in zip(begin, end))))
+        begin = self.first[chosen]
+        end = begin + self.count[chosen] + self.size - 1
+        data = self.data
+        keys = [(a, data[b:e]) for a, b, e in zip(self.anchor[chosen].tolist(), begin.tolist(), end.tolist())]
         order = sorted(set(keys))
         number = {k: i for i, k in enumerate(order)}
-        return (first, count, np.array([number[k] for k in keys], np.int64), [s for _, s in order],
+        return (np.array([number[k] for k in keys], np.int64), [s for _, s in order],
                 np.array([a for a, _ in order], np.uint64))
 
     def live(self, answers: pd.DataFrame) -> np.ndarray:
+        """Runs whose anchor another block has."""
         flags = shared_flags(answers)
-        return flags[self.seed_of] if len(flags) else np.zeros(len(self.places), bool)
+        return np.flatnonzero(flags[self.seed_of]) if len(flags) else np.zeros(0, np.int64)
 
     def local(self) -> np.ndarray:
-        """Windows that a text of this block with a smaller doc_id has too."""
-        pair = self.seed_of * np.int64(len(self.texts) + 1) + self.text
-        holders = np.bincount(np.unique(pair) // np.int64(len(self.texts) + 1), minlength=len(self.seeds))
-        out = np.zeros(len(self.places), bool)
-        first, count, number, snippets, anchors = self.snippets((holders > 1)[self.seed_of])
-        if len(first):
-            rank = self.rank[self.text[first]]
-            low = np.full(len(snippets), np.iinfo(np.int64).max)
-            np.minimum.at(low, number, rank)
-            least, at = earliest(snippets, anchors, low, self.size)
-            out[ranges(first, count)] = least[ranges(at[number], count)] < np.repeat(rank, count)
-        return out
-
-    def remote(self, live: np.ndarray, answers: pd.DataFrame) -> np.ndarray:
-        """Windows that an earlier block has, from the owners' answers about the snippets sent."""
-        out = np.zeros(len(self.places), bool)
-        first, count, number, snippets, _ = self.snippets(live)
-        if len(first):
-            flags = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n) for _, n, b in sorted(
-                zip(answers["owner"], answers["n"], answers["bitmap"]))]).astype(bool)
-            windows = np.array([len(s) for s in snippets], np.int64) - self.size + 1
-            at = np.cumsum(windows) - windows
-            out[ranges(first, count)] = flags[ranges(at[number], count)]
-        return out
+        """Places of windows that a text of this block with a smaller doc_id has too."""
+        base = np.int64(len(self.texts) + 1)
+        holders = np.bincount(np.unique(self.seed_of * base + self.text) // base, minlength=len(self.seeds))
+        chosen = np.flatnonzero((holders > 1)[self.seed_of])
+        if not len(chosen):
+            return chosen
+        number, snippets, anchors = self.snippets(chosen)
+        rank = self.rank[self.text[chosen]]
+        low = np.full(len(snippets), np.iinfo(np.int64).max)
+        np.minimum.at(low, number, rank)
+        least, at = earliest(snippets, anchors, low, self.size)
+        count = self.count[chosen]
+        again = least[ranges(at[number], count)] < np.repeat(rank, count)
+        return ranges(self.first[chosen], count)[again]
+
+    def remote(self, chosen: np.ndarray, answers: pd.DataFrame) -> np.ndarray:
+        """Places of windows that an earlier block has, from the answers about the snippets sent."""
+        if not len(chosen):
+            return chosen
+        number, snippets, _ = self.snippets(chosen)
+        flags = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n) for _, n, b in sorted(
+            zip(answers["owner"], answers["n"], answers["bitmap"]))]).astype(bool)
+        windows = np.array([len(s) for s in snippets], np.int64) - self.size + 1
+        at = np.cumsum(windows) - windows
+        count = self.count[chosen]
+        return ranges(self.first[chosen], count)[flags[ranges(at[number], count)]]
 
 
 def _send_anchors(size: int, owners: int):
@@ -152,7 +156,7 @@ def _send_anchors(size: int, owners: int):
 def _send_snippets(size: int, owners: int):
     def run(key, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         block = Block(rows, size)
-        _, _, _, snippets, anchors = block.snippets(block.live(answers))
+        _, snippets, anchors = block.snippets(block.live(answers))
         owner = (anchors * np.uint64(owners)) >> np.uint64(ANCHOR_BITS)
         out = []
         for o in np.unique(owner).tolist():
@@ -196,8 +200,8 @@ def _remove(size: int):
     def run(key, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         block = Block(rows, size)
         first, second = (answers[answers["round"] == i] for i in (1, 2))
-        again = block.local() | block.remote(block.live(first), second)
-        gone = covered(len(block.data), block.places[again], size)
+        again = np.union1d(block.local(), block.remote(block.live(first), second))
+        gone = covered(len(block.data), again, size)
         data = np.frombuffer(block.data, np.uint8)
         out = []
         for i, text in enumerate(block.texts):
@@ -244,7 +248,8 @@ def repeated_bytes(docs: DataFrame, size: int = 50, key: str = "doc_id", text: s
 
     anchors = staged(answered(by_block.applyInPandas(_send_anchors(size, owners), MESSAGE), owners, ANCHOR_BITS)
                      .withColumn("n", F.col("n").cast("long")), "op10-anchors")
-    sent = by_block.cogroup(anchors.groupBy("block")).applyInPandas(_send_snippets(size, owners), SNIPPETS)
+    # Sorting takes many times the memory of its snippets: an owner per block.
+    sent = by_block.cogroup(anchors.groupBy("block")).applyInPandas(_send_snippets(size, blocks), SNIPPETS)
     found = staged(sent.groupBy("owner").applyInPandas(_sort(size), ANSWER), "op10-early")
     answers = anchors.withColumn("round", F.lit(1)).unionByName(found.withColumn("round", F.lit(2)))
     result = staged(by_block.cogroup(answers.groupBy("block")).applyInPandas(_remove(size), RESULT), "op10-found")
