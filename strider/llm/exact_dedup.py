@@ -87,12 +87,13 @@ def duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """``docs`` without the dropped copies; of rows that repeat doc_id and text one stays."""
-    answer = duplicates(docs).select(F.col("doc_id").alias("_id"), "kept",
-                                     F.col("text_sha256").alias("_sha"), "group_size")
-    kept = answer.where("kept").groupBy("_id", "_sha").agg(F.count(F.lit(1)).alias("_n"))
-    tagged = docs.withColumn("_sha", F.sha2(lower_ascii(text_of()), 256))
-    joined = tagged.join(kept, tagged["doc_id"].eqNullSafe(kept["_id"]) & (tagged["_sha"] == kept["_sha"]))
-    once = joined.where("_n = 1").select(*docs.columns)
-    again = joined.where("_n > 1").withColumn("_key", tagged["_sha"]).dropDuplicates(["doc_id", "_key"])
-    return once.unionByName(again.select(*docs.columns))
+    """``docs`` without the dropped copies; of rows that repeat doc_id and text one stays.
+
+    Whole rows travel as one column, so no column of ``docs`` can clash with the answer's.
+    """
+    answer = duplicates(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"),
+                       F.sha2(lower_ascii(text_of()), 256).alias("sha"))
+    joined = rows.join(answer, rows["id"].eqNullSafe(answer["doc_id"]) & (rows["sha"] == answer["text_sha256"]))
+    once = joined.where("n = 1").select("row.*")
+    return once.unionByName(joined.where("n > 1").dropDuplicates(["id", "sha"]).select("row.*"))

@@ -206,10 +206,10 @@ def deduplicate(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame
     named by its component, so it stays.
     """
     answer = near_duplicates(docs, shingle, radius)
-    stay = answer.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.max(F.col("doc_id") == F.col("component_id")).alias("_stays"), F.count(F.lit(1)).alias("_rows"))
-    joined = docs.where("doc_id is not null").join(stay.where("_stays"), F.col("doc_id") == F.col("_id"))
-    columns = docs.columns
-    again = joined.where("_rows > 1").dropDuplicates(["doc_id", "text"])
-    return (joined.where("_rows = 1").select(*columns).unionByName(again.select(*columns))
-            .unionByName(docs.where("doc_id is null")))
+    stay = answer.groupBy("doc_id").agg(
+        F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("n"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), text_of().alias("whole"))
+    joined = rows.join(stay.where("stays"), F.col("id") == F.col("doc_id"))
+    again = joined.where("n > 1").dropDuplicates(["id", "whole"])
+    return (joined.where("n = 1").select("row.*").unionByName(again.select("row.*"))
+            .unionByName(rows.where("id is null").select("row.*")))
