@@ -2,7 +2,7 @@
 
 Sampled are the positions that are 1 or 2 modulo 3.  Their triples are sorted and named; triples
 of names are sorted and named again, each round covering three times as many bytes, until the
-names cover the prefix asked for.  The remaining suffixes are sorted by (byte, name of the next
+names cover the prefix asked for (at the end two overlapping names do).  The remaining suffixes are sorted by (byte, name of the next
 suffix) and merged with the sample: against residue 1 by (byte, next name), against residue 2 by
 (two bytes, name after them).  Adjacent suffixes are then compared on the prefix itself.
 """
@@ -32,29 +32,39 @@ def sorted_suffixes(data: np.ndarray, prefix: int) -> np.ndarray:
     together, in the order of those bytes."""
     n = len(data)
     size = n + 3 * max(prefix, 27) + 3
+    used = np.bincount(data, minlength=256) > 0
+    bits = int(used.sum()).bit_length()      # of a letter's rank among those that occur, from 1
     letter = np.zeros(size, np.int64)
-    letter[:n] = data.astype(np.int64) + 1
+    letter[:n] = np.cumsum(used)[data]
     place = np.arange(n)
     sample = place[place % 3 != 0]
     rest = place[place % 3 == 0]
-    name = _named([letter[sample] << 18 | letter[sample + 1] << 9 | letter[sample + 2]], sample, size)
-    width = 3
+    triple = letter[:-2] << 2 * bits | letter[1:-1] << bits | letter[2:]
+    if 9 * bits < 64:                        # triples are small: name triples of triples at once
+        key = triple[sample] << 6 * bits | triple[sample + 3] << 3 * bits | triple[sample + 6]
+        name, width = _named([key], sample, size), 9
+    else:
+        name, width = _named([triple[sample]], sample, size), 3
+    del triple
     while width < prefix and int(name.max(initial=0)) < len(sample):
-        name = _named([name[sample], name[sample + width], name[sample + 2 * width]], sample, size)
-        width *= 3
+        step = -(-(prefix - width) // 3) * 3     # two names that overlap may reach far enough
+        if step <= width:
+            name, width = _named([name[sample], name[sample + step]], sample, size), width + step
+        else:
+            name, width = _named([name[sample], name[sample + width], name[sample + 2 * width]], sample, size), 3 * width
     base = int(name.max(initial=0)) + 1
     one, two = sample[sample % 3 == 1], sample[sample % 3 == 2]
     single = letter[:n + 1] * base           # (byte, next name)
-    rest = rest[np.argsort(single[rest] + name[rest + 1], kind="stable")]
+    rest = rest[np.argsort(single[rest] + name[rest + 1])]
     less = np.searchsorted(np.sort(single[one] + name[one + 1]), single[rest] + name[rest + 1])
-    double = (letter[:n + 1] << 9 | letter[1:n + 2]) * base
+    double = (letter[:n + 1] << bits | letter[1:n + 2]) * base
     less += np.searchsorted(np.sort(double[two] + name[two + 2]), double[rest] + name[rest + 2])
     slots = np.maximum.accumulate(less) + np.arange(len(rest))
     out = np.empty(n, np.int64)
     free = np.ones(n, bool)
     free[slots] = False
     out[slots] = rest
-    out[free] = sample[np.argsort(name[sample], kind="stable")]
+    out[free] = sample[np.argsort(name[sample])]
     return out
 
 
@@ -71,10 +81,12 @@ def prefix_classes(data: np.ndarray, starts: np.ndarray, prefix: int) -> np.ndar
     if prefix >= 8:
         words = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), 0, (1,))
         for at in [*range(0, prefix - 7, 8), prefix - 8]:
-            same &= words[order[1:] + at] == words[order[:-1] + at]
+            word = words[order + at]
+            same &= word[1:] == word[:-1]
     else:
         for at in range(prefix):
-            same &= data[order[1:] + at] == data[order[:-1] + at]
+            byte = data[order + at]
+            same &= byte[1:] == byte[:-1]
     number = np.zeros(len(data), np.int64)
     number[order] = np.concatenate([[0], np.cumsum(~same)])
     return number[starts]
