@@ -23,16 +23,18 @@ def _col(c: Column | str) -> Column:
 
 
 def idiv(a: Column, b: Column | int) -> Column:
-    """Exact integer division ``a div b`` for non-negative longs."""
+    """Exact integer division ``a div b`` for non-negative integers (long or decimal)."""
     b = b if isinstance(b, Column) else F.lit(b)
-    a = a.cast("long")
-    return ((a - F.pmod(a, b)) / b).cast("long")
+    return F.call_function("div", a, b).cast("long")
 
 
 def half_up_hundredths(numerator: Column | str, denominator: Column | int) -> Column:
-    """round_half_up(100 * numerator / denominator) for non-negative integers."""
-    den = denominator if isinstance(denominator, Column) else F.lit(denominator)
-    return idiv(_col(numerator).cast("long") * 200 + den, den * 2)
+    """round_half_up(100 * numerator / denominator) for non-negative integers.
+
+    The products are decimals, so they are exact beyond the range of a long.
+    """
+    den = (denominator if isinstance(denominator, Column) else F.lit(denominator)).cast("decimal(24,0)")
+    return idiv(_col(numerator).cast("decimal(24,0)") * 200 + den, den * 2)
 
 
 def hundredths_text(h: Column, style: str = "sql") -> Column:
@@ -62,5 +64,5 @@ def duration_text(ms: Column | str, style: str = "sql") -> Column:
 
 def percentage(count: Column | str, total: Column | str) -> Column:
     """round(count / total * 100, 2) as a double, rounded half-up on exact integers."""
-    hundredths = half_up_hundredths(_col(count).cast("long") * 100, _col(total).cast("long"))
+    hundredths = half_up_hundredths(_col(count).cast("decimal(20,0)") * 100, _col(total))
     return hundredths.cast("double") / 100

@@ -21,7 +21,7 @@ SWEEP_DEPTHS = (1, 5, 10)
 FIT_PARALLELISM = 4
 REPORT_DEPTH = 10
 NUM_TREES = 5
-_HASH_SPACE = 1 << 30
+_HASH_SPACE = 1 << 52
 
 
 def uniform_hash(key_cols: list[str] | tuple[str, ...], seed: int) -> Column:
@@ -41,21 +41,21 @@ def hash_split(df: DataFrame, key_cols: list[str] | tuple[str, ...], fraction: f
     return df.where(u < fraction), df.where(u >= fraction)
 
 
-def poisson_weight(key_cols: list[str] | tuple[str, ...], seed: int, max_count: int = 12) -> Column:
+def poisson_weight(key_cols: list[str] | tuple[str, ...], seed: int) -> Column:
     """Bootstrap multiplicity of a row: a Poisson(1) draw from the key hash.
 
     Sampling with replacement at fraction 1 gives each row a Poisson(1) count; using it
-    as an instance weight trains on the bootstrap sample without copying rows.
+    as an instance weight trains on the bootstrap sample without copying rows.  The table of
+    counts goes on until the rest of the distribution is below the hash's resolution.
     """
     u = uniform_hash(key_cols, seed)
-    expr = F.lit(max_count)
-    cdf, term = 0.0, math.exp(-1.0)
-    bounds = []
-    for k in range(max_count):
+    cdf, term, bounds = 0.0, math.exp(-1.0), []
+    while 1 - cdf > 1 / _HASH_SPACE:
         cdf += term
-        bounds.append((k, cdf))
-        term /= (k + 1)
-    for k, bound in reversed(bounds):
+        bounds.append(cdf)
+        term /= len(bounds)
+    expr = F.lit(len(bounds))
+    for k, bound in reversed(list(enumerate(bounds))):
         expr = F.when(u < bound, F.lit(k)).otherwise(expr)
     return expr.cast("double")
 

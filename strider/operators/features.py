@@ -97,8 +97,14 @@ def scale_features_ml(df: DataFrame, features: list[str] | tuple[str, ...] = tup
 def zscores(df: DataFrame, cols: list[str] | tuple[str, ...] = ("Latitude", "Longitude"),
             keep: list[str] | tuple[str, ...] = ()) -> tuple[DataFrame, dict]:
     """(x - mean) / population std per column; returns the frame and the fit values
-    (``mean_<c>``, ``std_<c>``) for the inverse transform."""
+    (``mean_<c>``, ``std_<c>``) for the inverse transform.
+
+    Rows with a null or NaN in one of the columns are dropped; a constant column is only
+    centred (deviation taken as 1).
+    """
+    df = df.na.drop(subset=list(cols))
     fit = moments_fit(df, cols, population=True)
+    fit |= {f"std_{c}": fit[f"std_{c}"] or 1.0 for c in cols}
     scaled = df.select(*keep, *[((F.col(c) - F.lit(fit[f"mean_{c}"])) / F.lit(fit[f"std_{c}"])).alias(f"{c}_z")
                                 for c in cols])
     return scaled, fit

@@ -21,6 +21,7 @@ NO_TIME = "N/A"
 MAX_PLAUSIBLE_LAT = 50.9
 # Nearby-place search radius (m) and number of places kept.
 NEARBY_RADIUS_M = 1500.0
+RIDGE = 1e-6                            # of the position regressions
 NEARBY_TOP_K = 10
 
 
@@ -117,28 +118,37 @@ def nearby(origins: DataFrame, places: DataFrame, radius_m: float = NEARBY_RADIU
            place_cols: tuple[str, str] = ("lat", "lng"), place_key: str = "poi_id") -> DataFrame:
     """Places within ``radius_m`` of each origin, nearest first, ``k`` per origin.
 
-    A range join done as an equi-join on grid cells: cells are ``radius`` tall and at
-    least ``radius`` wide at the highest latitude involved, each origin is copied to its
-    3 × 3 neighbour cells, and exact haversine distance filters the candidates.  Ties in
-    distance (at centimetre precision) go to the smaller place key.  Longitude wrap at
-    ±180° is not handled.
+    A range join done as an equi-join on grid cells.  Rows of cells are ``radius`` tall; the
+    cells of a row divide the whole circle and are as wide as two points can be apart there
+    within the radius, so a row near a pole is one cell and cells meet at ±180°.  Each place is
+    copied to the up to 3 x 3 cells around it (the origins, the side that grows, are not), and
+    exact haversine distance filters the candidates.  Ties in distance (at centimetre
+    precision) go to the smaller place key.
     """
     o_lat, o_lng = origin_cols
     p_lat, p_lng = place_cols
-    cell_lat = radius_m / (EARTH_RADIUS_M * DEG_TO_RAD) * 1.0001
-    # Cell width from the highest place latitude: one aggregate value, used as a literal.
-    top = places.agg(F.max(F.abs(F.col(p_lat)))).first()[0]
-    widest = min((top or 0.0) + cell_lat, 89.0)
-    cell_lng = cell_lat * 1.01 / math.cos(widest * DEG_TO_RAD)
-    p = places.select(*places.columns,
-                      F.floor(F.col(p_lat) / cell_lat).alias("_cy"),
-                      F.floor(F.col(p_lng) / cell_lng).alias("_cx"))
+    reach = radius_m / EARTH_RADIUS_M * 1.0001           # angle, with room for rounding
+    height = reach / DEG_TO_RAD
+
+    def cells(row: Column) -> Column:
+        """Number of cells of a row."""
+        edge = F.greatest(F.abs(row), F.abs(row + 1)) * F.lit(reach)
+        wide = F.asin(F.least(F.lit(math.sin(min(reach, math.pi / 2))) / F.cos(edge), F.lit(1.0)))
+        near_pole = edge + F.lit(reach) >= F.lit(math.pi / 2)
+        return F.when(near_pole, F.lit(1)).otherwise(F.greatest(F.floor(F.lit(2 * math.pi) / wide), F.lit(1))).cast("long")
+
+    def cell(lng: Column, count: Column) -> Column:
+        return F.least(F.floor(F.pmod(lng + 180.0, F.lit(360.0)) / 360.0 * count), count - 1).cast("long")
+
     o = origins.select(*[F.col(c).alias(f"origin_{c}") for c in origins.columns])
-    oy = F.floor(F.col(f"origin_{o_lat}") / cell_lat)
-    ox = F.floor(F.col(f"origin_{o_lng}") / cell_lng)
-    around = F.array(*[F.struct((oy + dy).alias("_cy"), (ox + dx).alias("_cx"))
-                       for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
-    o = o.withColumn("_cell", F.explode(around)).select("*", "_cell._cy", "_cell._cx").drop("_cell")
+    o = o.withColumn("_cy", F.floor(F.col(f"origin_{o_lat}") / height).cast("long"))
+    o = o.withColumn("_cx", cell(F.col(f"origin_{o_lng}"), cells(F.col("_cy"))))
+    row = F.floor(F.col(p_lat) / height).cast("long")
+    p = places.select("*", F.explode(F.array(row - 1, row, row + 1)).alias("_cy"))
+    p = p.withColumn("_n", cells(F.col("_cy")))
+    p = p.withColumn("_x", cell(F.col(p_lng), F.col("_n")))
+    p = p.withColumn("_cx", F.explode(F.array_distinct(F.array(
+        *[F.pmod(F.col("_x") + d, F.col("_n")) for d in (-1, 0, 1)])))).drop("_n", "_x")
     pairs = o.join(p, ["_cy", "_cx"], "inner").drop("_cy", "_cx")
     dist = haversine_m(f"origin_{o_lat}", f"origin_{o_lng}", p_lat, p_lng)
     pairs = pairs.withColumn("distance_m", F.round(dist, 2)).where(F.col("distance_m") <= radius_m)
@@ -159,8 +169,10 @@ def next_location(locations: DataFrame, n: int = 10, fraction: float = 0.8,
     ``n`` predecessors per key as features, the first ``fraction`` of sequences in time
     order train one regressor per coordinate (squared loss), and the remaining ones are
     predicted, unscaled and tagged with the half-hour slot of the predicted row.
-    ``model`` is ``linear`` (normal-equation least squares, one distributed pass) or
-    ``gbt`` (gradient-boosted trees).
+    ``model`` is ``linear`` (normal-equation least squares with a small ridge term, one
+    distributed pass) or ``gbt`` (gradient-boosted trees).  Latitudes and longitudes that move
+    together make the plain normal equations singular; the ridge term keeps them solvable.
+    Rows without a position are left out.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -173,7 +185,7 @@ def next_location(locations: DataFrame, n: int = 10, fraction: float = 0.8,
     z, fit = zscores(locations, ("Latitude", "Longitude"), keep=keys)
     values = ["Latitude_z", "Longitude_z"]
     seqs = lag_sequences(z, values, n, partition_cols, order_cols, block_rows=block_rows)
-    seqs = materialize(chronological_split(materialize(seqs), fraction, order_cols))
+    seqs = chronological_split(materialize(seqs), fraction, order_cols)
     lag_cols = [f"{v}_lag{j}" for j in range(n, 0, -1) for v in values]
     data = VectorAssembler(inputCols=lag_cols, outputCol="features").transform(seqs)
     train = data.where(F.col("split") == "train")
@@ -185,7 +197,7 @@ def next_location(locations: DataFrame, n: int = 10, fraction: float = 0.8,
             est = GBTRegressor(featuresCol="features", labelCol=target, predictionCol=pred, seed=42)
         else:
             est = LinearRegression(featuresCol="features", labelCol=target, predictionCol=pred,
-                                   solver="normal")
+                                   solver="normal", regParam=RIDGE)
         return est.fit(train)
     with ThreadPoolExecutor(max_workers=2) as pool:       # the two coordinates fit side by side
         models = list(pool.map(fit_one, (("Latitude_z", "_lat_z"), ("Longitude_z", "_lng_z"))))

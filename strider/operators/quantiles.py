@@ -1,25 +1,22 @@
 """Exact order statistics without sorting or gathering the whole column.
 
 ``order_statistics`` narrows a value band with equal-width histograms: each pass is one
-distributed ``groupBy(bucket).count()`` over the rows still in the band (map-side
-partial counts, at most ``bins`` groups come back), so a pass over N rows leaves about
-N / bins of them.  When the band holds at most ``max_band`` rows those values are
-fetched and sorted.  The result is exact, the driver only ever sees ``bins`` counts or
-``max_band`` values, and a column with one dominant value ends as soon as the band
-holds a single distinct value.  Each pass splits a band at least in two (its minimum
-and maximum fall in different buckets), so the narrowing always ends.
+distributed ``groupBy(bucket).count()`` over the rows still in the band (map-side partial
+counts, at most ``bins`` groups come back), so a pass over N spread-out rows leaves about
+N / bins of them, and the pass ends a rank whose bucket holds a single distinct value.  The
+driver only ever sees ``bins`` counts, whatever the size.  Each pass puts a band's minimum and
+maximum in different buckets, so the narrowing always ends: integers are bucketed in decimal
+arithmetic, infinite values get buckets of their own.
 """
 
 from __future__ import annotations
 
-import bisect
 import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BINS = 4096
-DEFAULT_MAX_BAND = 200_000
 
 
 def _numeric(df: DataFrame, col: str) -> DataFrame:
@@ -27,16 +24,28 @@ def _numeric(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).where(x.isNotNull() & ~F.isnan(x.cast("double")))
 
 
-def order_statistics(df: DataFrame, col: str, ks, bins: int = DEFAULT_BINS,
-                     max_band: int = DEFAULT_MAX_BAND) -> tuple[int, dict]:
+def _bucket(x: Column, lo, hi, bins: int) -> Column:
+    """Bucket 0 to ``bins - 1`` of ``x`` in the band from ``lo`` to ``hi`` (lo < hi), in order."""
+    if isinstance(lo, int):
+        wide = "decimal(20,0)"
+        share = (x.cast(wide) - F.lit(lo).cast(wide)) * F.lit(bins).cast("decimal(10,0)")
+        return F.call_function("div", share, F.lit(str(hi - lo + 1)).cast("decimal(21,0)")).cast("int")
+    lo, hi, x = float(lo), float(hi), x.cast("double")
+    if math.isinf(lo) or math.isinf(hi):
+        return F.when(x == float("-inf"), 0).when(x == float("inf"), 2).otherwise(1)
+    if math.isinf(hi - lo):
+        lo, hi, x = lo / 2, hi / 2, x / 2
+    return F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * bins), F.lit(bins - 1)).cast("int")
+
+
+def order_statistics(df: DataFrame, col: str, ks, bins: int = DEFAULT_BINS) -> tuple[int, dict]:
     """Exact k-th smallest values (0-based) of numeric ``col`` for every k in ``ks``.
 
     ``ks`` is a list of ranks or a function of the value count returning one.
 
     Returns ``(n, {k: (value, n_less)})`` where ``n`` counts non-null values and
     ``n_less`` is how many values are strictly smaller than ``value``.  The first
-    aggregate (min, max, count) is shared by all ranks, and a band small enough to
-    fetch is fetched once for all ranks that fall in it.
+    aggregate (min, max, count) and every pass are shared by all ranks in a band.
     """
     x = F.col(col)
     data = _numeric(df, col)
@@ -44,22 +53,14 @@ def order_statistics(df: DataFrame, col: str, ks, bins: int = DEFAULT_BINS,
     n = int(first["n"])
     wanted = sorted({k for k in (ks(n) if callable(ks) else ks) if 0 <= k < n})
     out: dict = {}
-    # Each pending band: (predicate, lo, hi, size, below, ranks inside it)
-    pending = [(F.lit(True), first["lo"], first["hi"], n, 0, wanted)] if wanted else []
+    # Each pending band: (predicate, lo, hi, below, ranks inside it)
+    pending = [(F.lit(True), first["lo"], first["hi"], 0, wanted)] if wanted else []
     while pending:
-        band, lo, hi, size, below, ranks = pending.pop()
+        band, lo, hi, below, ranks = pending.pop()
         if lo == hi:
             out.update({k: (lo, below) for k in ranks})
             continue
-        if size <= max_band:
-            values = sorted(r[0] for r in data.where(band).collect())
-            for k in ranks:
-                v = values[k - below]
-                out[k] = (v, below + bisect.bisect_left(values, v))
-            continue
-        span = float(hi) - float(lo)
-        bucket = F.least(F.floor((x.cast("double") - F.lit(float(lo))) / F.lit(span) * bins),
-                         F.lit(bins - 1)).cast("int")
+        bucket = _bucket(x, lo, hi, max(bins, 3))
         hist = (data.where(band).groupBy(bucket.alias("b"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"))
                 .orderBy("b").collect())
@@ -67,15 +68,14 @@ def order_statistics(df: DataFrame, col: str, ks, bins: int = DEFAULT_BINS,
         for row in hist:
             inside = [k for k in ranks if start <= k < start + row["n"]]
             if inside:
-                pending.append((band & (bucket == row["b"]), row["lo"], row["hi"], row["n"], start, inside))
+                pending.append((band & (bucket == row["b"]), row["lo"], row["hi"], start, inside))
             start += row["n"]
     return n, out
 
 
-def kth_smallest(df: DataFrame, col: str, k: int, bins: int = DEFAULT_BINS,
-                 max_band: int = DEFAULT_MAX_BAND):
+def kth_smallest(df: DataFrame, col: str, k: int, bins: int = DEFAULT_BINS):
     """k-th smallest (0-based) non-null value of numeric ``col``; None if out of range."""
-    _, stats = order_statistics(df, col, [k], bins, max_band)
+    _, stats = order_statistics(df, col, [k], bins)
     return stats[k][0] if k in stats else None
 
 

@@ -7,7 +7,6 @@ from strider.plans.views_sql import (
     CLEAN_MOTION_VIEW, LABEL_VIEW, LOCATION_VIEW, MOTION_VIEW, POI_VIEW,
     activity_sql, duration_text_sql, percentage_sql, slot_sql, slot_text_sql, with_views,
 )
-from strider.functions.timecols import day_end_ms
 
 ORACLE: dict[str, str] = {}
 
@@ -33,7 +32,7 @@ SELECT date, Activity, TotalTime, Percentage
 
 ORACLE["range_activity_stats"] = with_views(LABEL_VIEW) + f"""
 SELECT Activity, TotalTime, Percentage
-  FROM ({_composition_sql(f'(SELECT * FROM label_view WHERE Time BETWEEN {Q.RANGE_START_MS} AND {day_end_ms(Q.RANGE_START_MS)})', [])}) s"""
+  FROM ({_composition_sql(f'(SELECT * FROM label_view WHERE Time BETWEEN {Q.RANGE_START_MS} AND 1704931199999)', [])}) s"""
 
 ORACLE["dataset_total_time"] = with_views(LABEL_VIEW) + f"""
 SELECT TotalCount, TotalCount * 10 AS TotalTimeMs,
@@ -194,7 +193,7 @@ SELECT coalesce(r.lat, CAST(50.8231 AS DOUBLE)) AS lat, coalesce(r.lng, CAST(-0.
   FROM (SELECT CAST(s AS INTEGER) AS half_hour_interval FROM (VALUES {_REQ}) v(s)) req
   LEFT JOIN route r ON r.half_hour_interval = req.half_hour_interval"""
 
-ORACLE["half_hour_grid"] = with_views(LOCATION_VIEW, _route(f"WHERE date = '{Q.TODAY}'")) + f"""
+ORACLE["half_hour_grid"] = with_views(LOCATION_VIEW, _route()) + f"""
 SELECT lat, lng, half_hour_interval, {slot_text_sql('half_hour_interval')} AS time FROM route
 UNION ALL
 SELECT CAST(50.8231 AS DOUBLE) + i * CAST(0.01 AS DOUBLE), CAST(-0.1383 AS DOUBLE) + i * CAST(0.01 AS DOUBLE),

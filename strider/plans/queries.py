@@ -29,7 +29,6 @@ TRAIN_FRACTION = 0.8
 HISTOGRAM_BINS = 50
 CONTAMINATION = 0.05
 LOOKUP_SLOTS = (0, 17, 99)
-TODAY = "031226"                        # a day with no predictions → default grid
 
 
 def register(name: str):
@@ -234,8 +233,7 @@ def q_next_location_lookup(spark, base):
 @register("half_hour_grid")
 def q_half_hour_grid(spark, base):
     from strider.operators.location import route_by_slot, route_or_default
-    today = _route_input(Tables(spark, base)).where(F.col("date") == F.lit(TODAY))
-    return route_or_default(route_by_slot(today))
+    return route_or_default(route_by_slot(_route_input(Tables(spark, base))))
 
 
 @register("nearby_top_k")

@@ -44,21 +44,32 @@ def replace_results(results: DataFrame | None, path: str, fmt: str = "parquet")
     """Overwrite a result table, unless the new result is missing or empty.
 
     An empty statistics result (for example a time range without rows) leaves the
-    previous result in place.  The emptiness test reads at most one row.  Returns
-    whether the table was written.
+    previous result in place.  The (small) result is computed once: the emptiness test
+    and the write share it.  Returns whether the table was written.
     """
-    if results is None or results.isEmpty():
+    if results is None:
         return False
-    results.write.mode("overwrite").format(fmt).save(path)
-    return True
+    once = results.persist()
+    try:
+        if once.isEmpty():
+            return False
+        once.write.mode("overwrite").format(fmt).save(path)
+        return True
+    finally:
+        once.unpersist()
 
 
-def report_lines(report: DataFrame, title: str = "Decision Tree Classifier Results") -> DataFrame:
+# Heading and rule of the text report.
+REPORT_TITLE = "Decision Tree Classifier Results"
+REPORT_RULE = "-------------------------------"
+
+
+def report_lines(report: DataFrame, title: str = REPORT_TITLE) -> DataFrame:
     """Report rows (Depth, Accuracy, Precision, Recall[, Tree]) → text lines.
 
     Metrics are printed with 4 decimals, followed by the tree structure when present.
     """
-    fmt = F.concat_ws("\n", F.lit(title), F.lit("-" * 31),
+    fmt = F.concat_ws("\n", F.lit(title), F.lit(REPORT_RULE),
                       F.format_string("Accuracy: %.4f", "Accuracy"),
                       F.format_string("Precision: %.4f", "Precision"),
                       F.format_string("Recall: %.4f", "Recall"),

@@ -37,10 +37,10 @@ def test_kth_smallest_matches_numpy(spark):
     df = spark.createDataFrame([(float(v),) for v in vals], "v double")
     s = np.sort(vals)
     for k in (0, 1, 777, 2500, 4999):
-        assert kth_smallest(df, "v", k, bins=8, max_band=50) == s[k]
+        assert kth_smallest(df, "v", k, bins=8) == s[k]
     assert kth_smallest(df, "v", 5000) is None
     for p in (0.05, 0.5, 0.99):
-        assert abs(exact_quantile(df, "v", p, bins=16, max_band=100) - np.percentile(vals, 100 * p)) < 1e-12
+        assert abs(exact_quantile(df, "v", p, bins=16) - np.percentile(vals, 100 * p)) < 1e-12
 
 
 def test_chronological_split_matches_row_order(spark):
@@ -77,14 +77,14 @@ def test_order_statistics_with_ties_and_small_bands(spark):
     df = spark.createDataFrame(rows, "event_id long, Time long")
     times = sorted(t for _, t in rows)
     ks = [0, 1, 999, 1000, 1500, 1999]
-    n, stats = order_statistics(df, "Time", ks, bins=4, max_band=30)
+    n, stats = order_statistics(df, "Time", ks, bins=4)
     assert n == 2000
     for k in ks:
         value, n_less = stats[k]
         assert value == times[k] and n_less == times.index(value)
     order = sorted(rows, key=lambda r: (r[1], r[0]))
     for k in (0, 733, 1999):
-        assert kth_row(df, ["Time", "event_id"], k, bins=4, max_band=30) == (order[k][1], order[k][0])
+        assert kth_row(df, ["Time", "event_id"], k, bins=4) == (order[k][1], order[k][0])
 
 
 def test_scaling_equals_spark_ml_standard_scaler(spark):
@@ -98,3 +98,25 @@ def test_scaling_equals_spark_ml_standard_scaler(spark):
     assert len(mine) == len(ml) > 0
     for c in ANOMALY_FEATURES:
         assert np.allclose(mine[c].to_numpy(), ml[c].to_numpy(), rtol=1e-12, atol=1e-12), c
+
+
+def test_order_statistics_of_extreme_values(spark):
+    from strider.operators.quantiles import order_statistics
+    longs = [(1 << 60) + i for i in range(100)] + [-(1 << 63), (1 << 63) - 1] + [5] * 300
+    doubles = [float("-inf"), float("inf"), float("inf"), -1.7e308, 1.7e308, 5e-324, 0.0, 1.0, 1.0 + 2 ** -52] + [2.5] * 50
+    for kind, values in (("long", longs), ("double", doubles)):
+        df = spark.createDataFrame([(v,) for v in values], f"v {kind}")
+        ranked = sorted(values)
+        ks = list(range(0, len(values), 7)) + [len(values) - 1]
+        n, got = order_statistics(df, "v", ks, bins=10)
+        assert n == len(values)
+        assert {k: got[k] for k in ks} == {k: (ranked[k], ranked.index(ranked[k])) for k in ks}
+
+
+def test_zscores_of_constant_null_and_nan(spark):
+    from strider.operators.features import unscale, zscores
+    rows = [(1, 1.0, 7.0), (2, 3.0, 7.0), (3, None, 7.0), (4, float("nan"), 7.0)]
+    z, fit = zscores(spark.createDataFrame(rows, "event_id long, a double, b double"), ("a", "b"), keep=("event_id",))
+    got = {r.event_id: (r.a_z, r.b_z) for r in z.collect()}
+    assert got == {1: (-1.0, 0.0), 2: (1.0, 0.0)}
+    assert {r[0] for r in z.select(unscale(z["b_z"], fit, "b")).collect()} == {7.0}

@@ -128,3 +128,23 @@ def test_rounding_matches_exact_arithmetic(spark):
         unit, name = (1000, "seconds") if m < 60000 else (60000, "minutes") if m < 3600000 else (3600000, "hours")
         return f"{_half_up(Fraction(m, unit))} {name}"
     assert got == [text(m) for m in ms]
+
+
+def test_percentages_and_durations_are_exact_at_scale(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from strider.functions.durations import duration_text, percentage
+    rng = random.Random(8)
+    rows = [(6416122838092, 17426707161274)]
+    for _ in range(20000):
+        total = rng.randint(10 ** 11, 10 ** 16)
+        rows.append((rng.randint(0, total), total))
+    got = spark.createDataFrame(rows, "c long, t long").select(
+        percentage("c", "t").alias("p"), duration_text("c", "python").alias("d")).collect()
+    for (c, t), r in zip(rows, got):
+        assert r.p == ((200 * c * 100 + t) // (2 * t)) / 100
+        if c >= 3_600_000:
+            hours = (Decimal(c) / 3_600_000).quantize(Decimal("0.01"), ROUND_HALF_UP)
+            assert r.d == f"{hours} hours"
+    assert got[0].p == 36.82

@@ -97,3 +97,36 @@ def test_nearby_dense_cluster_and_ties(spark):
         cands = sorted((round(_hav(lat, lng, pl[2], pl[3]), 2), pl[0]) for pl in places)
         want = [(i + 1, pid, d) for i, (d, pid) in enumerate([c for c in cands if c[0] <= 1500][:10])]
         assert sorted(got[(lat, lng)]) == want
+
+
+def test_nearby_meets_at_the_date_line_and_the_poles(spark):
+    import math
+    import random
+
+    from strider.operators.location import nearby
+    rng = random.Random(12)
+    points = [(0.0, 179.999), (0.0, -179.999), (89.9, 10.0), (89.9, 14.0), (90.0, 0.0), (-90.0, 50.0), (-89.999, -120.0)]
+    for lat0, lng0 in ((0.0, 180.0), (89.99, 0.0), (-89.99, 90.0), (60.0, -180.0), (50.0, 0.0)):
+        points += [(max(-90.0, min(90.0, lat0 + rng.uniform(-.02, .02))), (lng0 + rng.uniform(-.05, .05) + 540) % 360 - 180)
+                   for _ in range(40)]
+    o = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "id long, lat double, lng double")
+    p = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "poi_id long, lat double, lng double")
+    got = {(r.origin_id, r.poi_id) for r in nearby(o, p, 1500.0, None).collect()}
+
+    def metres(a, b):
+        x, y = (tuple(math.cos(math.radians(t)) * f(math.radians(g)) for f in (math.cos, math.sin)) + (math.sin(math.radians(t)),)
+                for t, g in (a, b))
+        return 2 * 6371000 * math.asin(min(1.0, math.dist(x, y) / 2))
+    want = {(i, j) for i, a in enumerate(points) for j, b in enumerate(points) if metres(a, b) <= 1499.9}
+    edge = {(i, j) for i, a in enumerate(points) for j, b in enumerate(points) if metres(a, b) <= 1500.1}
+    assert want <= got <= edge and (0, 1) in got and (2, 3) in got
+
+
+def test_route_or_grid_through_the_registered_query(spark, tmp_path):
+    from strider.plans.queries import QUERIES
+    base = "/root/testdata/sf0.001"
+    route = QUERIES["half_hour_grid"](spark, base)
+    assert 0 < route.count() <= 48 and route.where("lat < 50.79").count() == 0
+    spark.read.parquet(f"{base}/events.parquet").limit(0).write.parquet(str(tmp_path / "events.parquet"))
+    grid = QUERIES["half_hour_grid"](spark, str(tmp_path))
+    assert grid.count() == 48 and grid.where("half_hour_interval = 0").first().lat == 50.8231
