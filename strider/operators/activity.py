@@ -25,9 +25,13 @@ _HASH_SPACE = 1 << 52
 
 
 def uniform_hash(key_cols: list[str] | tuple[str, ...], seed: int) -> Column:
-    """Deterministic uniform [0, 1) per row from its key (same value on any re-run)."""
-    h = F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed))
-    return F.pmod(h, F.lit(_HASH_SPACE)).cast("double") / _HASH_SPACE
+    """Deterministic uniform [0, 1) per row from its key (same value on any re-run).
+
+    The first 52 bits of the MD5 of ``key:key:...:seed`` (null key: empty text), which any SQL
+    engine can repeat.
+    """
+    text = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / _HASH_SPACE
 
 
 def hash_split(df: DataFrame, key_cols: list[str] | tuple[str, ...], fraction: float = TRAIN_FRACTION,
@@ -112,7 +116,8 @@ def tree_reports(df: DataFrame, features: list[str], label_col: str = "CoarseLab
     fitted and evaluated, then released.  Each evaluation is one pass over the test
     rows returning one metrics row, so the report is a handful of driver-side rows.
     """
-    data = _assemble(df.na.drop(), features).persist(StorageLevel.MEMORY_AND_DISK)
+    narrow = dict.fromkeys([*key_cols, label_col, "features"])
+    data = _assemble(df.na.drop(), features).select(*narrow).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = hash_split(data, key_cols, fraction, seed)
 
     def report(depth: int) -> tuple:
@@ -149,7 +154,7 @@ def bagged_trees(df: DataFrame, features: list[str], label_col: str = "CoarseLab
     """
     data = _assemble(df.na.drop(), features)
     train, test = hash_split(data, key_cols, fraction, seed)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = train.select(*dict.fromkeys([*key_cols, label_col, "features"])).persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(i: int):
         sample = train.withColumn("_w", poisson_weight(key_cols, i)).where(F.col("_w") > 0)

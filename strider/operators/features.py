@@ -31,8 +31,11 @@ def label_motion_join(labels: DataFrame, motion: DataFrame, label_col: str = "Co
 
     Both sides are pruned to the needed columns first.  Catalyst picks the strategy
     (sort-merge on the keys for two large tables; AQE splits skewed partitions).
-    Row keys ``event_id`` of both sides are carried when present.
+    Row keys ``event_id`` of both sides are carried when present.  Tables of several body
+    positions are joined within each position.
     """
+    if "position" in labels.columns and "position" in motion.columns and "position" not in keys:
+        keys = (*keys, "position")
     lcols = [*keys, label_col] + (["event_id"] if "event_id" in labels.columns else [])
     mcols = [*keys, *axes]
     m = motion.select(*mcols, *([F.col("event_id").alias("motion_event_id")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from strider.plans import queries as Q
 from strider.plans.views_sql import (
     CLEAN_MOTION_VIEW, LABEL_VIEW, LOCATION_VIEW, MOTION_VIEW, POI_VIEW,
@@ -241,3 +243,31 @@ b AS (SELECT event_id, x FROM (SELECT *, row_number() OVER (PARTITION BY event_i
 SELECT a.event_id, b.x AS final_prediction,
        ((((CAST(0.0 AS DOUBLE) + v[1]) + v[2]) + v[3]) + v[4]) + v[5] AS prediction_sum
   FROM a JOIN b ON a.event_id = b.event_id"""
+
+# Uniform number of a row: first 13 hex digits of the MD5 of date:Time:seed, over 16**13.
+_UNIFORM = "(CAST('0x' || substr(md5(date || ':' || Time || ':{seed}'), 1, 13) AS BIGINT) / 4503599627370496.0)"
+
+ORACLE["train_test_split"] = with_views(LABEL_VIEW) + f"""
+SELECT event_id, date, Time, CASE WHEN {_UNIFORM.format(seed=1234)} < 0.8 THEN 'train' ELSE 'test' END AS split
+  FROM label_view"""
+
+
+def _poisson_sql(u: str) -> str:
+    """Poisson(1) count whose cumulative probability first exceeds ``u``."""
+    bounds = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(17)]
+    return f"CAST(CASE {' '.join(f'WHEN {u} < {b!r} THEN {k}' for k, b in enumerate(bounds))} ELSE 17 END AS DOUBLE)"
+
+
+ORACLE["bootstrap_weights"] = with_views(LABEL_VIEW) + f"""
+SELECT event_id, {', '.join(f'{_poisson_sql(_UNIFORM.format(seed=i))} AS w{i}' for i in range(5))}
+  FROM label_view"""
+
+_FLAGGED = "(SELECT *, CASE WHEN event_id % 20 = 3 THEN -1 ELSE 1 END AS prediction FROM clean_motion)"
+ORACLE["anomalies_only"] = with_views(MOTION_VIEW, CLEAN_MOTION_VIEW) + f"""
+SELECT event_id, date, Time, Pressure, prediction FROM {_FLAGGED} f WHERE prediction = -1"""
+
+_SUMMARY = ["AccelerationX", "AccelerationY", "AccelerationZ", "GyroscopeX", "GyroscopeY", "GyroscopeZ",
+            "GravityX", "GravityY", "GravityZ", "Pressure"]
+ORACLE["feature_summary"] = with_views(MOTION_VIEW, CLEAN_MOTION_VIEW) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, prediction, count(*) AS rows, min({c}) AS min, max({c}) AS max, "
+    f"round(avg({c}), 6) AS mean FROM {_FLAGGED} f GROUP BY prediction" for c in _SUMMARY)

@@ -230,6 +230,39 @@ def q_next_location_lookup(spark, base):
     return lookup_slots(route, slots)
 
 
+@register("train_test_split")
+def q_train_test_split(spark, base):
+    from strider.operators.activity import SPLIT_SEED, hash_split
+    rows = Tables(spark, base).labels.select("event_id", "date", "Time")
+    train, test = hash_split(rows, ("date", "Time"), TRAIN_FRACTION, SPLIT_SEED)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
+@register("bootstrap_weights")
+def q_bootstrap_weights(spark, base):
+    from strider.operators.activity import NUM_TREES, poisson_weight
+    rows = Tables(spark, base).labels
+    return rows.select("event_id", *[poisson_weight(("date", "Time"), i).alias(f"w{i}") for i in range(NUM_TREES)])
+
+
+def _flagged_motion(spark, base):
+    """Cleaned motion rows with a computed stand-in for the forest's prediction."""
+    rows = clean.clean_motion(Tables(spark, base).motion)
+    return rows.withColumn("prediction", F.when(F.col("event_id") % 20 == 3, -1).otherwise(1))
+
+
+@register("anomalies_only")
+def q_anomalies_only(spark, base):
+    from strider.operators.anomaly import anomalies
+    return anomalies(_flagged_motion(spark, base)).select("event_id", "date", "Time", "Pressure", "prediction")
+
+
+@register("feature_summary")
+def q_feature_summary(spark, base):
+    from strider.operators.anomaly import anomaly_by_feature
+    return anomaly_by_feature(_flagged_motion(spark, base)).withColumn("mean", F.round("mean", 6))
+
+
 @register("half_hour_grid")
 def q_half_hour_grid(spark, base):
     from strider.operators.location import route_by_slot, route_or_default

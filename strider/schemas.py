@@ -108,20 +108,6 @@ SCHEMAS: dict[str, T.StructType] = {
     "labels_track_tunnels": TRACK_SCHEMA,
 }
 
-PREDICTED_LOCATIONS_SCHEMA = T.StructType([
-    T.StructField("Predicted_Latitude", T.DoubleType()),
-    T.StructField("Predicted_Longitude", T.DoubleType()),
-    T.StructField("half_hour_interval", T.IntegerType()),
-])
-
-TREE_METRICS_SCHEMA = T.StructType([
-    T.StructField("Depth", T.IntegerType()),
-    T.StructField("Accuracy", T.DoubleType()),
-    T.StructField("Precision", T.DoubleType()),
-    T.StructField("Recall", T.DoubleType()),
-])
-
-
 def kind_of(file_name: str) -> str | None:
     """Kind of a raw sensor file: first kind name contained in the file name."""
     if not file_name.endswith(".txt"):

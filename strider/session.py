@@ -7,6 +7,8 @@ leaves open.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session built here carries.  AQE re-plans joins and partition counts
@@ -68,28 +70,15 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return None
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder (reliable checkpoint).
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once for several later passes: a reliable checkpoint.
 
-    Survives executor loss: later stages read the written files instead of
-    recomputing the lineage.
+    Later stages read the files in the shared folder, so they survive executor loss.  Without
+    ``spark.checkpoint.dir`` a cluster session fails; a local one gets a temporary folder.
     """
     spark = df.sparkSession
     if ensure_checkpoint_dir(spark) is None:
-        raise RuntimeError(
-            "no checkpoint folder: set spark.checkpoint.dir to a shared folder")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("no checkpoint folder: set spark.checkpoint.dir to a shared folder")
+        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="strider-checkpoints-"))
     return df.checkpoint(eager=True)
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once for several later passes.
-
-    Uses a reliable checkpoint when the session names a checkpoint folder (survives
-    executor loss and cuts lineage), else a memory-and-disk persist.
-    """
-    from pyspark import StorageLevel
-    if ensure_checkpoint_dir(df.sparkSession) is not None:
-        return df.checkpoint(eager=True)
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    return out

@@ -31,6 +31,13 @@ def kind_from_name(name: Column | str = "_metadata.file_name") -> Column:
     return F.when(name.endswith(".txt"), expr)
 
 
+def position_from_name(name: Column | str = "_metadata.file_name") -> Column:
+    """Body position of a file name ``<Position>_<Kind>.txt``; null for files without one."""
+    name = F.col(name) if isinstance(name, str) else name
+    found = F.regexp_extract(name, r"^([^_]+)_(?:API|Motion|Label|Location)\b", 1)
+    return F.when(found != "", found)
+
+
 # Characters treated as blanks around and between fields.
 BLANKS = " \t\r\n\f\u000b"
 
@@ -41,8 +48,8 @@ def parse_sensor_lines(lines: DataFrame, kind: str, value_col: str = "value",
 
     Runs of spaces / tabs are one separator, leading and trailing blanks are ignored,
     blank lines are skipped, ``NaN`` text becomes NaN and unparsable fields null.
-    Short rows are padded with nulls; a row with more fields than the kind has fails
-    the job (``mode="strict"``) or keeps the leading fields (``"permissive"``).  Other
+    A row with another number of fields than the kind has fails the job (``mode="strict"``);
+    ``"permissive"`` pads short rows with nulls and keeps the leading fields of long ones.  Other
     columns of ``lines`` are carried along.  The line is split once (one regular
     expression); the field-count check sits in the same projection.
     """
@@ -56,15 +63,16 @@ def parse_sensor_lines(lines: DataFrame, kind: str, value_col: str = "value",
              .select(*carried, F.split(text, r"\s+").alias("_f")))
     typed = [F.get(F.col("_f"), i).try_cast(f.dataType) for i, f in enumerate(schema.fields)]
     if mode == "strict":
-        too_long = F.raise_error(F.concat(F.lit(f"{kind} row with more than {n} fields: "),
-                                          F.array_join(F.col("_f"), " ")))
-        typed[0] = F.when(F.size("_f") > n, too_long).otherwise(typed[0])
+        wrong = F.raise_error(F.concat(F.lit(f"{kind} row without {n} fields: "),
+                                       F.array_join(F.col("_f"), " ")))
+        typed[0] = F.when(F.size("_f") != n, wrong).otherwise(typed[0])
     return split.select(*carried, *[c.alias(f.name) for c, f in zip(typed, schema.fields)])
 
 
 def read_sensor_text(spark: SparkSession, base: str, kind: str, mode: str = "strict",
                      stem: str | None = None) -> DataFrame:
-    """All ``.txt`` files of ``kind`` under ``base`` (any depth) as one typed table + ``date``.
+    """All ``.txt`` files of ``kind`` under ``base`` (any depth) as one typed table + ``date``
+    and ``position``.
 
     A glob on the kind prunes the listing; the first-match rule on the file name then
     keeps only files whose kind is exactly ``kind``.  Empty files add no rows.  With
@@ -79,12 +87,13 @@ def read_sensor_text(spark: SparkSession, base: str, kind: str, mode: str = "str
 
 
 def typed_sensor_lines(raw: DataFrame, kind: str, mode: str = "strict") -> DataFrame:
-    """Text-source rows (``value`` + ``_metadata``) of ``kind`` files → typed rows + ``date``.
+    """Text-source rows (``value`` + ``_metadata``) of ``kind`` files → typed rows + ``date`` and
+    ``position`` (Hips, Bag, Hand, Torso …: rows of different positions share (date, Time)).
 
     Shared by the batch reader and the streaming ingest.
     """
     lines = (raw.where(kind_from_name() == kind)
-             .select("value", date_from_path().alias("date")))
+             .select("value", date_from_path().alias("date"), position_from_name().alias("position")))
     return parse_sensor_lines(lines, kind, mode=mode)
 
 
@@ -108,3 +117,20 @@ def read_sensor_table(spark: SparkSession, path: str, kind: str, fmt: str = "par
     ``010317`` into the number 10317) and lets filters on ``date`` prune folders.
     """
     return spark.read.format(fmt).schema(with_date(SCHEMAS[kind])).load(path)
+
+
+def ingest_release(spark: SparkSession, base: str, target: str, mode: str = "strict",
+                   write_mode: str = "overwrite") -> dict[str, str]:
+    """Every kind of sensor file under ``base`` → one table per kind under ``target``, by day
+    and body position; {kind: path} of the kinds that have files."""
+    from strider.sources.sinks import write_table
+    raw = (spark.read.format("text").option("recursiveFileLookup", "true")
+           .option("pathGlobFilter", "*.txt").load(base))
+    kinds = [r[0] for r in raw.select(kind_from_name().alias("k")).where("k is not null").distinct().collect()]
+    out = {}
+    for kind in [k for k in KIND_ORDER if k in kinds]:
+        out[kind] = f"{target.rstrip('/')}/{kind}"
+        keys = ("date", "position") if kind in ("API", "Motion", "Label", "Location") else ("date",)
+        rows = read_sensor_text(spark, base, kind, mode)
+        write_table(rows if "position" in keys else rows.drop("position"), out[kind], write_mode, keys)
+    return out

@@ -23,6 +23,8 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
     ``append`` adds rows (a rerun duplicates them); ``overwrite`` replaces the table,
     or with ``dynamic_overwrite`` only the days present in ``df`` (idempotent reloads).
     """
+    if partition_by:                        # few files per day; AQE splits a day that is large
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

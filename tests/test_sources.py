@@ -36,16 +36,17 @@ def test_text_parse_golden(spark, tmp_path):
 
 def test_try_cast_and_padding(spark):
     lines = spark.createDataFrame([("abc 1.5",), ("7",)], "value string")
-    got = parse_sensor_lines(lines, "labels_track_main").collect()
+    got = parse_sensor_lines(lines, "labels_track_main", mode="permissive").collect()
     assert got[0].StartTime is None and got[0].EndTime is None      # 'abc', '1.5' → null bigint
     assert got[1].StartTime == 7 and got[1].Activity is None
 
 
 def test_too_many_fields(spark):
     import pytest
+    for wrong in ("1 2 3 4", "1 2"):
+        with pytest.raises(Exception):
+            parse_sensor_lines(spark.createDataFrame([(wrong,)], "value string"), "labels_track_main").collect()
     lines = spark.createDataFrame([("1 2 3 4",)], "value string")
-    with pytest.raises(Exception):
-        parse_sensor_lines(lines, "labels_track_main").collect()
     assert parse_sensor_lines(lines, "labels_track_main", mode="permissive").count() == 1
 
 
@@ -120,3 +121,24 @@ def test_report_text_and_locations(spark, tmp_path):
     locs = spark.createDataFrame([(50.8, -0.1, 3)], "Predicted_Latitude double, Predicted_Longitude double, half_hour_interval int")
     sinks.write_predicted_locations(locs, str(tmp_path / "pred_loc"))
     assert spark.read.parquet(str(tmp_path / "pred_loc")).count() == 1
+
+
+def test_release_folder_keeps_body_positions(spark, tmp_path):
+    from strider.operators.features import label_motion_join
+    from strider.schemas import SCHEMAS, with_date
+    from strider.sources.sensor_files import ingest_release
+    day = tmp_path / "raw" / "010317"
+    day.mkdir(parents=True)
+    width = {k: len(SCHEMAS[k].fields) for k in ("Motion", "Label", "Location")}
+    for n, position in enumerate(("Hips", "Bag", "Hand", "Torso")):
+        for kind in ("Motion", "Label"):
+            rows = [" ".join([str(1000 + 10 * i), *[str(n)] * (width[kind] - 1)]) for i in range(3)]
+            (day / f"{position}_{kind}.txt").write_text("\n".join(rows) + "\n")
+    (day / "Hips_Location.txt").write_text("")
+    found = ingest_release(spark, str(tmp_path / "raw"), str(tmp_path / "tables"))
+    assert set(found) == {"Motion", "Label"}
+    read = lambda k: spark.read.schema(with_date(SCHEMAS[k]).add("position", "string")).parquet(found[k])
+    motion, label = read("Motion"), read("Label")
+    assert sorted({r.position for r in motion.collect()}) == ["Bag", "Hand", "Hips", "Torso"]
+    joined = label_motion_join(label, motion, axes=["AccelerationX"]).collect()
+    assert len(joined) == 12 and all(r.CoarseLabel == int(r.AccelerationX) for r in joined)
