@@ -8,8 +8,10 @@ def test_entry_runs(spark):
 
 
 def test_every_value_key_has_oracle():
+    from strider.plans.oracle import ORACLE
+    from strider.plans.queries import QUERIES
     q, o = entry.queries(), entry.oracle_sql()
-    assert set(o) <= set(q)
-    rows_only = set(q) - set(o)
+    assert set(o) <= set(q) and set(QUERIES) <= set(q) and set(ORACLE) <= set(o)
+    rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only == {"tree_metrics", "tree_depth_sweep", "bagged_trees", "isolation_forest",
                          "anomaly_by_feature", "kmeans_outliers", "next_location"}

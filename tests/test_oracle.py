@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from strider.plans.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["supplier", "events"]
@@ -36,7 +37,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, key):
     df = entry.queries()[key](spark, SF)
     rel = duck.sql(entry.oracle_sql()[key])
