@@ -26,6 +26,8 @@ CONTRACTED = regex.compile(CONTRACTION)
 RARE = regex.compile("[^\\t\\n\\r\\x20-\\x7e\\u00a1-\\u00ff]")
 #: Units remembered per worker; beyond it the memory is emptied and filled anew.
 UNITS_KEPT = 1_000_000
+#: Token pairs remembered likewise.
+PAIRS_KEPT = 400_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -72,7 +74,7 @@ class Vocabulary:
 
     def _pair(self, left: bytes, right: bytes) -> bool:
         """Whether the library leaves the two tokens as they are when they stand together."""
-        if len(self._fits) >= UNITS_KEPT:
+        if len(self._fits) >= PAIRS_KEPT:
             self._fits.clear()
         spelt = ["".join(self._spell[b] for b in t) for t in (left, right) if t]
         known = [t.value for t in self.library.model.tokenize("".join(spelt))] == spelt
