@@ -52,6 +52,14 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values (by sorting; numpy's hash table is slower on such numbers)."""
+    values = np.sort(values)
+    keep = np.ones(len(values), bool)
+    keep[1:] = values[1:] != values[:-1]
+    return values[keep]
+
+
 def covered(size: int, starts: np.ndarray, width: int) -> np.ndarray:
     """Which of ``size`` places lie in a window of ``width`` that begins at one of the distinct
     ``starts``."""

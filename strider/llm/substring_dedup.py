@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from strider.llm import text_blocks
 from strider.llm.common import attach, staged, text_of
 from strider.llm.exchange import MESSAGE, answered, messages, shared_flags
-from strider.llm.rolling import covered, sliding_min, window_hashes
+from strider.llm.rolling import covered, distinct, sliding_min, window_hashes
 
 #: Words of an anchor.
 GRAM = 16
@@ -84,7 +84,7 @@ def _send_seeds(size: int, owners: int):
 def _send_windows(size: int, owners: int):
     def run(key, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         block = Block(rows, size)
-        return pd.DataFrame(messages(int(key[0]), np.unique(block.hashes[block.live(answers)]), owners), columns=_COLUMNS)
+        return pd.DataFrame(messages(int(key[0]), distinct(block.hashes[block.live(answers)]), owners), columns=_COLUMNS)
     return run
 
 

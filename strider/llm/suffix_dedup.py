@@ -25,13 +25,15 @@ from strider.llm import text_blocks
 from strider.llm.common import HEAVY_SHARE, attach, staged, text_of
 from strider.llm.difference_cover import prefix_classes
 from strider.llm.exchange import MESSAGE, answered, messages, shared_flags
-from strider.llm.rolling import covered, joined, ranges, sliding_min
+from strider.llm.rolling import covered, distinct, joined, ranges, sliding_min
 
 #: Bytes of an anchor's gram.
 GRAM = 16
 #: Bits of an anchor that blocks exchange; a false match only sends a snippet for nothing.
 ANCHOR_BITS = 40
 BLOCKS_PER_OWNER = 4
+#: Bytes of text hashed at a time.
+CHUNK = 1 << 15
 SNIPPETS = "block long, owner int, sizes binary, anchors binary, payload binary"
 ANSWER = "block long, owner int, n long, bitmap binary"
 RESULT = "low long, h1 long, h2 long, n_removed long, n_spans long, kept string"
@@ -84,15 +86,18 @@ class Block:
             self.first = self.count = self.text = np.zeros(0, np.int64)
             self.anchor = np.zeros(0, np.uint64)
             return
-        if gram == GRAM:
-            words = np.ndarray((n - 7,), "<u8", self.data, 0, (1,))
-            hashes = joined(words[:-8], words[8:])
-        else:
-            hashes = np.frombuffer(self.data, np.uint8)[:n - gram + 1].astype(np.uint64)
-        least = sliding_min(hashes, size - gram + 1)
+        least = np.empty(n - size + 1, np.uint64)
+        for at in range(0, len(least), CHUNK):   # so much that it stays in the processor's cache
+            part = self.data[at:at + CHUNK + size - 1]
+            if gram == GRAM:
+                words = np.ndarray((len(part) - 7,), "<u8", part, 0, (1,))
+                hashes = joined(words[:-8], words[8:])
+            else:
+                hashes = np.frombuffer(part, np.uint8)[:len(part) - gram + 1].astype(np.uint64)
+            least[at:at + CHUNK] = sliding_min(hashes, size - gram + 1)
         texts = np.flatnonzero(length >= size)
         begin, end = self.starts[texts], (self.starts + length)[texts] - size + 1
-        edges = np.unique(np.concatenate([np.flatnonzero(least[1:] != least[:-1]) + 1, begin, end, [len(least)]]))
+        edges = distinct(np.concatenate([np.flatnonzero(least[1:] != least[:-1]) + 1, begin, end, [len(least)]]))
         edges = edges[edges <= len(least)]
         first, count = edges[:-1], np.diff(edges)
         own = np.searchsorted(begin, first, side="right") - 1
@@ -120,7 +125,7 @@ class Block:
     def local(self) -> np.ndarray:
         """Places of windows that a text of this block with a smaller doc_id has too."""
         base = np.int64(len(self.texts) + 1)
-        holders = np.bincount(np.unique(self.seed_of * base + self.text) // base, minlength=len(self.seeds))
+        holders = np.bincount(distinct(self.seed_of * base + self.text) // base, minlength=len(self.seeds))
         chosen = np.flatnonzero((holders > 1)[self.seed_of])
         if not len(chosen):
             return chosen
@@ -200,7 +205,7 @@ def _remove(size: int):
     def run(key, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         block = Block(rows, size)
         first, second = (answers[answers["round"] == i] for i in (1, 2))
-        again = np.union1d(block.local(), block.remote(block.live(first), second))
+        again = distinct(np.concatenate([block.local(), block.remote(block.live(first), second)]))
         gone = covered(len(block.data), again, size)
         data = np.frombuffer(block.data, np.uint8)
         out = []
