@@ -27,7 +27,7 @@ RARE = regex.compile("[^\\t\\n\\r\\x20-\\x7e\\u00a1-\\u00ff]")
 #: Units remembered per worker; beyond it the memory is emptied and filled anew.
 UNITS_KEPT = 1_000_000
 #: Token pairs remembered likewise.
-PAIRS_KEPT = 400_000
+PAIRS_KEPT = 1_000_000
 
 
 def _byte_letters() -> dict[str, int]:
