@@ -120,7 +120,10 @@ def _pack_forest(nodes: list) -> dict:
     }
 
 
-def _scorer(forest_bc, psi: int, max_depth: int, out_cols: list[str], x_cols: list[str]):
+def _scorer(forest_bc, psi: int, max_depth: int, out_cols: list[str], x_cols: list[str],
+            stds: list[float | None] | None = None):
+    """Scores of batches; columns are divided by ``stds`` (a constant column, without one, is 0)."""
+    divisors = np.array([s or np.inf for s in stds]) if stds else 1.0
     c_psi = float(average_path_length([psi])[0]) or 1.0
 
     def score(batches):
@@ -130,7 +133,7 @@ def _scorer(forest_bc, psi: int, max_depth: int, out_cols: list[str], x_cols: li
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            x = pdf[x_cols].to_numpy(dtype=float)
+            x = pdf[x_cols].to_numpy(dtype=float) / divisors
             rows = np.arange(len(x))[:, None]
             node = np.broadcast_to(roots, (len(x), len(roots))).copy()
             for _ in range(max_depth):
@@ -159,7 +162,8 @@ def isolation_forest(df: DataFrame, features: list[str] | tuple[str, ...] = tupl
     ``score_sample`` (−2^(−E[h]/c(psi))) and ``prediction`` (−1 anomaly, 1 normal).
 
     ``key_cols`` must identify rows uniquely: samples are drawn from their hash, which
-    makes the forest independent of partitioning and row order.
+    makes the forest independent of partitioning and row order.  Rows are scored from their raw
+    features; only the scores are checkpointed, to find the cut.
     """
     features = list(features)
     keep = list(dict.fromkeys([*keep, *key_cols]))
@@ -176,7 +180,7 @@ def isolation_forest(df: DataFrame, features: list[str] | tuple[str, ...] = tupl
         if not scale:
             return F.col(f).cast("double")
         return F.lit(0.0) if not std else F.col(f) / F.lit(float(std))
-    vec = data.select(*data.columns, *[scaled(f).alias(x) for f, x in zip(features, x_cols)])
+    vec = data.select(*key_cols, *[scaled(f).alias(x) for f, x in zip(features, x_cols)])
     spark = df.sparkSession
     psi = min(max_samples, n)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
@@ -197,12 +201,14 @@ def isolation_forest(df: DataFrame, features: list[str] | tuple[str, ...] = tupl
              .applyInPandas(_tree_builder(max_depth, seed, x_cols), NODE_SCHEMA).collect())
     forest = spark.sparkContext.broadcast(_pack_forest([tuple(r) for r in nodes]))
     out_cols = list(data.columns)
-    out_schema = T.StructType([vec.schema[c] for c in out_cols] +
-                              [T.StructField("score_sample", T.DoubleType())])
-    scored = vec.mapInPandas(_scorer(forest, psi, max_depth, out_cols, x_cols), out_schema)
+    stds = [fit[f] for f in features] if scale else None
+
+    def score(rows: DataFrame, columns: list[str]) -> DataFrame:
+        kind = T.StructType([data.schema[c] for c in columns] + [T.StructField("score_sample", T.DoubleType())])
+        return rows.mapInPandas(_scorer(forest, psi, max_depth, columns, features, stds), kind)
+    scored = score(data, out_cols)
     if exact_threshold:
-        scored = materialize(scored)
-        cut = exact_quantile(scored, "score_sample", contamination)
+        cut = exact_quantile(materialize(score(data.select(*features), [])), "score_sample", contamination)
     else:
         # One aggregate value (a sketch with rank error ≤ 1e-5 · n), applied as a literal.
         cut = scored.agg(F.percentile_approx("score_sample", contamination, 100000)).first()[0]

@@ -132,8 +132,7 @@ def half_hour_features(df: DataFrame, time_col: str = "Time") -> DataFrame:
 def lag_sequences(df: DataFrame, value_cols: list[str], n: int = 10,
                   partition_cols: list[str] | tuple[str, ...] = ("user_id",),
                   order_cols: list[str] | tuple[str, ...] = ("Time", "event_id"),
-                  block_rows: int | None = 1 << 20, rows_per_partition: int | None = None,
-                  partition_bytes: int = 256 << 20) -> DataFrame:
+                  block_rows: int | None = 1 << 20, rows_per_partition: int | None = None) -> DataFrame:
     """Each row with its ``n`` predecessors (per partition key, in ``order_cols`` order).
 
     Adds ``<v>_lag1`` … ``<v>_lag<n>`` (lag 1 = previous row) and keeps only rows that
@@ -153,9 +152,8 @@ def lag_sequences(df: DataFrame, value_cols: list[str], n: int = 10,
        block (at most ``block_rows + n`` rows); a lag is kept only when the row ``n``
        back has the same key.
 
-    The number of range partitions comes from Catalyst's size estimate of ``df``
-    (``partition_bytes`` each, no extra job) or, with ``rows_per_partition``, from a
-    row count.  ``block_rows=None`` uses the single window per key instead.
+    There are ``spark.sql.shuffle.partitions`` range partitions, small ones coalesced at run
+    time (AQE), or with ``rows_per_partition`` as many as a row count gives.  ``block_rows=None`` uses the single window per key instead.
     """
     from strider.session import materialize
 
@@ -170,17 +168,8 @@ def lag_sequences(df: DataFrame, value_cols: list[str], n: int = 10,
     if block_rows < n:
         raise ValueError("block_rows must be at least n")
     keys = p + o
-    estimate = None
-    if not rows_per_partition:
-        try:
-            estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        except Exception:  # noqa: BLE001 - no JVM plan handle: size from a row count instead
-            estimate = None
-    if estimate is None:
-        parts = max(1, -(-df.count() // (rows_per_partition or (1 << 22))))
-    else:
-        parts = int(min(max(1, -(-estimate // partition_bytes)), 1 << 20))
-    ranged = materialize(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys))
+    parts = [max(1, -(-df.count() // rows_per_partition))] if rows_per_partition else []
+    ranged = materialize(df.repartitionByRange(*parts, *keys).sortWithinPartitions(*keys))
     pid = F.spark_partition_id()
     placed = ranged.select("*", pid.alias("_pid"),
                            (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias("_pos"))

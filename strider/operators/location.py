@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strider.functions.geo import DEG_TO_RAD, EARTH_RADIUS_M, haversine_m
@@ -23,6 +24,11 @@ MAX_PLAUSIBLE_LAT = 50.9
 NEARBY_RADIUS_M = 1500.0
 RIDGE = 1e-6                            # of the position regressions
 NEARBY_TOP_K = 10
+# Packing of two order columns: the first within 4e18 either way (else Spark reports an
+# overflow), the second any long; nulls before all.
+INTEGERS = ("byte", "short", "integer", "long")
+NULL_ORDER = -2 ** 62
+ORDER_SHIFT = "cast('20000000000000000000' as decimal(20,0))"
 
 
 def route_by_slot(predictions: DataFrame, lat_col: str = "Predicted_Latitude",
@@ -30,28 +36,22 @@ def route_by_slot(predictions: DataFrame, lat_col: str = "Predicted_Latitude",
                   order_cols: tuple[str, ...] = ("Time", "event_id")) -> DataFrame:
     """One location per slot: the latest prediction wins (``order_cols``), slot text added.
 
-    The latest value of the first ordering column per slot is a hash aggregate with
-    map-side partial maxima (at most 48 groups, so a slot holding most rows is still one
-    row per task); joining that bounded table back (broadcast, no shuffle of the input)
-    keeps only rows at their slot's latest time, and the remaining ordering columns
-    break ties among those few rows.
+    One scan and one hash aggregate over the 48 valid slots, so a slot holding most rows is
+    one row per task.  ``order_cols`` (one or two integer columns, nulls first; at least one
+    must exist) are packed into one decimal that orders as they do.
     """
     present = [c for c in order_cols if c in predictions.columns]
-    base = predictions.select(F.col(slot_col).alias("half_hour_interval"),
-                              F.col(lat_col).alias("lat"), F.col(lng_col).alias("lng"), *present)
-    point = F.struct("lat", "lng")
-    if present:
-        first = present[0]
-        latest = base.groupBy("half_hour_interval").agg(F.max(first).alias("_latest"))
-        base = (base.join(F.broadcast(latest), "half_hour_interval")
-                .where(F.col(first) == F.col("_latest")).drop("_latest"))
-        rest = present[1:]
-        pick = F.max_by(point, F.struct(*rest)) if rest else F.max(point)
-    else:
-        pick = F.max(point)
-    return (base.groupBy("half_hour_interval").agg(pick.alias("p"))
-            .select(F.col("p.lat").alias("lat"), F.col("p.lng").alias("lng"), "half_hour_interval",
-                    slot_text("half_hour_interval").alias("time"))
+    if not present:
+        raise ValueError(f"no order column {order_cols}: the latest prediction is not defined")
+    if len(present) > 2 or any(predictions.schema[c].dataType.typeName() not in INTEGERS for c in present):
+        raise ValueError(f"order columns must be one or two integer columns: {present}")
+    wide = [F.coalesce(F.col(c).cast("decimal(38,0)"), F.expr(f"cast('{NULL_ORDER}' as decimal(38,0))")) for c in present]
+    last = reduce(lambda high, low: (high * F.expr(ORDER_SHIFT) + low).cast("decimal(38,0)"), wide)
+    base = predictions.select(F.col(slot_col).alias("half_hour_interval"), F.col(lat_col).alias("lat"),
+                              F.col(lng_col).alias("lng"), last.alias("last"))
+    return (base.where(F.col("half_hour_interval").between(0, SLOTS_PER_DAY - 1))
+            .groupBy("half_hour_interval").agg(F.max_by("lat", "last").alias("lat"), F.max_by("lng", "last").alias("lng"))
+            .select("lat", "lng", "half_hour_interval", slot_text("half_hour_interval").alias("time"))
             .orderBy("half_hour_interval"))
 
 

@@ -130,3 +130,18 @@ def test_route_or_grid_through_the_registered_query(spark, tmp_path):
     spark.read.parquet(f"{base}/events.parquet").limit(0).write.parquet(str(tmp_path / "events.parquet"))
     grid = QUERIES["half_hour_grid"](spark, str(tmp_path))
     assert grid.count() == 48 and grid.where("half_hour_interval = 0").first().lat == 50.8231
+
+
+def test_route_orders_by_packed_columns(spark):
+    import pytest
+    kind = "Predicted_Latitude double, Predicted_Longitude double, half_hour_interval int, Time long, event_id long"
+    preds = spark.createDataFrame(
+        [(1.0, 1.5, 0, None, 7), (2.0, 2.5, 0, None, 9), (3.0, 3.5, 1, None, 2 ** 62), (4.0, 4.5, 1, -5, -2 ** 62),
+         (5.0, 5.5, 2, 10, 2 ** 62), (6.0, 6.5, 2, 11, -2 ** 62), (7.0, 7.5, 3, 10, 8), (8.0, 8.5, 3, 10, None),
+         (9.0, 9.5, 48, 10, 1), (9.0, 9.5, None, 10, 1)], kind)
+    got = [(r.half_hour_interval, r.lat, r.lng) for r in route_by_slot(preds).collect()]
+    assert got == [(0, 2.0, 2.5), (1, 4.0, 4.5), (2, 6.0, 6.5), (3, 7.0, 7.5)]
+    with pytest.raises(ValueError):
+        route_by_slot(preds.drop("Time", "event_id"))
+    plan = route_by_slot(preds)._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan and "Join" not in plan

@@ -97,3 +97,13 @@ def test_bucketed_tables_join_without_shuffle(spark):
         spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     assert rows == label_motion_join(t.labels, clean_motion(t.motion)).count()
+
+
+def test_bucketed_table_has_one_file_per_day_and_bucket(spark):
+    from strider.sources import sinks
+    from strider.sources.bindings import Tables
+    labels = Tables(spark, SF).labels.repartition(6)
+    sinks.save_bucketed(labels, "few_files", ["Time"], 4)
+    table = spark.table("few_files")
+    assert table.count() == labels.count()
+    assert len(table.inputFiles()) <= 4 * labels.select("date").distinct().count()
