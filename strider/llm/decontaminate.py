@@ -19,11 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strider.llm.common import slices, text_of
+from strider.llm.rolling import ranges
 
 Q = 8
 EDIT_SHARE = 0.1
 #: Bytes of benchmark text that one pass broadcasts.
 BLOCK_BYTES = 16 << 20
+#: Shared q-grams counted at a time: bounds the memory of texts full of frequent q-grams.
+ENTRIES = 1 << 20
 _TABLE_BITS = 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -72,38 +75,56 @@ class Index:
     def __init__(self, items: list[tuple[int, bytes]]):
         self.items = [(i, t) for i, t in items if len(t) >= Q]
         self.budgets = np.array([edit_budget(len(t)) for _, t in self.items], np.int64)
-        sizes = np.array([len(t) for _, t in self.items], np.int64)
-        self.bounds = sizes - Q + 1 - Q * self.budgets
+        self.sizes = np.array([len(t) for _, t in self.items], np.int64)
+        self.bounds = self.sizes - Q + 1 - Q * self.budgets
         codes = [_grams(t) for _, t in self.items]
         self.codes = np.concatenate(codes) if codes else np.zeros(0, "<u8")
         self.item = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
         self.offset = np.concatenate([np.arange(len(c)) for c in codes]) if codes else np.zeros(0, np.int64)
         order = np.argsort(self.codes, kind="stable")
-        self.codes, self.item, self.offset = self.codes[order], self.item[order], self.offset[order]
+        self.item, self.offset = self.item[order], self.offset[order]
+        self.codes, self.first = np.unique(self.codes[order], return_index=True)
+        self.many = np.diff(np.append(self.first, len(order)))
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         self.table[(self.codes * _MIX) >> np.uint64(64 - _TABLE_BITS)] = True
 
     def regions(self, data: bytes) -> Iterator[tuple[int, int, int]]:
-        """(item, first diagonal, last diagonal) of the bands that reach the lemma's bound."""
+        """(item, first diagonal, last diagonal) of the bands that reach the lemma's bound.
+
+        The text is passed over in steps of at most ENTRIES shared q-grams (one place's, if
+        they are more); only bands that later places can still add to are carried on.
+        """
         grams = _grams(data)
         if not len(grams) or not len(self.codes):
             return
         places = np.flatnonzero(self.table[(grams * _MIX) >> np.uint64(64 - _TABLE_BITS)])
-        low = np.searchsorted(self.codes, grams[places], "left")
-        many = np.searchsorted(self.codes, grams[places], "right") - low
-        entry = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-        item = self.item[entry]
-        diagonal = np.repeat(places, many) - self.offset[entry]
-        width = self.budgets[item] + 1           # band b: diagonals [b*width, (b+2)*width)
-        band = np.concatenate([diagonal // width, diagonal // width - 1])
-        both = np.concatenate([item, item])
-        order = np.lexsort((band, both))
-        band, both = band[order], both[order]
-        starts = np.flatnonzero(np.concatenate([[True], (np.diff(band) != 0) | (np.diff(both) != 0)])) if len(band) else []
-        counts = np.diff(np.append(starts, len(band)))
-        for s in np.asarray(starts)[counts >= self.bounds[both[starts]]] if len(band) else []:
-            w = int(self.budgets[both[s]]) + 1
-            yield int(both[s]), int(band[s]) * w, int(band[s] + 2) * w - 1
+        rank = np.searchsorted(self.codes, grams[places])
+        rank = np.minimum(rank, len(self.codes) - 1)
+        known = self.codes[rank] == grams[places]
+        places, rank = places[known], rank[known]
+        ends = np.cumsum(self.many[rank])
+        band = item = seen = np.zeros(0, np.int64)
+        at = 0
+        while at < len(places):
+            done = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, done + ENTRIES, "right")))
+            many = self.many[rank[at:stop]]
+            entry = ranges(self.first[rank[at:stop]], many)
+            own = self.item[entry]
+            # Band b: diagonals [b*width, (b+2)*width).
+            high = (np.repeat(places[at:stop], many) - self.offset[entry]) // (self.budgets[own] + 1)
+            band, item = np.concatenate([band, high, high - 1]), np.concatenate([item, own, own])
+            seen = np.concatenate([seen, np.ones(2 * len(own), np.int64)])
+            order = np.lexsort((band, item))
+            band, item, seen = band[order], item[order], seen[order]
+            starts = np.flatnonzero(np.concatenate([[True], (np.diff(band) != 0) | (np.diff(item) != 0)]))
+            band, item, seen = band[starts], item[starts], np.add.reduceat(seen, starts)
+            last = (band + 2) * (self.budgets[item] + 1) - 1
+            going = last + self.sizes[item] - Q >= places[stop] if stop < len(places) else np.zeros(len(band), bool)
+            for s in np.flatnonzero(~going & (seen >= self.bounds[item])):
+                yield int(item[s]), int(band[s]) * (int(self.budgets[item[s]]) + 1), int(last[s])
+            band, item, seen = band[going], item[going], seen[going]
+            at = stop
 
     def hits(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
         """(document, item_id, edits, end, item length), best place of each item per document."""

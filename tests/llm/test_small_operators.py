@@ -112,6 +112,19 @@ def test_items_within_the_edit_budget_are_found(spark, docs):
     assert decontaminate.clean(docs(rows), benchmark.limit(0)).count() == len(rows)
 
 
+def test_frequent_grams_are_counted_in_steps(monkeypatch):
+    rng = random.Random(7)
+    phrase = b"which of the following statements is right "
+    words = [bytes(rng.choices(b"abcdef", k=5)) for _ in range(40)]
+    items = [(i, phrase + b" ".join(rng.choices(words, k=8))) for i in range(50)] + [(50, b"a" * 60)]
+    texts = [(phrase * 30 + t + b" " + phrase * 3).decode() for _, t in items[:6]] + ["a" * 500, phrase.decode() * 200]
+    whole = list(decontaminate.Index(items).hits(texts))
+    assert {(d, i) for d, i, *_ in whole} >= {(d, d) for d in range(6)} | {(6, 50)}
+    for step in (1, 37, 5000):
+        monkeypatch.setattr(decontaminate, "ENTRIES", step)
+        assert list(decontaminate.Index(items).hits(texts)) == whole
+
+
 def test_whole_items_in_documents_are_found(spark):
     found = {(r.doc_id, r.item_id) for r in QUERIES["op6_decontaminate"](spark, BASE).collect()}
     items = [(r.item_id, decontaminate.normalised(r.text)) for r in spark.read.parquet(f"{BASE}/benchmark.parquet").collect()]
