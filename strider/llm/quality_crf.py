@@ -11,6 +11,7 @@ The model is small and fitted on a bounded sample; scoring reads every line of e
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +61,8 @@ FEATURES = len(line_features(b""))
 def document_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(lines x 3*FEATURES features: own, line before, line after; weight of each line)."""
     lines = text.encode().split(b"\n")
-    own = np.array([line_features(x) for x in lines], np.float32)
+    own = np.fromiter(chain.from_iterable(map(line_features, lines)), np.float32,
+                      len(lines) * FEATURES).reshape(-1, FEATURES)
     none = np.zeros((1, FEATURES), np.float32)
     wide = np.hstack([own, np.vstack([none, own[:-1]]), np.vstack([own[1:], none])])
     return wide, np.array([len(x) + 1 for x in lines], np.float64)
