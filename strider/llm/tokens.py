@@ -24,8 +24,9 @@ UNIT = regex.compile(rf"(?:\s*[^\S ])?{CONTRACTION}|\s*(?:\p{{L}}+|\p{{N}}+|[^\s
 CONTRACTED = regex.compile(CONTRACTION)
 #: Characters for which the two libraries' Unicode tables cannot differ.
 RARE = regex.compile("[^\\t\\n\\r\\x20-\\x7e\\u00a1-\\u00ff]")
-#: Units remembered per worker; beyond it the memory is emptied and filled anew.
-UNITS_KEPT = 1_000_000
+#: Units remembered per worker; beyond it the memory is emptied and filled anew.  Longer units
+#: than UNIT_KEPT characters are not remembered.
+UNITS_KEPT, UNIT_KEPT = 1_000_000, 64
 #: Token pairs remembered likewise.
 PAIRS_KEPT = 1_000_000
 
@@ -136,9 +137,11 @@ class Vocabulary:
             if len(core) > 2 and CONTRACTED.fullmatch(core):
                 after[-2] = self._words(*words[:-1], core[0], core[1])[-1]
             counts += after[len(space):]
-        if len(self._steps) >= UNITS_KEPT:
-            self._steps.clear()
-        found = self._steps[unit] = bytes([(a - b) & 255 for a, b in zip(counts, [0, *counts])])
+        found = bytes([(a - b) & 255 for a, b in zip(counts, [0, *counts])])
+        if len(unit) <= UNIT_KEPT:
+            if len(self._steps) >= UNITS_KEPT:
+                self._steps.clear()
+            self._steps[unit] = found
         return found
 
     def _plain_steps(self, text: str) -> bytes:
