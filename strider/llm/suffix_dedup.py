@@ -8,6 +8,11 @@ windows.  The owner of an anchor sorts the suffixes of its snippets with the dif
 algorithm, compares adjacent prefixes, and answers which windows occur in an earlier block.
 Inside a block the same sort settles documents of the block.
 
+Around a line that many documents share every document has a snippet of its own, all with one
+anchor.  Anchors whose distinct snippets reach HOT_BYTES are split: blocks exchange compressed
+hashes of their windows, and only windows that another block has too are sent, each as a snippet
+dealt out by its own hash.
+
 A copy of a whole text needs no sorting: all of it starts in the smallest document too.
 """
 
@@ -24,7 +29,8 @@ from pyspark.sql import functions as F
 from strider.llm import text_blocks
 from strider.llm.common import HEAVY_SHARE, attach, staged, text_of
 from strider.llm.difference_cover import prefix_classes
-from strider.llm.exchange import MESSAGE, answered, messages, shared_flags
+from strider.llm.exchange import MESSAGE, answered, messages, owner_bounds, shared_flags
+from strider.llm.golomb import decode
 from strider.llm.rolling import covered, distinct, joined, ranges, sliding_min
 
 #: Bytes of an anchor's gram.
@@ -32,8 +38,14 @@ GRAM = 16
 #: Bits of an anchor that blocks exchange; a false match only sends a snippet for nothing.
 ANCHOR_BITS = 40
 BLOCKS_PER_OWNER = 4
+#: Bytes of distinct snippets from which on an anchor is split.
+HOT_BYTES = 4 << 20
+#: Bytes of snippets sorted at a time (one anchor's, if they are more).
+SORT_BYTES = 4 << 20
 #: Bytes of text hashed at a time.
 CHUNK = 1 << 15
+ANCHORS = MESSAGE + ", heavy binary"
+ANCHOR_ANSWER = "block long, owner int, n long, bitmap binary, hot binary"
 SNIPPETS = "block long, owner int, sizes binary, anchors binary, payload binary"
 ANSWER = "block long, owner int, n long, bitmap binary"
 RESULT = "low long, h1 long, h2 long, n_removed long, n_spans long, kept string"
@@ -43,15 +55,22 @@ def earliest(snippets: list[bytes], anchors: np.ndarray, rank: np.ndarray, size:
     """(smallest rank of any snippet holding the window, first window of each snippet).
 
     ``snippets`` are distinct; only snippets that share an anchor can share a window, so an
-    anchor with one snippet needs no sorting.
+    anchor with one snippet needs no sorting, and anchors are sorted apart from each other.
     """
     length = np.array([len(s) for s in snippets], np.int64)
     windows = length - size + 1
     first = np.cumsum(windows) - windows
     out = np.repeat(rank, windows)
     _, where, count = np.unique(anchors, return_inverse=True, return_counts=True)
-    mixed = np.flatnonzero((count > 1)[where])
-    if len(mixed):
+    every = np.flatnonzero((count > 1)[where])
+    every = every[np.argsort(where[every], kind="stable")]
+    ends = np.cumsum(length[every])
+    cuts = np.append(np.flatnonzero(np.diff(where[every])) + 1, len(every))
+    at = 0
+    while at < len(every):
+        fits = np.searchsorted(ends, (ends[at - 1] if at else 0) + SORT_BYTES, "right")
+        stop = int(cuts[max(np.searchsorted(cuts, fits, "right") - 1, np.searchsorted(cuts, at, "right"))])
+        mixed, at = every[at:stop], stop
         data = np.frombuffer(b"".join([snippets[i] for i in mixed]), np.uint8)
         begin = np.cumsum(length[mixed]) - length[mixed]
         places = ranges(first[mixed], windows[mixed])
@@ -105,22 +124,62 @@ class Block:
         self.first, self.count, self.text = first[inside], count[inside], texts[own[inside]]
         self.anchor = (least[self.first] * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - ANCHOR_BITS)
 
-    def snippets(self, chosen: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-        """(snippet number of each chosen run, distinct snippets, anchor of each snippet),
-        snippets in order of anchor and bytes."""
-        begin = self.first[chosen]
-        end = begin + self.count[chosen] + self.size - 1
+    def snippets(self, first: np.ndarray, count: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """(snippet number of each run, distinct snippets, anchor of each snippet), snippets in
+        order of anchor and bytes."""
+        end = first + count + self.size - 1
         data = self.data
-        keys = [(a, data[b:e]) for a, b, e in zip(self.anchor[chosen].tolist(), begin.tolist(), end.tolist())]
+        keys = [(a, data[b:e]) for a, b, e in zip(anchor.tolist(), first.tolist(), end.tolist())]
         order = sorted(set(keys))
         number = {k: i for i, k in enumerate(order)}
         return (np.array([number[k] for k in keys], np.int64), [s for _, s in order],
                 np.array([a for a, _ in order], np.uint64))
 
-    def live(self, answers: pd.DataFrame) -> np.ndarray:
-        """Runs whose anchor another block has."""
+    def heavy(self, light: int) -> tuple[np.ndarray, np.ndarray]:
+        """(seeds whose distinct snippets have more than ``light`` bytes, their bytes)."""
+        length = self.count + self.size - 1
+        chosen = np.flatnonzero((np.bincount(self.seed_of, length, len(self.seeds)) > light)[self.seed_of])
+        _, snippets, anchors = self.snippets(self.first[chosen], self.count[chosen], self.anchor[chosen])
+        seeds, where = np.unique(anchors, return_inverse=True)
+        total = np.bincount(where, [len(s) for s in snippets], len(seeds))
+        return np.searchsorted(self.seeds, seeds)[total > light], total[total > light].astype(np.int64)
+
+    def _hot(self, answers: pd.DataFrame) -> np.ndarray:
+        """Which seeds are to be split."""
+        out, base = np.zeros(len(self.seeds), bool), 0
+        for _, n, hot in sorted(zip(answers["owner"], answers["n"], answers["hot"])):
+            out[base + np.frombuffer(hot, "<u4").astype(np.int64)] = True
+            base += n
+        return out
+
+    def hot_windows(self, answers: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """(place, hash) of the windows of anchors that are split."""
+        runs = np.flatnonzero(self._hot(answers)[self.seed_of])
+        places = ranges(self.first[runs], self.count[runs])
+        if self.size >= 8:
+            words = np.ndarray((max(0, len(self.data) - 7),), "<u8", self.data, 0, (1,))
+            offsets = [*range(0, self.size - 7, 8), self.size - 8]
+        else:
+            words, offsets = np.frombuffer(self.data, np.uint8).astype(np.uint64), range(self.size)
+        hashes = words[places]
+        for at in offsets[1:]:
+            hashes = joined(hashes, words[places + at])
+        return places, (hashes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - ANCHOR_BITS)
+
+    def live(self, answers: pd.DataFrame, windows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first place, count, anchor) of the runs whose anchor another block has, and of the
+        single windows, with their hash as anchor, of split anchors."""
         flags = shared_flags(answers)
-        return np.flatnonzero(flags[self.seed_of]) if len(flags) else np.zeros(0, np.int64)
+        if not len(flags):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        runs = np.flatnonzero((flags & ~self._hot(answers))[self.seed_of])
+        places, hashes = self.hot_windows(answers)
+        if len(places):
+            shared = shared_flags(windows)[np.searchsorted(distinct(hashes), hashes)]
+            places, hashes = places[shared], hashes[shared]
+        return (np.concatenate([self.first[runs], places]),
+                np.concatenate([self.count[runs], np.ones(len(places), np.int64)]),
+                np.concatenate([self.anchor[runs], hashes]))
 
     def local(self) -> np.ndarray:
         """Places of windows that a text of this block with a smaller doc_id has too."""
@@ -129,7 +188,7 @@ class Block:
         chosen = np.flatnonzero((holders > 1)[self.seed_of])
         if not len(chosen):
             return chosen
-        number, snippets, anchors = self.snippets(chosen)
+        number, snippets, anchors = self.snippets(self.first[chosen], self.count[chosen], self.anchor[chosen])
         rank = self.rank[self.text[chosen]]
         low = np.full(len(snippets), np.iinfo(np.int64).max)
         np.minimum.at(low, number, rank)
@@ -138,30 +197,74 @@ class Block:
         again = least[ranges(at[number], count)] < np.repeat(rank, count)
         return ranges(self.first[chosen], count)[again]
 
-    def remote(self, chosen: np.ndarray, answers: pd.DataFrame) -> np.ndarray:
+    def remote(self, first: np.ndarray, count: np.ndarray, anchor: np.ndarray, answers: pd.DataFrame) -> np.ndarray:
         """Places of windows that an earlier block has, from the answers about the snippets sent."""
-        if not len(chosen):
-            return chosen
-        number, snippets, _ = self.snippets(chosen)
+        if not len(first):
+            return first
+        number, snippets, _ = self.snippets(first, count, anchor)
         flags = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n) for _, n, b in sorted(
             zip(answers["owner"], answers["n"], answers["bitmap"]))]).astype(bool)
         windows = np.array([len(s) for s in snippets], np.int64) - self.size + 1
         at = np.cumsum(windows) - windows
-        count = self.count[chosen]
-        return ranges(self.first[chosen], count)[flags[ranges(at[number], count)]]
+        return ranges(first, count)[flags[ranges(at[number], count)]]
+
+
+def _send_anchors(size: int, owners: int, light: int):
+    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+        block = Block(rows, size)
+        seeds, weights = block.heavy(light)
+        out, base = [], 0
+        for message in messages(int(key[0]), block.seeds, owners, ANCHOR_BITS):
+            a, b = np.searchsorted(seeds, [base, base + message[2]])
+            out.append((*message, np.stack([seeds[a:b] - base, weights[a:b]]).astype("<u4").tobytes()))
+            base += message[2]
+        return pd.DataFrame(out, columns=["block", "owner", "n", "k", "payload", "heavy"])
+    return run
 
 
-def _send_anchors(size: int, owners: int):
+def _answer_anchors(owners: int, light: int, limit: int):
+    """One owner: which anchors another block sent too, and which of those are to be split.
+
+    An anchor's distinct snippets have at most the bytes its blocks named and ``light`` for each
+    other block, so none that reaches ``limit`` is missed.
+    """
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
-        sent = messages(int(key[0]), Block(rows, size).seeds, owners, ANCHOR_BITS)
-        return pd.DataFrame(sent, columns=["block", "owner", "n", "k", "payload"])
+        base = int(owner_bounds(owners, ANCHOR_BITS)[int(key[0])])
+        lists = [decode(n, k, p, base) for n, k, p in zip(rows["n"], rows["k"], rows["payload"])]
+        _, where, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+        total = count * np.int64(light)
+        parts = np.split(where, np.cumsum([len(x) for x in lists])[:-1])
+        for part, heavy in zip(parts, rows["heavy"]):
+            seeds, weights = np.frombuffer(heavy, "<u4").astype(np.int64).reshape(2, -1)
+            total[part[seeds]] += weights - light
+        shared = count > 1
+        hot = shared & (total >= limit)
+        return pd.DataFrame({"block": rows["block"].to_numpy(), "owner": int(key[0]), "n": rows["n"].to_numpy(),
+                             "bitmap": [np.packbits(shared[x]).tobytes() for x in parts],
+                             "hot": [np.flatnonzero(hot[x]).astype("<u4").tobytes() for x in parts]})
+    return run
+
+
+def _rounds(answers: pd.DataFrame) -> list[pd.DataFrame]:
+    """Answers about the anchors, the windows of split anchors, and the snippets."""
+    return [answers[answers["round"] == i] for i in range(3)]
+
+
+def _send_windows(size: int, owners: int):
+    def run(key, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(rows) and answers["hot"].map(len).any():
+            _, hashes = Block(rows, size).hot_windows(answers)
+            out = list(messages(int(key[0]), distinct(hashes), owners, ANCHOR_BITS))
+        return pd.DataFrame(out, columns=["block", "owner", "n", "k", "payload"])
     return run
 
 
 def _send_snippets(size: int, owners: int):
     def run(key, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         block = Block(rows, size)
-        _, snippets, anchors = block.snippets(block.live(answers))
+        first, second, _ = _rounds(answers)
+        _, snippets, anchors = block.snippets(*block.live(first, second))
         owner = (anchors * np.uint64(owners)) >> np.uint64(ANCHOR_BITS)
         out = []
         for o in np.unique(owner).tolist():
@@ -204,8 +307,8 @@ def _sort(size: int):
 def _remove(size: int):
     def run(key, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         block = Block(rows, size)
-        first, second = (answers[answers["round"] == i] for i in (1, 2))
-        again = distinct(np.concatenate([block.local(), block.remote(block.live(first), second)]))
+        first, second, third = _rounds(answers)
+        again = distinct(np.concatenate([block.local(), block.remote(*block.live(first, second), third)]))
         gone = covered(len(block.data), again, size)
         data = np.frombuffer(block.data, np.uint8)
         out = []
@@ -251,12 +354,19 @@ def repeated_bytes(docs: DataFrame, size: int = 50, key: str = "doc_id", text: s
         placed, "doc_id long, h1 long, h2 long, text string, block long")
     by_block = text_blocks.stored(texts, blocks, "op10_texts").groupBy("block")
 
-    anchors = staged(answered(by_block.applyInPandas(_send_anchors(size, owners), MESSAGE), owners, ANCHOR_BITS)
-                     .withColumn("n", F.col("n").cast("long")), "op10-anchors")
+    light = max(2 * size, HOT_BYTES // (2 * blocks))
+    sent = by_block.applyInPandas(_send_anchors(size, owners, light), ANCHORS)
+    anchors = staged(sent.groupBy("owner").applyInPandas(_answer_anchors(owners, light, HOT_BYTES), ANCHOR_ANSWER)
+                     .withColumn("round", F.lit(0)), "op10-anchors")
+    answers = anchors
+    if not anchors.where(F.length("hot") > 0).isEmpty():
+        sent = by_block.cogroup(anchors.groupBy("block")).applyInPandas(_send_windows(size, owners), MESSAGE)
+        windows = staged(answered(sent, owners, ANCHOR_BITS), "op10-windows")
+        answers = answers.unionByName(windows.withColumn("round", F.lit(1)), allowMissingColumns=True)
     # Sorting takes many times the memory of its snippets: an owner per block.
-    sent = by_block.cogroup(anchors.groupBy("block")).applyInPandas(_send_snippets(size, blocks), SNIPPETS)
+    sent = by_block.cogroup(answers.groupBy("block")).applyInPandas(_send_snippets(size, blocks), SNIPPETS)
     found = staged(sent.groupBy("owner").applyInPandas(_sort(size), ANSWER), "op10-early")
-    answers = anchors.withColumn("round", F.lit(1)).unionByName(found.withColumn("round", F.lit(2)))
+    answers = answers.unionByName(found.withColumn("round", F.lit(2)), allowMissingColumns=True)
     result = staged(by_block.cogroup(answers.groupBy("block")).applyInPandas(_remove(size), RESULT), "op10-found")
     # Of a text's copies only the smallest document's own answer is used.
     named = groups.join(result, ["h1", "h2", "low"], "left")

@@ -89,3 +89,50 @@ def test_registered_query_on_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{base}/documents.parquet").collect()]
     got = answers(QUERIES["op10_suffix_dedup"](spark, base))
     assert got == brute(rows, 50) and sum(r[2] for r in got) > 0
+
+
+def test_line_of_many_documents_is_split(docs, monkeypatch):
+    """A line in other words everywhere: no anchor brings an owner more than the limit."""
+    limit, rng = 4000, random.Random(4)
+    prose = lambda n: "".join(rng.choice("abcdefghijklmnopqrst ") for _ in range(n))
+    line, rows = prose(120), []
+    for d in range(240):
+        rows.append((d, prose(100) + line + prose(100)))
+    rows += [(300 + d, prose(50) + rows[3 * d][1][60 + d:270 - d] + prose(50)) for d in range(40)]
+    monkeypatch.setattr(text_blocks, "BLOCK_BYTES", 8000)
+    monkeypatch.setattr(sd, "HOT_BYTES", limit, raising=False)
+    real = sd._sort
+
+    def checked(size):
+        run = real(size)
+
+        def sort(key, rows):
+            seen = {}
+            for sizes, anchors, payload in zip(rows["sizes"], rows["anchors"], rows["payload"]):
+                at = 0
+                for n, a in zip(np.frombuffer(sizes, "<u4").tolist(), np.frombuffer(anchors, "<u4").tolist()):
+                    seen.setdefault(a, set()).add(payload[at:at + n])
+                    at += n
+            assert max(sum(map(len, s)) for s in seen.values()) < limit
+            return run(key, rows)
+        return sort
+
+    monkeypatch.setattr(sd, "_sort", checked)
+    assert answers(sd.repeated_bytes(docs(rows))) == brute(rows, 50)
+
+
+def test_sorting_in_steps(monkeypatch):
+    rng = random.Random(7)
+    pairs = {(a, bytes(rng.choice((a, a + 32)) for _ in range(rng.randrange(6, 20)))) for a in range(65, 85) for _ in range(15)}
+    anchors, snippets = np.array([a for a, _ in sorted(pairs)]), [s for _, s in sorted(pairs)]
+    rank = np.array([rng.randrange(50) for _ in snippets])
+    want: dict = {}
+    keys = [(a, s[i:i + 6]) for a, s in zip(anchors.tolist(), snippets) for i in range(len(s) - 5)]
+    for k, r in zip(keys, np.repeat(rank, [len(s) - 5 for s in snippets]).tolist()):
+        want[k] = min(want.get(k, r), r)
+    held = []
+    real = sd.prefix_classes
+    monkeypatch.setattr(sd, "prefix_classes", lambda data, *rest: held.append(len(data)) or real(data, *rest))
+    monkeypatch.setattr(sd, "SORT_BYTES", 500, raising=False)
+    assert sd.earliest(snippets, anchors, rank, 6)[0].tolist() == [want[k] for k in keys]
+    assert len(held) > 3 and max(held) <= 500
