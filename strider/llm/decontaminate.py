@@ -6,7 +6,8 @@ m - q + 1 - q*e of its q-grams with the document, and these lie on neighbouring
 overlapping bands of diagonals; bands that reach the bound are verified by banded alignment.
 
 Texts are lower-cased and runs of white space become one space; characters are the UTF-8 bytes
-of that.  The benchmark is sent to the tasks in blocks of bounded size, one pass per block.
+of that.  Items of fewer than q characters allow no edit: they are found as whole words.  The
+benchmark is sent to the tasks in blocks of bounded size, one pass per block.
 """
 
 from __future__ import annotations
@@ -72,7 +73,12 @@ def banded_edits(item: bytes, region: bytes, budget: int) -> tuple[int, int] | N
 class Index:
     """Q-grams of a block of items."""
 
-    def __init__(self, items: list[tuple[int, bytes]]):
+    def __init__(self, items: list[tuple[int | None, bytes]]):
+        self.short: dict[bytes, list[int | None]] = {}
+        for i, t in items:
+            if 0 < len(t) < Q:
+                self.short.setdefault(t, []).append(i)
+        self.short_words = sorted({t.count(b" ") + 1 for t in self.short})
         self.items = [(i, t) for i, t in items if len(t) >= Q]
         self.budgets = np.array([edit_budget(len(t)) for _, t in self.items], np.int64)
         self.sizes = np.array([len(t) for _, t in self.items], np.int64)
@@ -126,7 +132,19 @@ class Index:
             band, item, seen = band[going], item[going], seen[going]
             at = stop
 
-    def hits(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
+    def short_ends(self, data: bytes) -> dict[bytes, int]:
+        """End of the first place of every item of fewer than Q characters, as whole words."""
+        found: dict[bytes, int] = {}
+        words = data.split(b" ") if self.short else []
+        ends = np.cumsum([len(w) + 1 for w in words]).tolist()
+        starts = [0, *ends[:-1]]
+        for many in self.short_words:
+            for a, b in zip(starts, ends[many - 1:]):
+                if b - a <= Q and data[a:b - 1] in self.short:
+                    found.setdefault(data[a:b - 1], b - 1)
+        return found
+
+    def hits(self, texts: list[str]) -> Iterator[tuple[int, int | None, int, int, int]]:
         """(document, item_id, edits, end, item length), best place of each item per document."""
         data = [normalised(x) for x in texts]
         starts = np.concatenate([[0], np.cumsum([len(d) + 1 for d in data])])
@@ -143,6 +161,10 @@ class Index:
                 best[doc, item] = min(best.get((doc, item), answer), answer)
         for (doc, item), (edits, end) in sorted(best.items()):
             yield doc, self.items[item][0], edits, end, len(self.items[item][1])
+        for doc, whole in enumerate(data if self.short else []):
+            for text, end in self.short_ends(whole).items():
+                for item_id in self.short[text]:
+                    yield doc, item_id, 0, end, len(text)
 
 
 _INDEX: dict[int, Index] = {}
@@ -158,13 +180,12 @@ def _index(sent) -> Index:
 
 def _blocks(benchmark: DataFrame):
     """Broadcast blocks of the distinct items, each of about BLOCK_BYTES."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text")).where(
-        "item_id is not null").distinct()
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text")).distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // BLOCK_BYTES)
     for b in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        name = hash((b, tuple(sorted((r.item_id, r.text) for r in own))))
+        name = hash((b, tuple(sorted((r.item_id is not None, r.item_id or 0, r.text) for r in own))))
         yield items.sparkSession.sparkContext.broadcast((name, [(r.item_id, normalised(r.text)) for r in own]))
 
 
@@ -172,8 +193,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, edits, end, item_chars): every item found in every document.
 
     Clean documents have no row.  Null text: empty.  Null doc_ids are reported as null, repeated
-    rows row by row.  Items with null id, or of fewer than Q normalised characters, are left out.
-    Other columns are ignored; with an empty table there are no rows.
+    rows row by row; null item_ids likewise.  Items of fewer than Q normalised characters are found
+    as whole words; items without any are left out.  Other columns are ignored; with an empty
+    table there are no rows.
     """
     kind = "doc_id long, item_id long, edits int, end long, item_chars int"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))

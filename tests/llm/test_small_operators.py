@@ -112,6 +112,17 @@ def test_items_within_the_edit_budget_are_found(spark, docs):
     assert decontaminate.clean(docs(rows), benchmark.limit(0)).count() == len(rows)
 
 
+def test_items_without_id_and_short_items_are_found(spark, docs):
+    rows = [(1, "the CAT sat"), (2, "concatenate to  bed"), (3, "or to\nBe?  To be"), (4, "A question nobody has asked, here"),
+            (5, "nothing"), (6, None), (None, "cat"), (7, "a question nobody has ever answered")]
+    items = [(1, "Cat"), (2, " to be"), (None, "question nobody has asked"), (3, " "), (4, None), (9, "cat"), (None, "sat")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.edits, r.end, r.item_chars) for r in decontaminate.contaminated(docs(rows), benchmark).collect()}
+    assert got == {(1, 1, 0, 7, 3), (1, 9, 0, 7, 3), (1, None, 0, 11, 3), (3, 2, 0, 15, 5), (4, None, 0, 27, 25),
+                   (None, 1, 0, 3, 3), (None, 9, 0, 3, 3)}
+    assert sorted(r.doc_id for r in decontaminate.clean(docs(rows), benchmark).collect()) == [2, 5, 6, 7]
+
+
 def test_frequent_grams_are_counted_in_steps(monkeypatch):
     rng = random.Random(7)
     phrase = b"which of the following statements is right "
