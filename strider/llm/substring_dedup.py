@@ -1,13 +1,14 @@
-"""Substring dedup over words: seed and extend.
+"""Substring dedup over words: seeds, then hashes of the windows around them.
 
 Seeds are winnowed anchors: the smallest gram hash of every window of words.  Equal windows
 have equal anchors, so documents are joined on anchors alone (a compressed exchange of the
-anchors of each block of texts).  Around every shared anchor the match is extended to both
-sides: all windows that hold the anchor, from the one that ends with it to the one that begins
-with it, are compared with the other places of the anchor.  Adjacent repeated windows join to
+anchors of each block of texts).  No match is extended word by word from its seed.  Instead the
+64-bit hashes of all windows around an anchor that another block has are exchanged and compared;
+inside a block the hashes of all windows are, without anchors.  Adjacent repeated windows join to
 maximal repeats, and their words are removed.
 
-Anchors and windows are compared by 64-bit hashes of independent construction.
+Words themselves are not compared.  Anchors and windows have hashes of independent construction:
+no repeat is missed, but two different windows of one 64-bit hash would count as repeated.
 """
 
 from __future__ import annotations
