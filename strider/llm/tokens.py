@@ -22,6 +22,7 @@ CONTRACTION = r"'(?:s|t|re|ve|m|ll|d)"
 #: depends on the text around it, and every prefix of a text is whole units and a prefix of one.
 UNIT = regex.compile(rf"(?:\s*[^\S ])?{CONTRACTION}|\s*(?:\p{{L}}+|\p{{N}}+|[^\s\p{{L}}\p{{N}}]+)|\s+")
 CONTRACTED = regex.compile(CONTRACTION)
+KINDS = {"letter": regex.compile(r"\p{L}"), "number": regex.compile(r"\p{N}"), "space": regex.compile(r"\s")}
 #: Characters for which the two libraries' Unicode tables cannot differ.
 RARE = regex.compile("[^\\t\\n\\r\\x20-\\x7e\\u00a1-\\u00ff]")
 #: Units remembered per worker; beyond it the memory is emptied and filled anew.  Longer units
@@ -57,6 +58,7 @@ class Vocabulary:
         self._spell = {b: c for c, b in letters.items()}
         self._fits: dict[tuple[bytes, bytes], bool] = {}
         self._steps: dict[str, bytes] = {}
+        self._kinds: dict[str, str | None] = {}
         # The twin merges by id: right when every merge made the next id.
         merged = [self.ids[bytes(letters[x] for x in "".join(m.split(" ") if isinstance(m, str) else m))]
                   for m in spec["model"]["merges"]]
@@ -144,9 +146,37 @@ class Vocabulary:
             self._steps[unit] = found
         return found
 
+    def _kind(self, letter: str) -> str | None:
+        """letter, number, space or other; None where the libraries' Unicode tables differ."""
+        if letter not in self._kinds:
+            own = next((k for k, pattern in KINDS.items() if pattern.match(letter)), "other")
+            cut = self.library.pre_tokenizer.pre_tokenize_str
+            real = next((k for k, before in (("letter", "a"), ("number", "1"), ("other", "!"))
+                         if len(cut(before + letter)) == 1), "space")
+            same = own == real and (own == "space") == letter.isspace()
+            self._kinds[letter] = own if same else None
+        return self._kinds[letter]
+
+    def _encoded_steps(self, text: str) -> bytes:
+        """Steps of a text from the library's own count of every prefix."""
+        counts = [len(self.library.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)]
+        return np.array([b - a for a, b in zip(counts, counts[1:])], np.int8).tobytes()
+
     def _plain_steps(self, text: str) -> bytes:
         known, new = self._steps.get, self.unit_steps
-        return b"".join([known(u) or new(u) for u in UNIT.findall(text)])
+        if not RARE.search(text) or None not in map(self._kind, set(text)):
+            return b"".join([known(u) or new(u) for u in UNIT.findall(text)])
+        # A run of letters ends before anything else, whatever stands around: cut there, and
+        # let the library count the pieces that hold a character the tables differ on.
+        kinds = [self._kind(x) for x in text]
+        cuts = [i for i in range(1, len(text)) if kinds[i - 1] == "letter" and kinds[i] not in ("letter", None)]
+        out = []
+        for a, b in zip([0, *cuts], [*cuts, len(text)]):
+            if None in kinds[a:b]:
+                out.append(self._encoded_steps(text[a:b]))
+            else:
+                out += [known(u) or new(u) for u in UNIT.findall(text[a:b])]
+        return b"".join(out)
 
     def steps(self, text: str) -> tuple[bytes, int]:
         """(change of the token count with every character, count of the whole text)."""
@@ -164,7 +194,7 @@ class Vocabulary:
         if RARE.search(text):                    # the library has the last word
             real = len(self.library.encode(text, add_special_tokens=False).ids)
             if real != total:
-                steps, total = steps[:-1] + np.int8(steps[-1] + real - total).tobytes(), real
+                steps, total = self._encoded_steps(text), real
         return steps, total
 
 

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from strider.llm import token_counts
@@ -33,6 +34,22 @@ def test_every_prefix_count_matches_the_library(vocab):
         assert vocab.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_prefix_counts_where_unicode_tables_differ(vocab):
+    library = Tokenizer.from_file(PATH)
+    cut = library.pre_tokenizer.pre_tokenize_str
+    rare = [c for c in map(chr, [*range(0xA0, 0xD800), *range(0xE000, 0x32000, 7)])
+            if regex.match(r"\p{L}", c) and len(cut("a" + c)) > 1 or c.isspace() != bool(regex.match(r"\s", c))
+            or not regex.match(r"[\p{L}\p{N}\s]", c) and len(cut("!" + c)) > 1]
+    assert rare
+    rng = random.Random(3)
+    for _ in range(300):
+        text = "".join(rng.choice([*"ab 's1.\n", "é", "你", "\x1c", "the", " the", "'re", "<|endoftext|>", rng.choice(rare), rng.choice(rare)])
+                       for _ in range(rng.randint(1, 25)))
+        steps, total = vocab.steps(text)
+        expected = [len(library.encode(text[:i], add_special_tokens=False).ids) for i in range(1, len(text) + 1)]
+        assert np.cumsum(np.frombuffer(steps, np.int8)).tolist() == expected and total == expected[-1]
+
+
 def test_table_answers_budget_questions(spark, docs, vocab):
     rows = [*enumerate(TEXTS), (None, "no key"), (3, None), (3, None)]
     table = token_counts.prefix_counts(docs(rows).withColumnRenamed("text", "body"), PATH, text="body")
