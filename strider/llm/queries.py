@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strider.llm import (decontaminate, exact_dedup, packing, pii, preferences, quality_crf,
-                         simhash_dedup, substring_dedup, suffix_dedup, token_counts)
+from strider.llm import (decontaminate, exact_dedup, fingerprints, hard_negatives, packing, pii, preferences,
+                         quality_crf, simhash_dedup, substring_dedup, suffix_dedup, token_counts, whitening)
 from strider.sources.bindings import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +115,38 @@ def op3_substring_dedup(spark, base):
 @register("op10_suffix_dedup")
 def op10_suffix_dedup(spark, base):
     return suffix_dedup.repeated_bytes(read_table(spark, base, "documents"), REPEAT_BYTES)
+
+
+@register("op11_fingerprints")
+def op11_fingerprints(spark, base):
+    return fingerprints.edited_likeness(read_table(spark, base, "documents"))
+
+
+@register("op12_hard_negatives", """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT * FROM v WHERE vec_id % 100 = 0),
+s AS (SELECT a.vec_id AS anchor_id, v.vec_id AS id, a.label = v.label AS same,
+             list_inner_product(a.q, v.q)::BIGINT AS score
+      FROM a JOIN v ON a.vec_id <> v.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id)::INTEGER AS rank,
+       s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+ AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+QUALIFY rank <= 5""")
+def op12_hard_negatives(spark, base):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read_table(spark, base, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(rows.withColumn("anchor", F.col("vec_id") % 100 == 0))
+
+
+@register("op13_whitening")
+def op13_whitening(spark, base):
+    return whitening.whiten(read_table(spark, base, "embeddings"))
