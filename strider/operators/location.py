@@ -78,9 +78,15 @@ def default_grid(spark: SparkSession, base_lat: float = DEFAULT_LAT, base_lng: f
 
 
 def route_or_default(route: DataFrame) -> DataFrame:
-    """``route`` itself, or the default grid when ``route`` is empty (EXISTS subquery)."""
-    grid = default_grid(route.sparkSession).where(~route.exists())
-    return route.unionByName(grid)
+    """The rows of ``route`` in the 48 valid slots, or the default grid when there are none.
+
+    The route (after ``route_by_slot`` 48 rows at most) is computed once and kept as a literal table.
+    """
+    spark = route.sparkSession
+    rows = route.where(F.col("half_hour_interval").between(0, SLOTS_PER_DAY - 1)).limit(SLOTS_PER_DAY + 1).collect()
+    if len(rows) > SLOTS_PER_DAY:
+        raise ValueError("a route has one row per slot; call route_by_slot first")
+    return spark.createDataFrame(rows, route.schema) if rows else default_grid(spark).select(*route.columns)
 
 
 def lookup_slots(route: DataFrame, slots: DataFrame, slot_col: str = "half_hour_interval",
@@ -159,37 +165,83 @@ def nearby(origins: DataFrame, places: DataFrame, radius_m: float = NEARBY_RADIU
 
 
 
+# Optional inputs beside the positions, and what they are divided by (None: z-scored).
+EXTRA_INPUTS = {"Altitude": None, "half_hour_interval": 47.0, "day_of_week": 7.0}
+
+
 def next_location(locations: DataFrame, n: int = 10, fraction: float = 0.8,
                   partition_cols: tuple[str, ...] = ("user_id",),
                   order_cols: tuple[str, ...] = ("Time", "event_id"),
-                  model: str = "linear", block_rows: int | None = 1 << 20) -> DataFrame:
+                  model: str = "linear", block_rows: int | None = 1 << 20,
+                  inputs: tuple[str, ...] = (), epochs: int | None = None) -> DataFrame:
     """Predict the next (Latitude, Longitude) from the ``n`` previous positions.
 
     Positions are z-scored (mean and population std over all rows), each row gets its
     ``n`` predecessors per key as features, the first ``fraction`` of sequences in time
-    order train one regressor per coordinate (squared loss), and the remaining ones are
-    predicted, unscaled and tagged with the half-hour slot of the predicted row.
-    ``model`` is ``linear`` (normal-equation least squares with a small ridge term, one
-    distributed pass) or ``gbt`` (gradient-boosted trees).  Latitudes and longitudes that move
-    together make the plain normal equations singular; the ridge term keeps them solvable.
-    Rows without a position are left out.
+    order train the model (squared loss), and the remaining ones are predicted, unscaled and
+    tagged with the half-hour slot of the predicted row.  ``model``:
+
+    * ``linear``: least squares per coordinate by normal equations, one distributed pass, with a
+      small ridge term (positions that move together make the plain equations singular);
+    * ``gbt``: gradient-boosted trees per coordinate;
+    * ``recurrent``: 50 long short-term memory cells, ``epochs`` passes of data-parallel descent;
+    * ``stay``: the previous position, the bar the others must clear.
+
+    ``inputs`` adds earlier values of ``Altitude`` (a column), ``half_hour_interval`` or
+    ``day_of_week`` (from the first order column) to every step of the history.
+    Rows without a position, or without an altitude where it is an input, are left out.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor, LinearRegression
-
-    from strider.functions.timecols import half_hour_slot
+    from strider.functions.timecols import half_hour_slot, iso_weekday
     from strider.operators.features import chronological_split, lag_sequences, unscale, zscores
     from strider.session import materialize
 
+    if model not in ("linear", "gbt", "recurrent", "stay"):
+        raise ValueError(f"unknown model {model!r}")
+    if unknown := set(inputs) - set(EXTRA_INPUTS):
+        raise ValueError(f"unknown inputs {sorted(unknown)}; known: {sorted(EXTRA_INPUTS)}")
     keys = list(dict.fromkeys([*partition_cols, *order_cols]))
-    z, fit = zscores(locations, ("Latitude", "Longitude"), keep=keys)
-    values = ["Latitude_z", "Longitude_z"]
+    scaled = ["Latitude", "Longitude", *[c for c in inputs if EXTRA_INPUTS[c] is None]]
+    z, fit = zscores(locations, scaled, keep=keys)
+    clock = {"half_hour_interval": half_hour_slot(order_cols[0]), "day_of_week": iso_weekday(order_cols[0])}
+    z = z.withColumns({f"{c}_z": clock[c] / F.lit(EXTRA_INPUTS[c]) for c in inputs if c in clock})
+    values = ["Latitude_z", "Longitude_z", *[f"{c}_z" for c in inputs]]
     seqs = lag_sequences(z, values, n, partition_cols, order_cols, block_rows=block_rows)
     seqs = chronological_split(materialize(seqs), fraction, order_cols)
     lag_cols = [f"{v}_lag{j}" for j in range(n, 0, -1) for v in values]
+    predict = {"recurrent": _recurrent, "stay": _stay}.get(model, _regressed)
+    out = predict(seqs, lag_cols, keys, model, n, epochs)
+    return out.select(
+        *keys,
+        unscale(F.col("_lat_z"), fit, "Latitude").alias("Predicted_Latitude"),
+        unscale(F.col("_lng_z"), fit, "Longitude").alias("Predicted_Longitude"),
+        unscale(F.col("Latitude_z"), fit, "Latitude").alias("Latitude"),
+        unscale(F.col("Longitude_z"), fit, "Longitude").alias("Longitude"),
+        half_hour_slot(order_cols[0]).alias("half_hour_interval"))
+
+
+def _stay(seqs: DataFrame, lag_cols: list[str], keys: list[str], model: str, n: int, epochs: int | None) -> DataFrame:
+    """Test rows with the previous position as the prediction."""
+    return seqs.where(F.col("split") == "test").withColumns(
+        {"_lat_z": F.col("Latitude_z_lag1"), "_lng_z": F.col("Longitude_z_lag1")})
+
+
+def _recurrent(seqs: DataFrame, lag_cols: list[str], keys: list[str], model: str, n: int, epochs: int | None) -> DataFrame:
+    """Test rows with the predictions of a recurrent model fitted to the training rows."""
+    from strider.operators import recurrent
+    shape = recurrent.Shape(n, len(lag_cols) // n, recurrent.UNITS, 2)
+    rows = seqs.select(*keys, "split", "Latitude_z", "Longitude_z", F.array(*lag_cols).alias("seq"))
+    train = rows.where(F.col("split") == "train").select(*keys, "seq", F.array("Latitude_z", "Longitude_z").alias("target"))
+    flat = recurrent.fit(train, shape, keys, recurrent.EPOCHS if epochs is None else epochs)
+    return recurrent.apply(rows.where(F.col("split") == "test"), shape, flat, ["_lat_z", "_lng_z"])
+
+
+def _regressed(seqs: DataFrame, lag_cols: list[str], keys: list[str], model: str, n: int, epochs: int | None) -> DataFrame:
+    """Test rows with the predictions of one regressor per coordinate."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor, LinearRegression
+
     data = VectorAssembler(inputCols=lag_cols, outputCol="features").transform(seqs)
     train = data.where(F.col("split") == "train")
-    test = data.where(F.col("split") == "test")
 
     def fit_one(target_pred: tuple[str, str]):
         target, pred = target_pred
@@ -201,13 +253,24 @@ def next_location(locations: DataFrame, n: int = 10, fraction: float = 0.8,
         return est.fit(train)
     with ThreadPoolExecutor(max_workers=2) as pool:       # the two coordinates fit side by side
         models = list(pool.map(fit_one, (("Latitude_z", "_lat_z"), ("Longitude_z", "_lng_z"))))
-    out = test
+    out = data.where(F.col("split") == "test")
     for fitted in models:
         out = fitted.transform(out)
-    return out.select(
-        *keys,
-        unscale(F.col("_lat_z"), fit, "Latitude").alias("Predicted_Latitude"),
-        unscale(F.col("_lng_z"), fit, "Longitude").alias("Predicted_Longitude"),
-        unscale(F.col("Latitude_z"), fit, "Latitude").alias("Latitude"),
-        unscale(F.col("Longitude_z"), fit, "Longitude").alias("Longitude"),
-        half_hour_slot(order_cols[0]).alias("half_hour_interval"))
+    return out
+
+
+def prediction_error(predicted: DataFrame) -> DataFrame:
+    """One row: rows, and the mean squared distance (m²) between predicted and true positions."""
+    off = haversine_m("Predicted_Latitude", "Predicted_Longitude", "Latitude", "Longitude")
+    return predicted.agg(F.count(F.lit(1)).alias("rows"), F.avg(off * off).alias("mean_squared_m"))
+
+
+def whole_route_json(route: DataFrame) -> DataFrame:
+    """One row: the whole route as one JSON array, by slot; an empty route is ``[]``.
+
+    The route holds at most 48 slots, so one row is its natural size.
+    """
+    entry = F.struct("lat", "lng", "half_hour_interval", "time")
+    valid = route.where(F.col("half_hour_interval").between(0, SLOTS_PER_DAY - 1))
+    ordered = F.sort_array(F.collect_list(F.struct("half_hour_interval", entry.alias("entry"))))
+    return valid.agg(F.to_json(F.transform(ordered, lambda x: x["entry"])).alias("locations_json"))

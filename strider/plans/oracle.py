@@ -202,6 +202,28 @@ SELECT CAST(50.8231 AS DOUBLE) + i * CAST(0.01 AS DOUBLE), CAST(-0.1383 AS DOUBL
        CAST(i AS INTEGER), {slot_text_sql('i')}
   FROM range(48) t(i) WHERE NOT EXISTS (SELECT 1 FROM route)"""
 
+ORACLE["whole_route_json"] = with_views(LOCATION_VIEW, _route()) + f"""
+SELECT coalesce(CAST(to_json(list(struct_pack(lat := lat, lng := lng, half_hour_interval := half_hour_interval,
+                                time := {slot_text_sql('half_hour_interval')}) ORDER BY half_hour_interval)) AS VARCHAR), '[]') AS locations_json
+  FROM route"""
+
+# The previous position of the user stands as the prediction of every row in the last fifth of the sequences.
+ORACLE["predictions_to_next_stop"] = with_views(LOCATION_VIEW) + f"""
+, seq AS (
+  SELECT event_id, Time, lag(Latitude) OVER w AS lat, lag(Longitude) OVER w AS lng, row_number() OVER w AS rn
+    FROM location_view WINDOW w AS (PARTITION BY user_id ORDER BY Time, event_id)),
+full_seq AS (SELECT *, row_number() OVER (ORDER BY Time, event_id) AS at, count(*) OVER () AS n FROM seq WHERE rn > 10),
+route AS (
+  SELECT lat, lng, slot AS half_hour_interval
+    FROM (SELECT *, row_number() OVER (PARTITION BY slot ORDER BY Time DESC, event_id DESC) AS last
+            FROM (SELECT *, {slot_sql('Time')} AS slot FROM full_seq WHERE at > floor(0.8 * n)) t) r
+   WHERE last = 1 AND lat < 50.9)
+SELECT round(coalesce(r.lat, CAST(50.8231 AS DOUBLE)), 9) AS lat, round(coalesce(r.lng, CAST(-0.1383 AS DOUBLE)), 9) AS lng,
+       req.half_hour_interval,
+       CASE WHEN r.lat IS NULL THEN 'N/A' ELSE {slot_text_sql('req.half_hour_interval')} END AS time
+  FROM (SELECT CAST(s AS INTEGER) AS half_hour_interval FROM (VALUES (0), (17), (99)) v(s)) req
+  LEFT JOIN route r ON r.half_hour_interval = req.half_hour_interval"""
+
 _RAD = "CAST('0.017453292519943295' AS DOUBLE)"
 ORACLE["nearby_top_k"] = with_views(LOCATION_VIEW, POI_VIEW) + f"""
 , o AS (SELECT DISTINCT Latitude AS lat, Longitude AS lng FROM location_view),

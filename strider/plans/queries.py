@@ -1,7 +1,7 @@
 """Registered queries: each binds operators to the driver tables of one folder.
 
-Every callable takes ``(spark, base_dir)`` and returns a lazy DataFrame over the
-whole tables; parameters are the reference's defaults.
+Every callable takes ``(spark, base_dir)`` and returns a DataFrame over the whole tables.
+Models, quantiles, scaling and ordered sequences run jobs when called; the rest is lazy.
 """
 
 from __future__ import annotations
@@ -269,6 +269,12 @@ def q_half_hour_grid(spark, base):
     return route_or_default(route_by_slot(_route_input(Tables(spark, base))))
 
 
+@register("whole_route_json")
+def q_whole_route_json(spark, base):
+    from strider.operators.location import route_by_slot, whole_route_json
+    return whole_route_json(route_by_slot(_route_input(Tables(spark, base))))
+
+
 @register("nearby_top_k")
 def q_nearby_top_k(spark, base):
     from strider.operators.location import NEARBY_RADIUS_M, NEARBY_TOP_K, nearby
@@ -364,8 +370,38 @@ def q_kmeans_outliers(spark, base):
 
 # --- location prediction ---------------------------------------------------------------------
 
+def _positions(spark, base) -> DataFrame:
+    return Tables(spark, base).location.select("user_id", "event_id", "Time", "Latitude", "Longitude", "Altitude")
+
+
 @register("next_location")
 def q_next_location(spark, base):
     from strider.operators.location import next_location
-    loc = Tables(spark, base).location.select("user_id", "event_id", "Time", "Latitude", "Longitude")
-    return next_location(loc, SEQUENCE_LENGTH, TRAIN_FRACTION)
+    return next_location(_positions(spark, base), SEQUENCE_LENGTH, TRAIN_FRACTION)
+
+
+@register("next_location_recurrent")
+def q_next_location_recurrent(spark, base):
+    from strider.operators.location import next_location
+    return next_location(_positions(spark, base), SEQUENCE_LENGTH, TRAIN_FRACTION, model="recurrent")
+
+
+def _predicted_route(spark, base, model: str) -> DataFrame:
+    """Predictions → latest per slot → plausible ones."""
+    from strider.operators.location import next_location, plausible, route_by_slot
+    return plausible(route_by_slot(next_location(_positions(spark, base), SEQUENCE_LENGTH, TRAIN_FRACTION, model=model)))
+
+
+@register("predictions_to_route")
+def q_predictions_to_route(spark, base):
+    from strider.operators.location import route_or_default
+    return route_or_default(_predicted_route(spark, base, "linear"))
+
+
+@register("predictions_to_next_stop")
+def q_predictions_to_next_stop(spark, base):
+    from strider.operators.location import lookup_slots
+    slots = spark.range(1).select(
+        F.explode(F.array(*[F.lit(s).cast("int") for s in LOOKUP_SLOTS])).alias("half_hour_interval"))
+    stops = lookup_slots(_predicted_route(spark, base, "stay"), slots)
+    return stops.select(F.round("lat", 9).alias("lat"), F.round("lng", 9).alias("lng"), "half_hour_interval", "time")

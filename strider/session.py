@@ -8,6 +8,7 @@ leaves open.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,9 +77,25 @@ def materialize(df: DataFrame) -> DataFrame:
     Later stages read the files in the shared folder, so they survive executor loss.  Without
     ``spark.checkpoint.dir`` a cluster session fails; a local one gets a temporary folder.
     """
-    spark = df.sparkSession
-    if ensure_checkpoint_dir(spark) is None:
+    _shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    found = ensure_checkpoint_dir(spark)
+    if found is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("no checkpoint folder: set spark.checkpoint.dir to a shared folder")
-        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="strider-checkpoints-"))
-    return df.checkpoint(eager=True)
+        found = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="strider-checkpoints-"))
+    return found.rstrip("/")
+
+
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder; drop it with ``dropped``."""
+    return f"{_shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def dropped(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through Spark's own file system access; False if it was not there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
