@@ -76,13 +76,18 @@ def classification_metrics(predictions: DataFrame, label_col: str = "CoarseLabel
     lab = F.col(label_col).cast("double")
     pred = F.col(prediction_col).cast("double")
     cm = predictions.groupBy(lab.alias("l"), pred.alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    cells = (cm.withColumn("n_l", F.sum("n").over(Window.partitionBy("l")))
-               .withColumn("n_p", F.sum("n").over(Window.partitionBy("p")))
-               .withColumn("total", F.sum("n").over(Window.partitionBy(F.lit(0)))))
+    return confusion_metrics(cm)
+
+
+def confusion_metrics(cm: DataFrame, *by: str) -> DataFrame:
+    """Metrics of confusion cells (label ``l``, prediction ``p``, rows ``n``), per group of ``by``."""
+    cells = (cm.withColumn("n_l", F.sum("n").over(Window.partitionBy(*by, "l")))
+               .withColumn("n_p", F.sum("n").over(Window.partitionBy(*by, "p")))
+               .withColumn("total", F.sum("n").over(Window.partitionBy(*by, F.lit(0)))))
     diag = F.col("l") == F.col("p")
     tp = F.when(diag, F.col("n")).otherwise(F.lit(0))
     total = F.max("total")
-    return cells.agg(
+    return cells.groupBy(*by).agg(
         (F.sum(tp) / total).alias("accuracy"),
         (F.sum(F.when(diag, F.col("n") / F.col("n_p") * F.col("n_l"))) / total).alias("weighted_precision"),
         (F.sum(F.when(diag, F.col("n") / F.col("n_l") * F.col("n_l"))) / total).alias("weighted_recall"),

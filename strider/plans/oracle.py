@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 from strider.plans import queries as Q
+from strider.plans.tree_sql import nodes_sql, sweep_sql
 from strider.plans.views_sql import (
     CLEAN_MOTION_VIEW, LABEL_VIEW, LOCATION_VIEW, MOTION_VIEW, POI_VIEW,
     activity_sql, duration_text_sql, percentage_sql, slot_sql, slot_text_sql, with_views,
@@ -293,3 +294,8 @@ _SUMMARY = ["AccelerationX", "AccelerationY", "AccelerationZ", "GyroscopeX", "Gy
 ORACLE["feature_summary"] = with_views(MOTION_VIEW, CLEAN_MOTION_VIEW) + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS feature, prediction, count(*) AS rows, min({c}) AS min, max({c}) AS max, "
     f"round(avg({c}), 6) AS mean FROM {_FLAGGED} f GROUP BY prediction" for c in _SUMMARY)
+
+# The tree of depth 10 level by level; cut at 1 and 5 for the sweep.
+ORACLE["histogram_tree_nodes"] = nodes_sql(10)
+ORACLE["histogram_tree_sweep"] = sweep_sql((1, 5, 10))
+ORACLE["metrics_for_depth"] = f"SELECT * FROM ({sweep_sql((1, 5, 10))}) s WHERE Depth = 5"

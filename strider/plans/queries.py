@@ -29,6 +29,7 @@ TRAIN_FRACTION = 0.8
 HISTOGRAM_BINS = 50
 CONTAMINATION = 0.05
 LOOKUP_SLOTS = (0, 17, 99)
+CHOSEN_DEPTH = 5                        # depth whose metrics are looked up in the sweep
 
 
 def register(name: str):
@@ -330,6 +331,37 @@ def q_tree_depth_sweep(spark, base):
                         depths=SWEEP_DEPTHS, key_cols=("event_id", "motion_event_id"))
 
 
+def _histogram_tree(spark, base):
+    """One tree of the deepest depth on the hash split: every registered depth is read off it."""
+    from strider.operators.activity import SWEEP_DEPTHS
+    from strider.operators.histogram_tree import fitted
+    from strider.schemas import MAGNITUDE_FEATURES
+    return fitted(_joined_magnitudes(Tables(spark, base)), MAGNITUDE_FEATURES, max_depth=max(SWEEP_DEPTHS),
+                  key_cols=("event_id", "motion_event_id"))
+
+
+@register("histogram_tree_nodes")
+def q_histogram_tree_nodes(spark, base):
+    from strider.operators.histogram_tree import NODES
+    found = _histogram_tree(spark, base)
+    nodes = found[0].nodes(spark) if found else spark.createDataFrame([], NODES)
+    return nodes.withColumn("threshold", F.round("threshold", 6))
+
+
+@register("histogram_tree_sweep")
+def q_histogram_tree_sweep(spark, base):
+    from strider.operators.histogram_tree import METRICS, depth_sweep
+    found = _histogram_tree(spark, base)
+    sweep = depth_sweep(*found) if found else spark.createDataFrame([], METRICS)
+    return sweep.select("Depth", *[F.round(c, 6).alias(c) for c in ("Accuracy", "Precision", "Recall")])
+
+
+@register("metrics_for_depth")
+def q_metrics_for_depth(spark, base):
+    from strider.operators.activity import metrics_for_depth
+    return metrics_for_depth(q_histogram_tree_sweep(spark, base), CHOSEN_DEPTH)
+
+
 @register("bagged_trees")
 def q_bagged_trees(spark, base):
     from strider.operators.activity import bagged_trees
