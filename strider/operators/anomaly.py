@@ -3,11 +3,10 @@
 Isolation forest (Liu, Ting and Zhou, 2008) on Spark:
 
 1. Scale the features (``StandardScaler``, no centring) in one distributed fit.
-2. Draw each tree's sample of ``psi = min(max_samples, n)`` rows without replacement
-   by key hash: a Bernoulli pool keeps about ``oversample * psi * trees`` rows, the
-   pool is fanned out to the trees it was drawn for, and a window per tree keeps the
-   ``psi`` rows with the smallest hash rank.  Deterministic for a seed, independent of
-   partitioning, and no task ever holds more than a few ``psi`` rows.
+2. Draw each tree's sample of exactly ``psi = min(max_samples, n)`` rows without replacement:
+   the ``psi`` smallest hash ranks of that tree (``forest_sample``).  Deterministic for a seed,
+   independent of partitioning, and about ``oversample * psi`` rows per tree are shuffled,
+   whatever the input.
 3. Build the trees in ``groupBy(tree).applyInPandas`` (one small group per tree).
 4. The node table has at most ``trees * (2 psi - 1)`` rows, a bound fixed by the
    parameters, so it is collected once and broadcast.
@@ -34,7 +33,8 @@ from strider.schemas import ANOMALY_FEATURES
 from strider.session import materialize
 
 EULER_GAMMA = 0.5772156649015329
-_HASH_SPACE = 1 << 30
+#: Ranks are 16 hexadecimal digits, so an MD5 serves two trees.
+_RANK_DIGITS, _RANKS_PER_HASH = 16, 2
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree_id", T.IntegerType()),
@@ -89,7 +89,7 @@ def build_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[
 
 def _tree_builder(max_depth: int, seed: int, cols: list[str]):
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_rank", kind="mergesort")
+        pdf = pdf.sort_values("position", kind="mergesort")
         tree_id = int(pdf["tree_id"].iloc[0])
         x = pdf[cols].to_numpy(dtype=float)
         rows = build_tree(x, np.random.default_rng([seed, tree_id]), max_depth)
@@ -149,8 +149,39 @@ def _scorer(forest_bc, psi: int, max_depth: int, out_cols: list[str], x_cols: li
     return score
 
 
-def _uniform(cols, seed_col) -> F.Column:
-    return F.pmod(F.xxhash64(*cols, seed_col), F.lit(_HASH_SPACE)).cast("double") / _HASH_SPACE
+def forest_sample(df: DataFrame, key_cols: tuple[str, ...] = ("event_id",), num_trees: int = 100, max_samples: int = 256,
+                  seed: int = 42, keep: tuple[str, ...] = (), n: int | None = None, oversample: float = 4.0) -> DataFrame:
+    """(tree_id, position, keys, ``keep``): per tree the ``max_samples`` rows of the smallest rank, all if fewer.
+
+    A row's rank in a tree is half an MD5 of its key, the seed and the tree pair, so the sample is the
+    same on any partitioning and any SQL engine can repeat it; equal ranks are ordered by the keys.
+    Keys must identify rows (null: empty text).  A row is copied only to the trees whose rank is
+    under a cut that about ``oversample * max_samples`` rows pass; the cut never decides the result, as
+    it is widened until every tree has its full sample.  An empty table gives an empty sample.
+    """
+    keys = list(key_cols)
+    columns = list(dict.fromkeys([*keys, *keep]))
+    rows = df.select(*columns)
+    n = rows.count() if n is None else n
+    text = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys], F.lit(str(seed)))
+    hashes = F.transform(F.sequence(F.lit(0), F.lit((num_trees - 1) // _RANKS_PER_HASH)),
+                         lambda pair: F.md5(F.concat_ws(":", text, pair.cast("string"))))
+    halves = F.flatten(F.transform(hashes, lambda h, pair: F.array(*[
+        F.struct((pair * _RANKS_PER_HASH + i).alias("tree_id"), F.substring(h, 1 + i * _RANK_DIGITS, _RANK_DIGITS).alias("rank"))
+        for i in range(_RANKS_PER_HASH)])))
+    full, share = min(max_samples, n), oversample * max_samples / max(n, 1)
+    while True:
+        # Beyond every hexadecimal number once the whole table is asked for.
+        cut = f"{int(share * 16 ** _RANK_DIGITS):0{_RANK_DIGITS}x}" if share < 1 else "g"
+        drawn = materialize(rows.withColumn("_at", F.explode(F.filter(
+            halves, lambda at: (at["tree_id"] < num_trees) & (at["rank"] < cut)))).select("_at.*", *columns))
+        held = drawn.groupBy("tree_id").count().agg(F.count(F.lit(1)).alias("trees"), F.min("count").alias("least")).first()
+        if share >= 1 or (held.trees == num_trees and held.least >= full):
+            break
+        share *= 4
+    per_tree = Window.partitionBy("tree_id").orderBy("rank", *keys)
+    return (drawn.withColumn("position", F.row_number().over(per_tree)).where(F.col("position") <= max_samples)
+            .select("tree_id", "position", *columns))
 
 
 def isolation_forest(df: DataFrame, features: list[str] | tuple[str, ...] = tuple(ANOMALY_FEATURES),
@@ -184,19 +215,7 @@ def isolation_forest(df: DataFrame, features: list[str] | tuple[str, ...] = tupl
     spark = df.sparkSession
     psi = min(max_samples, n)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    p = min(1.0, oversample * psi / n)
-    q = min(1.0, num_trees * p)
-    keys = [F.col(c) for c in key_cols]
-    pool = vec.where(_uniform(keys, F.lit(seed)) < q).select(*key_cols, *x_cols)
-    # The pool holds at most about trees * oversample * psi rows whatever n is, so the
-    # fan-out to all trees is bounded by trees² * oversample * psi rows.
-    drawn = (pool.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(num_trees - 1))))
-             .withColumn("tree_id", F.col("tree_id").cast("int"))
-             .where(_uniform(keys, F.col("tree_id") * 7919 + seed + 1) < p / q)
-             .withColumn("_rank", F.xxhash64(*keys, F.col("tree_id"), F.lit(seed + 2))))
-    per_tree = Window.partitionBy("tree_id").orderBy("_rank", *key_cols)
-    sample = (drawn.withColumn("_k", F.row_number().over(per_tree)).where(F.col("_k") <= psi)
-              .select("tree_id", "_rank", *x_cols))
+    sample = forest_sample(vec, key_cols, num_trees, psi, seed, tuple(x_cols), n, oversample)
     nodes = (sample.groupBy("tree_id")
              .applyInPandas(_tree_builder(max_depth, seed, x_cols), NODE_SCHEMA).collect())
     forest = spark.sparkContext.broadcast(_pack_forest([tuple(r) for r in nodes]))

@@ -110,12 +110,14 @@ def best_cuts(counts: DataFrame) -> DataFrame:
 
     ``counts`` has node, f, bin, label and n.  A half's score is the sum of its squared label counts
     over its rows.  From one bin to the next only the labels in that bin change, so differences of
-    squares, summed along the bins, give both halves without a dense table.
+    squares, summed along the bins, give both halves without a dense table.  All windows and groups
+    below are parts of a node, so one shuffle by node serves them all; a node has at most features *
+    bins * labels rows here.
     """
     kinds = Window.partitionBy("node", "f", "label")
     after, whole = F.col("after").cast(_WHOLE), F.col("whole").cast(_WHOLE)
     before = (F.col("after") - F.col("n")).cast(_WHOLE)
-    steps = (counts.withColumn("after", F.sum("n").over(kinds.orderBy("bin"))).withColumn("whole", F.sum("n").over(kinds))
+    steps = (counts.repartition("node").withColumn("after", F.sum("n").over(kinds.orderBy("bin"))).withColumn("whole", F.sum("n").over(kinds))
              .groupBy("node", "f", "bin").agg(
                  F.sum("n").alias("n"), F.sum(after * after - before * before).alias("left"),
                  F.sum((whole - after) * (whole - after) - (whole - before) * (whole - before)).alias("right")))

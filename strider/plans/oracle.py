@@ -299,3 +299,12 @@ ORACLE["feature_summary"] = with_views(MOTION_VIEW, CLEAN_MOTION_VIEW) + "\nUNIO
 ORACLE["histogram_tree_nodes"] = nodes_sql(10)
 ORACLE["histogram_tree_sweep"] = sweep_sql((1, 5, 10))
 ORACLE["metrics_for_depth"] = f"SELECT * FROM ({sweep_sql((1, 5, 10))}) s WHERE Depth = 5"
+
+# 100 trees, 256 rows each, seed 42: two ranks out of every hash.
+ORACLE["forest_sample"] = with_views(MOTION_VIEW, CLEAN_MOTION_VIEW) + """
+SELECT tree_id, CAST(position AS INTEGER) AS position, event_id
+  FROM (SELECT event_id, tree_id, row_number() OVER (
+                 PARTITION BY tree_id
+                 ORDER BY substr(md5(event_id || ':42:' || (tree_id // 2)), 1 + 16 * (tree_id % 2), 16), event_id) AS position
+          FROM clean_motion, (SELECT CAST(t AS INTEGER) AS tree_id FROM range(100) r(t)) trees) s
+ WHERE position <= 256"""

@@ -383,6 +383,12 @@ def _scored_motion(spark, base) -> DataFrame:
                             keep=("event_id", "date", "Time", *ANOMALY_FEATURES))
 
 
+@register("forest_sample")
+def q_forest_sample(spark, base):
+    from strider.operators.anomaly import forest_sample
+    return forest_sample(clean.clean_motion(Tables(spark, base).motion))
+
+
 @register("isolation_forest")
 def q_isolation_forest(spark, base):
     return _scored_motion(spark, base).select("event_id", "date", "Time", "score", "prediction")
