@@ -58,10 +58,14 @@ def poisson_weight(key_cols: list[str] | tuple[str, ...], seed: int) -> Column:
         cdf += term
         bounds.append(cdf)
         term /= len(bounds)
-    expr = F.lit(len(bounds))
-    for k, bound in reversed(list(enumerate(bounds))):
-        expr = F.when(u < bound, F.lit(k)).otherwise(expr)
-    return expr.cast("double")
+
+    def count(x: Column) -> Column:
+        expr = F.lit(len(bounds))
+        for k, bound in reversed(list(enumerate(bounds))):
+            expr = F.when(x < bound, F.lit(k)).otherwise(expr)
+        return expr
+    # Inside a one-element array the hash is computed once, not once per bound.
+    return F.get(F.transform(F.array(u), count), F.lit(0)).cast("double")
 
 
 def classification_metrics(predictions: DataFrame, label_col: str = "CoarseLabel",
