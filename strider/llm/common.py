@@ -19,6 +19,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HEAVY_SHARE = 1000
 #: Bytes of text a Python task handles between two output batches.
 BATCH_BYTES = 4 << 20
+#: Elements that one fold gathers: a fold copies what it has at every step.
+FOLD = 256
 
 
 def text_of(col: str | Column = "text") -> Column:
@@ -31,6 +33,35 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
+def named(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(values: Column, combine, zero: int = 0, levels: int = 3) -> Column:
+    """What ``combine`` (associative, with ``zero``) makes of the elements before each element
+    of an array<bigint>; an empty array for an empty one.
+
+    Blocks of FOLD elements are folded, then their totals likewise, so the cost per element is
+    bounded up to FOLD ** (levels + 1) elements.
+    """
+    def fold(block: Column) -> Column:
+        begin = F.struct(F.lit(zero).cast("long").alias("at"), F.array().cast("array<bigint>").alias("seen"))
+        return F.aggregate(block, begin, lambda acc, v: F.struct(
+            combine(acc["at"], v).alias("at"), F.concat(acc["seen"], F.array(acc["at"])).alias("seen")))
+    if levels == 1:
+        return fold(values)["seen"]
+
+    def blocks(v: Column) -> Column:
+        at = F.sequence(F.lit(0), F.greatest(F.size(v) - 1, F.lit(0)), F.lit(FOLD))
+        return F.transform(at, lambda a: fold(F.slice(v, a + 1, FOLD)))
+
+    def shifted(folded: Column) -> Column:
+        bases = running(F.transform(folded, lambda b: b["at"]), combine, zero, levels - 1)
+        return F.flatten(F.zip_with(folded, bases, lambda b, base: F.transform(b["seen"], lambda s: combine(base, s))))
+    return named(values, lambda v: named(blocks(v), shifted))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can read: the session's checkpoint folder.
 

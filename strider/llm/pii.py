@@ -5,8 +5,9 @@ pattern labeler, a gazetteer labeler and two context labelers vote on each.
 Expectation-maximisation over the counts of vote patterns estimates how reliable each labeler
 is; a logistic span classifier is trained on its posteriors and adds loose spans it accepts.
 
-Texts are read once.  Positions come from the pieces between the matches, so a scan is linear,
-and context is the end of the piece before a match and the start of the piece after it.
+Texts are read once.  Positions are running sums over the pieces between the matches, and loose
+spans meet base spans in one sorted pass, so the work is linear in the matches but for a sort;
+context is the end of the piece before a match and the start of the piece after it.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strider.llm.common import staged, text_of
+from strider.llm.common import named, running, staged, text_of
 
 # The kinds in order and their strict patterns.  A match may start where the last
 # one ended or where no character of its first run stands before: the leftmost start, found
@@ -57,6 +58,8 @@ CUES = {
 AGAINST_BEFORE = r"(?i)(?:[A-Za-z0-9_=/#$€-]|version |token |order |isbn |id )$"
 AGAINST_AFTER = r"^[A-Za-z0-9_/=%-]"
 CONTEXT = 40
+#: Below every negated place.
+NOWHERE = -(1 << 62)
 VOTERS = ["pattern", "gazetteer", "cue", "against"]
 EM_ROUNDS = 40
 ACCEPT = 0.5
@@ -108,19 +111,36 @@ def _found(df: DataFrame, kind: str, strict: bool, name: str) -> DataFrame:
         hits = F.when(F.contains("text", F.lit(need)), hits).otherwise(F.array().cast("array<string>"))
     df = df.withColumn("_hits", hits)
     df = df.withColumn("_gaps", F.when(F.size("_hits") > 0, F.split("text", pattern, -1)))
-    pairs = F.transform("_hits", lambda m, i: F.struct(
-        m.alias("m"), F.element_at("_gaps", i + 1).alias("before"), F.element_at("_gaps", i + 2).alias("after")))
-    start = F.struct(F.lit(0).cast("int").alias("at"), F.array().cast("array<int>").alias("starts"))
-    starts = F.aggregate(
-        pairs, start,
-        lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["before"]) + F.length(p["m"])).alias("at"),
-            F.concat(acc["starts"], F.array(acc["at"] + F.length(p["before"]))).alias("starts")),
-        lambda acc: acc["starts"])
-    made = F.transform(F.arrays_zip(pairs.alias("p"), starts.alias("s")), lambda x: _candidate(
-        kind, strict, x["p"]["m"], x["s"], F.substring(x["p"]["before"], -CONTEXT, CONTEXT),
-        F.substring(x["p"]["after"], 1, CONTEXT)))
-    return df.withColumn(name, made).drop("_hits", "_gaps")
+    df = df.withColumn("_pairs", F.transform("_hits", lambda m, i: F.struct(
+        m.alias("m"), F.element_at("_gaps", i + 1).alias("before"), F.element_at("_gaps", i + 2).alias("after"))))
+    widths = F.transform("_pairs", lambda p: (F.length(p["before"]) + F.length(p["m"])).cast("long"))
+    made = F.zip_with("_pairs", running(widths, lambda a, b: a + b), lambda p, at: _candidate(
+        kind, strict, p["m"], at + F.length(p["before"]), F.substring(p["before"], -CONTEXT, CONTEXT),
+        F.substring(p["after"], 1, CONTEXT)))
+    return df.withColumn(name, made).drop("_hits", "_gaps", "_pairs")
+
+
+def _apart(loose: Column, base: Column) -> Column:
+    """The loose spans that overlap no base span of their kind.
+
+    Both in one order: the furthest end of the base spans before a loose span and the next
+    start of those after it tell.  Loose spans come in that order already.
+    """
+    place = lambda c, name: F.shiftleft(c["kind"].cast("long"), 40) + c[name]
+    event = lambda is_base: lambda c: F.struct(
+        place(c, "start").alias("at"), place(c, "end").alias("to"), F.lit(is_base).alias("base"))
+    events = F.array_sort(F.concat(F.transform(base, event(True)), F.transform(loose, event(False))))
+
+    def met(every: Column) -> Column:
+        ends = F.transform(every, lambda e: F.when(e["base"], e["to"]).otherwise(F.lit(0).cast("long")))
+        starts = F.transform(F.reverse(every), lambda e: F.when(e["base"], -e["at"]).otherwise(F.lit(NOWHERE)))
+        left = F.zip_with(every, running(ends, F.greatest), lambda e, end: F.struct(
+            e["base"].alias("base"), e["to"].alias("to"), (end > e["at"]).alias("met")))
+        both = F.zip_with(left, F.reverse(running(starts, F.greatest, NOWHERE)), lambda e, start: F.struct(
+            e["base"].alias("base"), (e["met"] | (start > -e["to"])).alias("met")))
+        return F.filter(both, lambda e: ~e["base"])
+    free = F.array_compact(F.zip_with(loose, named(events, met), lambda c, e: F.when(~e["met"], c)))
+    return F.when((F.size(loose) > 0) & (F.size(base) > 0), free).otherwise(loose)
 
 
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -133,8 +153,7 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     base = F.concat(*[F.filter(f"s_{k}", lambda c: c["base"]) for k in KINDS])
     df = df.select("doc_id", base.alias("base"), F.concat(*[F.col(f"l_{k}") for k in KINDS]).alias("loose"),
                    F.concat(*[F.filter(f"s_{k}", lambda c: ~c["base"]) for k in KINDS]).alias("failed"))
-    overlaps = lambda c: F.exists("base", lambda b: (b["kind"] == c["kind"]) & (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    return df.withColumn("loose", F.filter("loose", lambda c: ~overlaps(c)))
+    return df.withColumn("loose", _apart(F.col("loose"), F.col("base")))
 
 
 def vote_counts(spans: DataFrame) -> DataFrame:

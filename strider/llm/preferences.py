@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strider.llm.common import running
+
 TURNS = "array<struct<role:string,text:string>>"
 
 
@@ -41,15 +43,11 @@ def _text(turns: Column) -> Column:
 
 def _mask(turns: Column) -> Column:
     """start:end of the assistants' texts in the rendered turns, comma-joined."""
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("spans"))
-
-    def step(acc: Column, turn: Column) -> Column:
-        start = acc["at"] + F.length(turn["role"]) + 5
-        end = start + F.length(turn["text"]) + 1
-        span = F.concat_ws(":", start.cast("string"), end.cast("string"))
-        return F.struct(end.alias("at"), F.when(
-            turn["role"] == "assistant", F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
-    return F.array_join(F.aggregate(turns, begin, step, lambda acc: acc["spans"]), ",")
+    width = lambda t: F.length(t["role"]) + 5 + F.length(t["text"]) + 1
+    starts = running(F.transform(turns, lambda t: width(t).cast("long")), lambda a, b: a + b)
+    spans = F.zip_with(turns, starts, lambda t, at: F.when(t["role"] == "assistant", F.concat_ws(
+        ":", (at + F.length(t["role"]) + 5).cast("string"), (at + width(t)).cast("string"))))
+    return F.array_join(F.array_compact(spans), ",")
 
 
 def preferences(pairs: DataFrame) -> DataFrame:

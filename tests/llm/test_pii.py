@@ -94,3 +94,42 @@ def test_registered_query_on_whole_table(spark):
     assert {r.doc_id for r in rows} == set(texts)
     check(rows, texts)
     assert sum(r.n_email + r.n_ip + r.n_card + r.n_phone for r in rows) > 20
+
+
+def test_many_matches_take_time_in_proportion(docs):
+    """Numbers throughout: 1 MB within a minute, and at most three times as long as half of it."""
+    import time
+    took = []
+    for half in (1, 2):
+        start = time.perf_counter()
+        row = pii.find(docs([(1, "12, " * 125_000 * half + "1.2.3.4 (517) 555-0938")])).collect()[0]
+        took.append(time.perf_counter() - start)
+        at = 500_000 * half
+        assert row.n_ip == 1 and f"ip:{at}:{at + 7}" in row.spans
+    assert took[1] < 60 and took[1] < 3 * took[0] + 2
+
+
+def test_loose_spans_that_meet_base_spans_go(spark):
+    """Random spans of two kinds against a comparison of every pair, with more than one block."""
+    import random
+    from pyspark.sql import functions as F
+    rng, rows = random.Random(5), []
+    for i in range(60):
+        spans = []
+        for _ in range(2):
+            got = []
+            for kind in (0, 2):
+                at = 0
+                for _ in range(rng.choice([0, 1, 3, 40, 400])):
+                    at += rng.choice([0, 0, 1, 7])
+                    end = at + rng.choice([1, 2, 9, 60])
+                    got.append((kind, at, end))
+                    at = end
+            spans.append(got)
+        rows.append((i, *spans))
+    kind = "array<struct<kind:int,start:int,end:int>>"
+    table = spark.createDataFrame(rows, f"id int, base {kind}, loose {kind}")
+    for r in table.select("id", pii._apart(F.col("loose"), F.col("base")).alias("left")).collect():
+        base, loose = rows[r.id][1:]
+        want = [c for c in loose if not any(b[0] == c[0] and b[1] < c[2] and c[1] < b[2] for b in base)]
+        assert [tuple(c) for c in r.left] == want
