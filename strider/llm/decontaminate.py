@@ -29,6 +29,10 @@ BLOCK_BYTES = 16 << 20
 #: Shared q-grams counted at a time: bounds the memory of texts full of frequent q-grams.
 ENTRIES = 1 << 20
 _TABLE_BITS = 22
+#: Item row of a diagonal that no alignment has reached.
+_UNREACHED = -(1 << 40)
+#: Eight-byte steps taken on all diagonals at once before the long runs go one by one.
+_WORD_STEPS = 4
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -47,27 +51,52 @@ def edit_budget(size: int) -> int:
     return min(int(size * EDIT_SHARE), (size - Q) // Q)
 
 
+def _matched(item: bytes, region: bytes, i: int, j: int) -> int:
+    """Length of the common run from item[i] and region[j] on, by doubling and halving."""
+    start, size = i, 64
+    while i + size <= len(item) and item[i:i + size] == region[j:j + size]:
+        i, j, size = i + size, j + size, 2 * size
+    while size > 1:
+        size //= 2
+        if i + size <= len(item) and item[i:i + size] == region[j:j + size]:
+            i, j = i + size, j + size
+    return i - start
+
+
 def banded_edits(item: bytes, region: bytes, budget: int) -> tuple[int, int] | None:
     """(edits, end) of the best alignment of the item inside the region, None over the budget.
 
-    Semi-global: the region's ends are free.  Rows are item characters; each row is one numpy
-    step, insertions along the row being a running minimum.
+    Semi-global: the region's ends are free.  Only the diagonals an alignment within the budget
+    can use are kept, from -budget to the last one that still ends inside the region.  For each,
+    the furthest item row reached with e edits is found for e = 0, 1, ... until a diagonal
+    reaches the item's end, so the cost follows the edits, not the item's length times the region's.
     """
-    at = region.find(item)
-    if at >= 0:
-        return 0, at + len(item)
-    text = np.frombuffer(region, np.uint8)
-    ramp = np.arange(len(text) + 1)
-    row = np.zeros(len(text) + 1, np.int64)
-    for i, letter in enumerate(item, 1):
-        new = np.empty_like(row)
-        new[0] = i
-        new[1:] = np.minimum(row[:-1] + (text != letter), row[1:] + 1)
-        row = np.minimum.accumulate(new - ramp) + ramp
-        if row.min() > budget:
-            return None
-    end = int(row.argmin())
-    return (int(row[end]), end) if row[end] <= budget else None
+    size, limit = len(item), len(region)
+    diagonal = np.arange(-budget, limit - size + budget + 1)
+    # Different ends, neither in any text: no common run passes the end of either side.
+    words = np.ndarray((size + 1,), "<u8", item + b"\xfe" * 8, 0, (1,))
+    text = np.ndarray((limit + 1,), "<u8", region + b"\xff" * 8, 0, (1,))
+    row = np.where((diagonal >= 0) & (diagonal <= limit), 0, _UNREACHED)
+    for edits in range(budget + 1):
+        if edits:
+            padded = np.concatenate([[_UNREACHED], row, [_UNREACHED]])
+            row = np.maximum(np.maximum(row, padded[2:]) + 1, padded[:-2])
+            row = np.minimum(row, np.minimum(size, limit - diagonal))
+        going = np.flatnonzero(row >= 0)
+        for _ in range(_WORD_STEPS):
+            at = row[going]
+            differ = words[at] ^ text[at + diagonal[going]]
+            lowest = differ & (~differ + np.uint64(1))
+            row[going] = at + np.bitwise_count(lowest - np.uint64(1)).astype(np.int64) // 8
+            going = going[differ == 0]
+            if not len(going):
+                break
+        for g in going.tolist():
+            row[g] += _matched(item, region, int(row[g]), int(row[g] + diagonal[g]))
+        done = np.flatnonzero(row == size)
+        if len(done):
+            return edits, size + int(diagonal[done[0]])
+    return None
 
 
 class Index:
