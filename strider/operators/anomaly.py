@@ -251,6 +251,31 @@ def anomaly_by_feature(scored: DataFrame, features: list[str] | tuple[str, ...]
             .orderBy("feature", label_col))
 
 
+def feature_series(scored: DataFrame, features: list[str] | tuple[str, ...] = tuple(ANOMALY_FEATURES),
+                   width: int = 320, time_col: str = "Time", key_col: str = "event_id",
+                   label_col: str = "prediction") -> DataFrame:
+    """Line plots of every feature over time, exact at ``width`` pixel columns: per feature, label
+    and column the first, last, smallest and largest value and the number of values.
+
+    At most width x features x labels rows, whatever the size.  Rows without time are left out;
+    null values are skipped (a column without values has no row); values at one time are ordered
+    by key.  All features are aggregated in one pass, with partial results before the shuffle.
+    """
+    rows = scored.where(F.col(time_col).isNotNull())
+    lo, hi = rows.agg(F.min(time_col), F.max(time_col)).first()
+    at = F.lit(0) if lo is None else F.call_function("div", (F.col(time_col) - F.lit(lo)) * width, F.lit(hi - lo + 1))
+
+    def points(f: str) -> F.Column:
+        value = F.col(f).cast("double")
+        place = F.when(value.isNotNull(), F.struct(time_col, key_col))
+        return F.struct(F.min_by(value, place).alias("first"), F.max_by(value, place).alias("last"),
+                        F.min(value).alias("min"), F.max(value).alias("max"), F.count(value).alias("rows")).alias(f)
+    wide = rows.groupBy(label_col, at.cast("int").alias("pixel")).agg(*[points(f) for f in features])
+    series = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("p")) for f in features])).alias("s")
+    return (wide.select(label_col, "pixel", series).where("s.p.rows > 0")
+            .select("s.feature", label_col, "pixel", "s.p.*"))
+
+
 def kmeans_outliers(df: DataFrame, features: list[str] | tuple[str, ...] = tuple(ANOMALY_FEATURES),
                     keep: tuple[str, ...] = ("event_id",), k: int = 2, seed: int = 1) -> DataFrame:
     """k-means on the raw feature vectors; rows of the smallest cluster are outliers."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strider.functions.timecols import half_hour_slot, iso_weekday, ms_to_utc
 from strider.functions.vectors import magnitude
-from strider.operators.quantiles import kth_row, order_statistics
+from strider.operators.quantiles import bracketed_statistics, kth_row
 from strider.schemas import ANOMALY_FEATURES, AXIS_FEATURES
 
 JOIN_KEYS = ("date", "Time")
@@ -202,7 +202,7 @@ def chronological_split(df: DataFrame, fraction: float = 0.8,
     global window sorting all rows in one task.
     """
     o = list(order_cols)
-    n, first = order_statistics(df, o[0], lambda total: [int(fraction * total)])
+    n, first = bracketed_statistics(df, o[0], lambda total: [int(fraction * total)])
     k = int(fraction * n)
     if k >= n:
         return df.withColumn(flag_col, F.lit("train"))

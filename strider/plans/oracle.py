@@ -295,6 +295,15 @@ ORACLE["feature_summary"] = with_views(MOTION_VIEW, CLEAN_MOTION_VIEW) + "\nUNIO
     f"SELECT '{c}' AS feature, prediction, count(*) AS rows, min({c}) AS min, max({c}) AS max, "
     f"round(avg({c}), 6) AS mean FROM {_FLAGGED} f GROUP BY prediction" for c in _SUMMARY)
 
+# 320 pixel columns.
+ORACLE["feature_series"] = with_views(MOTION_VIEW, CLEAN_MOTION_VIEW) + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS feature, prediction, CAST(pixel AS INTEGER) AS pixel,
+       first({c} ORDER BY Time, event_id) AS first, last({c} ORDER BY Time, event_id) AS last,
+       min({c}) AS min, max({c}) AS max, count({c}) AS rows
+  FROM (SELECT *, (Time - (SELECT min(Time) FROM {_FLAGGED} a)) * 320
+                  // ((SELECT max(Time) - min(Time) FROM {_FLAGGED} b) + 1) AS pixel FROM {_FLAGGED} f) g
+ GROUP BY prediction, pixel""" for c in _SUMMARY)
+
 # The tree of depth 10 level by level; cut at 1 and 5 for the sweep.
 ORACLE["histogram_tree_nodes"] = nodes_sql(10)
 ORACLE["histogram_tree_sweep"] = sweep_sql((1, 5, 10))

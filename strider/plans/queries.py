@@ -264,6 +264,12 @@ def q_feature_summary(spark, base):
     return anomaly_by_feature(_flagged_motion(spark, base)).withColumn("mean", F.round("mean", 6))
 
 
+@register("feature_series")
+def q_feature_series(spark, base):
+    from strider.operators.anomaly import feature_series
+    return feature_series(_flagged_motion(spark, base))
+
+
 @register("half_hour_grid")
 def q_half_hour_grid(spark, base):
     from strider.operators.location import route_by_slot, route_or_default
