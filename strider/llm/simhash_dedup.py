@@ -168,48 +168,68 @@ def links(prints: DataFrame, radius: int, limit: int = BUCKET_LIMIT) -> DataFram
             return found.distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket_limit: int = BUCKET_LIMIT,
-                    key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint (hex), component_id (smallest key of
-    the component).
-
-    Null text: empty.  A text without words has fingerprint zero and is linked like any other.
-    Null keys are never the smallest unless a component has no other.  Rows that repeat a key
-    each get their row.  Other columns are ignored; an empty table gives an empty result.
-    """
-    source = docs.select(F.col(key).cast("long").alias("doc_id"), text_of(text).alias("text"))
+def _prints(rows: DataFrame, shingle: int) -> DataFrame:
+    """``rows`` (one column and the text) with the text's fingerprint ``fp`` in place of the text."""
+    name, kind = rows.columns[0], rows.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in slices(batch.column(1)):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(texts)), _signed([fingerprint(x, shingle) for x in texts])],
-                    names=["doc_id", "fp"])
+                    names=[name, "fp"])
+    return rows.mapInArrow(run, f"{name} {kind}, fp long")
 
-    rows = staged(source.mapInArrow(run, "doc_id long, fp long"), "op9-prints")
+
+def _grouped(docs: DataFrame, shingle: int, radius: int, bucket_limit: int, key: str, text: str):
+    """Staged rows (doc_id, fp), staged fingerprints (fp, size, root, component_id) and the number
+    of rows; component_id is null where no row of the component has a key."""
+    rows = staged(_prints(docs.select(F.col(key).cast("long").alias("doc_id"), text_of(text).alias("text")), shingle), "op9-prints")
     total = rows.count()
     prints = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("size")), "op9-distinct")
     roots = components(links(prints, radius, bucket_limit)).withColumnRenamed("node", "fp")
     linked = staged(prints.join(roots, "fp"), "op9-linked")
     groups = linked.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("prints"))
     members = attach(linked.select("fp", "root"), groups, ["root"], "prints", total)
-    named = staged(prints.join(members.select("fp", "component_id"), "fp", "left")
-                   .select("fp", "size", F.coalesce("component_id", "low").alias("component_id")), "op9-named")
-    return attach(rows, named, ["fp"], "size", total).select(
+    named = staged(prints.join(members.select("fp", "root", "component_id"), "fp", "left")
+                   .select("fp", "size", F.coalesce("root", "fp").alias("root"),
+                           F.coalesce("component_id", "low").alias("component_id")), "op9-named")
+    return rows, named, total
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket_limit: int = BUCKET_LIMIT,
+                    key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, fingerprint (hex), component_id (smallest key of
+    the component).
+
+    Null text: empty.  A text without words has fingerprint zero and is linked like any other.
+    Null keys are never the smallest unless a component has no other.  Rows that repeat a key
+    each get their row.  Other columns are ignored; an empty table gives an empty result.
+    """
+    return _answer(*_grouped(docs, shingle, radius, bucket_limit, key, text))
+
+
+def _answer(rows: DataFrame, named: DataFrame, total: int) -> DataFrame:
+    return attach(rows, named.drop("root"), ["fp"], "size", total).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicate(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest doc_id.
 
-    Of rows that repeat that doc_id and the text one stays.  A row without doc_id cannot be
-    named by its component, so it stays.
+    Of rows that repeat that doc_id and the text one stays.  Rows without doc_id go where the
+    component has a row with one; where none has, one row with the smallest text stays.
     """
-    answer = near_duplicates(docs, shingle, radius)
-    stay = answer.groupBy("doc_id").agg(
+    prints, named, total = _grouped(docs, shingle, radius, BUCKET_LIMIT, "doc_id", "text")
+    stay = _answer(prints, named, total).groupBy("doc_id").agg(
         F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("n"))
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), text_of().alias("whole"))
     joined = rows.join(stay.where("stays"), F.col("id") == F.col("doc_id"))
     again = joined.where("n > 1").dropDuplicates(["id", "whole"])
+    nameless = rows.where("id is null")
+    texts = nameless.select("whole").distinct()
+    chosen = (_prints(texts.select("whole", F.col("whole").alias("text")), shingle)
+              .join(named.where("component_id is null").select("fp", "root"), "fp")
+              .groupBy("root").agg(F.min("whole").alias("whole")).select("whole"))
     return (joined.where("n = 1").select("row.*").unionByName(again.select("row.*"))
-            .unionByName(rows.where("id is null").select("row.*")))
+            .unionByName(nameless.join(chosen, "whole").dropDuplicates(["whole"]).select("row.*")))

@@ -82,7 +82,15 @@ def test_odd_rows(docs):
     assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, None: 1, 3: 3, 4: 3, 5: 3, 7: 7, 8: 8}
     assert sd.near_duplicates(docs([])).count() == 0
     assert sd.deduplicate(docs([(1, "a b"), (1, "a b"), (2, "a b")])).count() == 1
-    assert sorted((r.doc_id for r in sd.deduplicate(docs(rows)).collect()), key=str) == [1, 3, 7, 8, None]
+    assert sorted(r.doc_id for r in sd.deduplicate(docs(rows)).collect()) == [1, 3, 7, 8]
+
+
+def test_rows_without_id_keep_one_of_a_component(docs):
+    """Copies of a row with an id go; of a group without any id one row stays."""
+    rows = [(1, "alpha beta gamma delta"), (None, "Alpha beta gamma delta"), (None, "one two three four five"),
+            (None, "one two three four five"), (None, "ONE two three four five"), (None, "another text altogether, far away")]
+    got = [(r.doc_id, r.text) for r in sd.deduplicate(docs(rows)).collect()]
+    assert sorted(got, key=str) == sorted([rows[0], rows[4], rows[5]], key=str)
 
 
 def test_registered_query_on_whole_table(spark):
