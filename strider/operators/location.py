@@ -24,6 +24,9 @@ MAX_PLAUSIBLE_LAT = 50.9
 NEARBY_RADIUS_M = 1500.0
 RIDGE = 1e-6                            # of the position regressions
 NEARBY_TOP_K = 10
+# Grid of the nearest places: places per cell that end its splitting (in sides of SPLIT), the
+# deepest level (cells of centimetres), and room for rounding of distances (m).
+LEAF_PLACES, SPLIT, DEEPEST, SLACK_M = 64, 4, 7, 0.05
 # Packing of two order columns: the first within 4e18 either way (else Spark reports an
 # overflow), the second any long; nulls before all.
 INTEGERS = ("byte", "short", "integer", "long")
@@ -130,11 +133,28 @@ def nearby(origins: DataFrame, places: DataFrame, radius_m: float = NEARBY_RADIU
     copied to the up to 3 x 3 cells around it (the origins, the side that grows, are not), and
     exact haversine distance filters the candidates.  Ties in distance (at centimetre
     precision) go to the smaller place key.
+
+    With ``k``, of the places of one position only the first ``k`` by key can be wanted, and
+    cells of many places are split (``_closest_cells``), so that the candidates of an origin
+    follow ``k``, not the places around it.
     """
+    dist = haversine_m(*[f"origin_{c}" for c in origin_cols], *place_cols)
+    pairs = _candidates(origins, places, radius_m, k, origin_cols, place_cols, place_key)
+    pairs = pairs.withColumn("distance_m", F.round(dist, 2)).where(F.col("distance_m") <= radius_m)
+    if k is None:
+        return pairs
+    w = Window.partitionBy(*[f"origin_{c}" for c in origins.columns]).orderBy("distance_m", place_key)
+    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _candidates(origins: DataFrame, places: DataFrame, radius_m: float, k: int | None,
+                origin_cols: tuple[str, str], place_cols: tuple[str, str], place_key: str) -> DataFrame:
+    """Origins with the places of the cells that may hold one of the places asked for."""
     o_lat, o_lng = origin_cols
     p_lat, p_lng = place_cols
     reach = radius_m / EARTH_RADIUS_M * 1.0001           # angle, with room for rounding
     height = reach / DEG_TO_RAD
+    fine = SPLIT ** DEEPEST
 
     def cells(row: Column) -> Column:
         """Number of cells of a row."""
@@ -150,19 +170,79 @@ def nearby(origins: DataFrame, places: DataFrame, radius_m: float = NEARBY_RADIU
     o = o.withColumn("_cy", F.floor(F.col(f"origin_{o_lat}") / height).cast("long"))
     o = o.withColumn("_cx", cell(F.col(f"origin_{o_lng}"), cells(F.col("_cy"))))
     row = F.floor(F.col(p_lat) / height).cast("long")
+    if k is not None:
+        places = _first_of_position(places, k, p_lat, p_lng, place_key)
     p = places.select("*", F.explode(F.array(row - 1, row, row + 1)).alias("_cy"))
     p = p.withColumn("_n", cells(F.col("_cy")))
     p = p.withColumn("_x", cell(F.col(p_lng), F.col("_n")))
     p = p.withColumn("_cx", F.explode(F.array_distinct(F.array(
-        *[F.pmod(F.col("_x") + d, F.col("_n")) for d in (-1, 0, 1)])))).drop("_n", "_x")
-    pairs = o.join(p, ["_cy", "_cx"], "inner").drop("_cy", "_cx")
-    dist = haversine_m(f"origin_{o_lat}", f"origin_{o_lng}", p_lat, p_lng)
-    pairs = pairs.withColumn("distance_m", F.round(dist, 2)).where(F.col("distance_m") <= radius_m)
-    if k is None:
-        return pairs
-    w = Window.partitionBy(*[f"origin_{c}" for c in origins.columns]).orderBy("distance_m", place_key)
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
+        *[F.pmod(F.col("_x") + d, F.col("_n")) for d in (-1, 0, 1)]))))
+    on = ["_cy", "_cx"]
+    if k is not None:
+        p = p.withColumns({"_fy": F.floor(F.col(p_lat) / height * fine).cast("long"),
+                           "_fx": cell(F.col(p_lng), F.col("_n") * fine)})
+        depth = _grid_depth(p.where((F.col("_cy") == row) & (F.col("_cx") == F.col("_x"))), max(LEAF_PLACES, k))
+        if depth:
+            o = _closest_cells(o, p, depth, radius_m, k, [f"origin_{c}" for c in origins.columns],
+                               (f"origin_{o_lat}", f"origin_{o_lng}"), place_cols)
+            p, on = p.withColumns(_at_level(depth)), [*on, "_ly", "_lx"]
+        p = p.drop("_fy", "_fx")
+    return o.join(p.drop("_n", "_x"), on, "inner").drop(*on)
+
+
+def _first_of_position(places: DataFrame, k: int, p_lat: str, p_lng: str, place_key: str) -> DataFrame:
+    """The first ``k`` places by key of every position: from any origin the others come after them."""
+    known = reduce(lambda a, b: a & b, [F.abs(F.col(c)) < F.lit(float("inf")) for c in (p_lat, p_lng)])
+    first = F.row_number().over(Window.partitionBy(p_lat, p_lng).orderBy(place_key))
+    return places.where(known).withColumn("_nth", first).where(F.col("_nth") <= k).drop("_nth")
+
+
+def _at_level(level: int, y: str = "_ly", x: str = "_lx") -> dict[str, Column]:
+    """Cell of a level of the split grid: the leading digits of the finest cell, so levels nest."""
+    size = F.lit(SPLIT ** (DEEPEST - level))
+    return {y: F.floor(F.col("_fy") / size).cast("long"), x: F.floor(F.col("_fx") / size).cast("long")}
+
+
+def _grid_depth(own: DataFrame, leaf: int) -> int:
+    """The first level without a cell of more than ``leaf`` of the places ``own`` (else the deepest): one job."""
+    levels = F.array(*[F.struct(F.lit(i).alias("level"), *[c.alias(n) for n, c in _at_level(i).items()])
+                       for i in range(DEEPEST + 1)])
+    counted = own.select("_cy", "_cx", F.inline(levels)).groupBy("_cy", "_cx", "level", "_ly", "_lx").count()
+    full = counted.where(F.col("count") > leaf).agg(F.max("level").alias("level")).first().level
+    return 0 if full is None else min(full + 1, DEEPEST)
+
+
+def _closest_cells(o: DataFrame, p: DataFrame, depth: int, radius_m: float, k: int, keys: list[str],
+                   origin_cols: tuple[str, str], place_cols: tuple[str, str]) -> DataFrame:
+    """Origins with the cells of level ``depth`` (``_ly``, ``_lx``) that may hold one of their ``k`` nearest places.
+
+    Level by level the cells at hand are split, and those farther than the radius or than the k-th
+    place at worst are left out.  A cell knows its number of places and a circle around them: all
+    are within the distance to its centre less and plus its radius.
+    """
+    lat, lng = (F.col(c) for c in place_cols)
+    mid_lat, mid_lng = (F.min(lat) + F.max(lat)) / 2, (F.min(lng) + F.max(lng)) / 2
+    arc = (F.max(lat) - F.min(lat) + F.abs(F.cos(mid_lat * DEG_TO_RAD)) * (F.max(lng) - F.min(lng))) / 2
+    on = ["_cy", "_cx"]
+    for level in range(1, depth + 1):
+        parent = [] if level == 1 else ["_py", "_px"]
+        at = _at_level(level) | (_at_level(level - 1, *parent) if parent else {})
+        nodes = p.withColumns(at).groupBy("_cy", "_cx", *parent, "_ly", "_lx").agg(
+            F.count(F.lit(1)).alias("_places"), mid_lat.alias("_mid_lat"), mid_lng.alias("_mid_lng"),
+            (arc * F.lit(DEG_TO_RAD * EARTH_RADIUS_M)).alias("_around"))
+        if parent:
+            o = o.withColumnsRenamed({"_ly": "_py", "_lx": "_px"})
+        o = o.join(nodes, [*on, *parent], "inner")
+        o = o.withColumn("_off", haversine_m(*origin_cols, "_mid_lat", "_mid_lng"))
+        o = o.where(F.col("_off") - F.col("_around") <= F.lit(radius_m + SLACK_M))
+        worst = F.col("_off") + F.col("_around")
+        within = F.sum("_places").over(Window.partitionBy(*keys).orderBy(worst))
+        o = o.withColumn("_within", within)
+        kth = F.min(F.when(F.col("_within") >= k, worst)).over(Window.partitionBy(*keys))
+        o = o.withColumn("_kth", kth)
+        o = o.where(F.col("_kth").isNull() | (F.col("_off") - F.col("_around") <= F.col("_kth") + F.lit(SLACK_M)))
+        o = o.select(*keys, *on, "_ly", "_lx")
+    return o
 
 
 # Optional inputs beside the positions, and what they are divided by (None: z-scored).

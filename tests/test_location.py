@@ -145,3 +145,29 @@ def test_route_orders_by_packed_columns(spark):
         route_by_slot(preds.drop("Time", "event_id"))
     plan = route_by_slot(preds)._jdf.queryExecution().toString()
     assert "SortAggregate" not in plan and "Join" not in plan
+
+
+def test_nearby_candidates_follow_k_in_a_dense_cell(spark):
+    import numpy as np
+
+    from strider.operators.location import _candidates
+    rng = np.random.default_rng(21)
+    lat = np.concatenate([np.full(3000, 50.85), 50.851 + rng.normal(0, 2e-4, 6000), 50.853 + rng.uniform(0, 1e-6, 1000),
+                          50.8 + rng.uniform(0, 0.1, 300)])
+    lng = np.concatenate([np.full(3000, 179.9999), -179.9995 + rng.normal(0, 2e-4, 6000), 179.995 + rng.uniform(0, 1e-6, 1000),
+                          (179.95 + rng.uniform(0, 0.1, 300) + 180) % 360 - 180])
+    at = list(zip(rng.permutation(len(lat)).tolist(), lat.tolist(), lng.tolist()))
+    odd = [(20000, None, 1.0), (20001, 50.85, None), (20002, float("nan"), 1.0), (20003, 50.85, float("inf"))]
+    p = spark.createDataFrame(at + odd, "poi_id long, lat double, lng double")
+    spots = [(50.85, 179.9999), (50.851, -179.9995), (50.853, 179.995), (50.86, 179.99), (50.84, -179.99), (50.0, 0.0), (None, 1.0)]
+    spots += [(50.85 + float(a), (179.9999 + float(b) + 180) % 360 - 180) for a, b in rng.normal(0, 0.003, (23, 2))]
+    o = spark.createDataFrame(spots, "lat double, lng double")
+    got = {}
+    for r in nearby(o, p, 1500.0, 10).collect():
+        got.setdefault((r.origin_lat, r.origin_lng), []).append((r.rank, r.poi_id, r.distance_m))
+    for a, b in spots:
+        cands = sorted((round(_hav(a, b, y, x), 2), i) for i, y, x in at) if a is not None else []
+        want = [(n + 1, i, d) for n, (d, i) in enumerate([c for c in cands if c[0] <= 1500][:10])]
+        assert sorted(got.get((a, b), [])) == want
+    pairs = _candidates(o, p, 1500.0, 10, ("lat", "lng"), ("lat", "lng"), "poi_id")
+    assert pairs.count() <= 200 * len(spots)             # a cell holds 10,000 places
