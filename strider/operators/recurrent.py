@@ -28,7 +28,7 @@ from strider.session import dropped, staged_path
 UNITS, EPOCHS = 50, 10
 BATCHES, RATE, CLIP, SEED = 16, 0.01, 1.0, 42
 #: Rows whose intermediate states a task holds at once; gradients added per task of the tree.
-CHUNK, FAN_IN = 1024, 32
+CHUNK, FAN_IN = 512, 32
 
 
 @dataclass(frozen=True)
@@ -68,52 +68,102 @@ class Shape:
         return np.concatenate([p.reshape(-1) for p in parts])
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
-
-
-def _forward(shape: Shape, flat: np.ndarray, x: np.ndarray):
-    """Outputs of sequences ``x`` (rows, steps, inputs) and the states of every step."""
-    wx, wh, b, wo, bo = shape.unpack(flat)
-    h = np.zeros((len(x), shape.units))
-    c = np.zeros_like(h)
-    states = []
+class States:
+    """Gates and states of every step of ``rows`` sequences, one column per sequence, kept for the next chunk."""
+
+    def __init__(self, shape: Shape, rows: int):
+        u, s = shape.units, shape.steps
+        self.rows = rows
+        self.fed = np.zeros((s + 1, u + shape.inputs + 1, rows))        # output before the step, input, 1
+        self.fed[:, -1] = 1.0
+        self.gates = np.empty((s, 4 * u, rows))                         # input, forget, output, candidate
+        self.cell = np.zeros((s + 1, u, rows))
+        self.live = np.empty((s, u, rows))
+        self.d_gates = np.empty((4 * u, rows))
+        self.slope = np.empty((3 * u, rows))
+        self.part = np.empty((u, rows))
+
+
+def _weights(shape: Shape, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order of the gates in ``States``, weights of a step as one matrix in that order)."""
+    wx, wh, b, _, _ = shape.unpack(flat)
+    u = shape.units
+    order = np.r_[0:2 * u, 3 * u:4 * u, 2 * u:3 * u]
+    return order, np.concatenate([wh, wx, b[None]]).T[order]
+
+
+def _forward(shape: Shape, flat: np.ndarray, x: np.ndarray, states: States) -> np.ndarray:
+    """Outputs (outputs, rows) of sequences ``x`` (rows, steps, inputs); ``states`` gets every step."""
+    u = shape.units
+    weights = _weights(shape, flat)[1]
+    weights[:3 * u] *= -1.0                                                   # a sigmoid takes minus its input
+    states.fed[:-1, u:-1] = x.transpose(1, 2, 0)
     for t in range(shape.steps):
-        gates = x[:, t] @ wx + h @ wh + b
-        i, f, g, o = np.split(gates, 4, axis=1)
-        i, f, o = _sigmoid(i), _sigmoid(f), _sigmoid(o)
-        candidate = np.maximum(g, 0.0)
-        after = f * c + i * candidate
-        states.append((h, c, i, f, g, o, candidate, after))
-        c, h = after, o * np.maximum(after, 0.0)
-    return h @ wo + bo, h, states
+        gates, after = states.gates[t], states.cell[t + 1]
+        np.dot(weights, states.fed[t], out=gates)
+        opened, candidate = gates[:3 * u], gates[3 * u:]
+        np.minimum(opened, 40.0, out=opened)
+        np.exp(opened, out=opened)
+        opened += 1.0
+        np.reciprocal(opened, out=opened)
+        np.maximum(candidate, 0.0, out=candidate)
+        np.multiply(opened[u:2 * u], states.cell[t], out=after)
+        np.multiply(opened[:u], candidate, out=states.part)
+        after += states.part
+        np.maximum(after, 0.0, out=states.live[t])
+        np.multiply(opened[2 * u:], states.live[t], out=states.fed[t + 1, :u])
+    _, _, _, wo, bo = shape.unpack(flat)
+    return wo.T @ states.fed[-1, :u] + bo[:, None]
 
 
 def predict(shape: Shape, flat: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return np.concatenate([_forward(shape, flat, x[at:at + CHUNK])[0] for at in range(0, len(x), CHUNK)]
-                          or [np.empty((0, shape.outputs))])
-
-
-def gradient(shape: Shape, flat: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
-    """Sum over rows and outputs of the squared error, and its gradient."""
-    wx, wh, b, wo, bo = shape.unpack(flat)
-    out, h, states = _forward(shape, flat, x)
-    error = out - y
-    d_out = 2.0 * error
-    g_wx, g_wh, g_b = np.zeros_like(wx), np.zeros_like(wh), np.zeros_like(b)
-    g_wo, g_bo = h.T @ d_out, d_out.sum(axis=0)
-    d_h, d_c = d_out @ wo.T, np.zeros_like(h)
+    out = np.empty((len(x), shape.outputs))
+    states = None
+    for at in range(0, len(x), CHUNK):
+        part = x[at:at + CHUNK]
+        if states is None or states.rows != len(part):
+            states = States(shape, len(part))
+        out[at:at + CHUNK] = _forward(shape, flat, part, states).T
+    return out
+
+
+def gradient(shape: Shape, flat: np.ndarray, x: np.ndarray, y: np.ndarray,
+             states: States | None = None) -> tuple[float, np.ndarray]:
+    """Sum over rows and outputs of the squared error, and its gradient; ``states`` are reused."""
+    if states is None or states.rows != len(x):
+        states = States(shape, len(x))
+    u = shape.units
+    order, weights = _weights(shape, flat)
+    wo = shape.unpack(flat)[3]
+    back = np.ascontiguousarray(weights[:, :u].T)
+    error = _forward(shape, flat, x, states) - y.T
+    d_out = error + error
+    g_wo, g_bo = states.fed[-1, :u] @ d_out.T, d_out.sum(axis=1)
+    d_h, d_c = wo @ d_out, np.zeros((u, len(x)))
+    g_weights = np.zeros(weights.shape)
+    d_gates, slope, part = states.d_gates, states.slope, states.part
     for t in range(shape.steps - 1, -1, -1):
-        before_h, before_c, i, f, g, o, candidate, after = states[t]
-        live = np.maximum(after, 0.0)
-        d_c = d_c + d_h * o * (after > 0)
-        d_gates = np.concatenate([d_c * candidate * i * (1 - i), d_c * before_c * f * (1 - f),
-                                  d_c * i * (g > 0), d_h * live * o * (1 - o)], axis=1)
-        g_wx += x[:, t].T @ d_gates
-        g_wh += before_h.T @ d_gates
-        g_b += d_gates.sum(axis=0)
-        d_h, d_c = d_gates @ wh.T, d_c * f
-    return float((error ** 2).sum()), np.concatenate([p.reshape(-1) for p in (g_wx, g_wh, g_b, g_wo, g_bo)])
+        gates, live = states.gates[t], states.live[t]
+        opened, candidate = gates[:3 * u], gates[3 * u:]
+        np.multiply(d_h, opened[2 * u:], out=part)
+        part *= live > 0
+        d_c += part
+        np.multiply(d_c, candidate, out=d_gates[:u])
+        np.multiply(d_c, states.cell[t], out=d_gates[u:2 * u])
+        np.multiply(d_h, live, out=d_gates[2 * u:3 * u])
+        np.subtract(1.0, opened, out=slope)
+        slope *= opened
+        d_gates[:3 * u] *= slope
+        np.multiply(d_c, opened[:u], out=d_gates[3 * u:])
+        d_gates[3 * u:] *= candidate > 0
+        g_weights += d_gates @ states.fed[t].T
+        if t:
+            d_h = back @ d_gates
+            d_c *= opened[u:2 * u]
+    g = np.empty(weights.shape)
+    g[order] = g_weights
+    parts = (g[:, u:-1].T, g[:, :u].T, g[:, -1], g_wo, g_bo)
+    return float((error ** 2).sum()), np.concatenate([p.reshape(-1) for p in parts])
 
 
 class Adam:
@@ -142,11 +192,12 @@ def _partial(shape: Shape, flat: np.ndarray):
     """Per task: (rows, loss, gradient) of its sequences, one row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, loss, grad = 0, 0.0, np.zeros(shape.size())
+        whole = States(shape, CHUNK)
         for batch in batches:
             x = _matrix(batch.column(0), shape.steps * shape.inputs).reshape(-1, shape.steps, shape.inputs)
             y = _matrix(batch.column(1), shape.outputs)
             for at in range(0, len(x), CHUNK):
-                part, own = gradient(shape, flat, x[at:at + CHUNK], y[at:at + CHUNK])
+                part, own = gradient(shape, flat, x[at:at + CHUNK], y[at:at + CHUNK], whole)
                 loss, grad = loss + part, grad + own
             rows += len(x)
         if rows:
@@ -197,7 +248,7 @@ def fit(sequences: DataFrame, shape: Shape, key_cols: list[str] | tuple[str, ...
     part = F.pmod(F.xxhash64(*key_cols), F.lit(batches * tasks))
     dealt = sequences.select("seq", "target", (part % batches).cast("int").alias("batch"), part.alias("_part"))
     try:
-        dealt.repartition(batches * tasks, "_part").drop("_part").write.partitionBy("batch").parquet(path)
+        dealt.repartitionById(batches * tasks, F.col("_part").cast("int")).drop("_part").write.partitionBy("batch").parquet(path)
         kind = T.StructType([sequences.schema["seq"], sequences.schema["target"], T.StructField("batch", T.IntegerType())])
         rows = spark.read.schema(kind).parquet(path)
         for _ in range(epochs):

@@ -99,3 +99,27 @@ def test_stay_is_the_previous_position(spark):
     got = {r.event_id: r.Predicted_Latitude for r in next_location(table, 3, model="stay").collect()}
     before = {r.event_id + 1: r.Latitude for r in table.collect()}
     assert len(got) == -(-4 * 117 // 5) and all(got[i] == pytest.approx(before[i]) for i in got)
+
+
+def test_chunks_with_reused_states_add_up():
+    rng = np.random.default_rng(9)
+    shape = R.Shape(10, 2, 50, 2)
+    x = rng.normal(size=(700, 10, 2))
+    states = R.States(shape, 512)
+    loss, grad = R.gradient(shape, shape.start(), x, x[:, -1])
+    parts = [R.gradient(shape, shape.start(), x[at:at + 512], x[at:at + 512, -1], states) for at in (0, 512)]
+    assert loss == pytest.approx(sum(p[0] for p in parts)) and np.allclose(grad, parts[0][1] + parts[1][1])
+
+
+def test_parts_of_a_batch_are_files_of_one_part_each(spark, monkeypatch):
+    shape, seen = R.Shape(1, 1, 1, 1), []
+    x = np.ones((4000, 1, 1))
+
+    def look(rows, shape, flat, tasks):
+        files = rows.select(F.input_file_name().alias("file")).groupBy("file").count().collect()
+        seen.append(sorted(r["count"] for r in files))
+        return 0, 0.0, np.zeros(shape.size())
+    monkeypatch.setattr(R, "total_gradient", look)
+    R.fit(sequences(spark, x, x[:, 0]), shape, ["id"], epochs=1, batches=4, tasks=8)
+    assert len(seen) == 4 and sum(map(sum, seen)) == 4000
+    assert all(len(sizes) == 8 and sizes[-1] < 2 * sizes[0] for sizes in seen)
